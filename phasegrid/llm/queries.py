@@ -5,12 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from phasegrid.llm import chat, exact_dedup, licenses, mixing
+from phasegrid.llm import chat, exact_dedup, jaccard_join, licenses, mixing
 from phasegrid.llm.shared import table
 
 CONTROL = "<|im_end|><|im_start|>assistant ok"
 
 
+def op1_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.jaccard_join(table(spark, sf_dir, "documents"))
+
+
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
@@ -44,6 +48,7 @@ def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_jaccard_join": op1_jaccard_join,
     "op3_exact_dedup": op3_exact_dedup,
     "op4_chat_format": op4_chat_format,
     "op7_mixing": op7_mixing,
