@@ -23,7 +23,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from phasegrid.llm.shared import fold_ascii, shared_path, text_or_empty
+from phasegrid.llm.shared import fold_ascii, shared_path, stay, text_or_empty
 
 MAX_DEPTH = 16
 
@@ -120,9 +120,5 @@ def exact_groups(docs: DataFrame, bucket_entries: int = 100_000) -> DataFrame:
 def exact_dedup(docs: DataFrame, bucket_entries: int = 100_000) -> DataFrame:
     """The documents that stay, with all their columns. Ids are taken to be unique but for repeated
     rows; of those with equal id and text one stays."""
-    groups = exact_groups(docs, bucket_entries)
-    kept = groups.where("kept").select(F.col("doc_id").alias("__id"), F.col("text_sha256").alias("__digest"))
-    rows = docs.withColumn("__d", F.sha2(fold_ascii(text_or_empty()), 256))
-    rows = rows.join(kept, rows["doc_id"].eqNullSafe(kept["__id"]) & (rows["__d"] == kept["__digest"]), "left_semi")
-    once = Window.partitionBy("doc_id", "__d").orderBy(F.xxhash64("text"))
-    return rows.withColumn("__n", F.row_number().over(once)).where("__n = 1").select(*docs.columns)
+    kept = exact_groups(docs, bucket_entries).where("kept").select("doc_id", F.col("text_sha256").alias("digest"))
+    return stay(docs, kept, F.sha2(fold_ascii(text_or_empty()), 256))

@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 
 from phasegrid.llm import tokens
 from phasegrid.llm.components import components
-from phasegrid.llm.shared import cut, text_or_empty
+from phasegrid.llm.shared import cut, stay, text_or_empty
 
 
 def prefix_depth(threshold: float, trees: int, max_depth: int, target_recall: float) -> int:
@@ -263,7 +263,7 @@ def jaccard_join(
 ) -> DataFrame:
     """One row per document: doc_id, class_id (least doc_id of its near-duplicate class), keep
     (whether it is that document), class_size, n_links (documents with similarity >= ``threshold``,
-    copies included), n_text_links (different texts among them)."""
+    copies included), n_text_links (different texts among them), tid (MD5 of the text)."""
     depth = prefix_depth(threshold, trees, max_depth, target_recall)
     error = math.sqrt(threshold * (1 - threshold) / (trees * max_depth))
     base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
@@ -297,12 +297,18 @@ def jaccard_join(
     labels = components(checked.where("b is not null").select("a", "b")).withColumnsRenamed({"node": "tid", "label": "root"})
     near = classes.select("tid", "copies", "first_id").join(labels, "tid", "left").join(links, "tid", "left")
     near = near.withColumn("root", F.coalesce("root", "tid"))
-    by_root = near.groupBy("root").agg(F.min("first_id").alias("class_id"), F.sum("copies").alias("class_size"))
+    least = F.min(F.struct(F.col("first_id").isNull(), "first_id", "tid"))
+    by_root = near.groupBy("root").agg(least.alias("least"), F.sum("copies").alias("class_size"))
     near = near.join(by_root, "root").select(
-        "tid", "class_id", "class_size", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
+        "tid", F.col("least.first_id").alias("class_id"), F.col("least.tid").alias("keep_tid"), "class_size", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
         F.coalesce("text_links", F.lit(0)).alias("n_text_links"),
     )
     out = signed.select("tid", "doc_id").join(near, "tid")
-    return out.select(
-        "doc_id", "class_id", F.col("doc_id").eqNullSafe(F.col("class_id")).alias("keep"), "class_size", "n_links", "n_text_links"
-    )
+    stays = F.col("doc_id").eqNullSafe(F.col("class_id")) & (F.col("tid") == F.col("keep_tid"))
+    return out.select("doc_id", "class_id", stays.alias("keep"), "class_size", "n_links", "n_text_links", "tid")
+
+
+def near_dedup(docs: DataFrame, **parameters: float) -> DataFrame:
+    """One document of each near-duplicate class, with all its columns: the least ``doc_id``."""
+    kept = jaccard_join(docs, **parameters).where("keep").select("doc_id", F.col("tid").alias("digest"))
+    return stay(docs, kept, F.unhex(F.md5(text_or_empty())))

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -48,3 +48,27 @@ def fold_ascii(text: Column) -> Column:
     """Lower-case A-Z only. Pure ASCII texts take the fast path; others go letter by letter."""
     ascii_only = F.octet_length(text) == F.char_length(text)
     return F.when(ascii_only, F.lower(text)).otherwise(F.translate(text, UPPER, UPPER.lower()))
+
+
+def fresh(name: str, taken: list[str]) -> str:
+    """``name``, with underscores before it until no column has it (names ignore case)."""
+    lower = {x.lower() for x in taken}
+    while name.lower() in lower:
+        name = f"_{name}"
+    return name
+
+
+def schema_of(df: DataFrame, *more: str) -> str:
+    """The DDL of a frame's columns and of those that are added."""
+    return ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields] + list(more))
+
+
+def stay(docs: DataFrame, kept: DataFrame, digest: Column) -> DataFrame:
+    """The rows of ``docs`` whose (doc_id, digest of the text) is in ``kept(doc_id, digest)``, with
+    their columns; of repeated rows one. Texts are shuffled once, by id and digest together."""
+    key, own = fresh("__key", docs.columns), fresh("__digest", docs.columns)
+    number = fresh("__number", docs.columns)
+    ids = kept.select(F.xxhash64(F.col("doc_id").cast("long")).alias(key), F.col("digest").alias(own)).distinct()
+    rows = docs.withColumn(key, F.xxhash64(F.col("doc_id").cast("long"))).withColumn(own, digest).join(ids, [key, own], "left_semi")
+    once = Window.partitionBy(key, own).orderBy(key)
+    return rows.withColumn(number, F.row_number().over(once)).where(F.col(number) == 1).select(*[F.col(f"`{c}`") for c in docs.columns])

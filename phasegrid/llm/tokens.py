@@ -17,6 +17,9 @@ _BASE = np.uint64(0x9E3779B97F4A7C15)
 _INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
+#: ASCII punctuation separates words too: for matching that ignores punctuation.
+_SPACE_OR_MARK = _SPACE.copy()
+_SPACE_OR_MARK[[c for c in range(33, 127) if not chr(c).isalnum()]] = True
 _powers: dict[str, np.ndarray] = {}
 
 
@@ -61,10 +64,10 @@ def blocks(texts: pa.Array, size: int = BLOCK) -> Iterator[tuple[int, int, np.nd
         at = end
 
 
-def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def words(data: np.ndarray, offsets: np.ndarray, ignore_marks: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(hashes, starts, ends, number of the first word of each text, with the total at the end)."""
     n = len(data)
-    inside = ~_SPACE[data]
+    inside = ~(_SPACE_OR_MARK if ignore_marks else _SPACE)[data]
     first = inside.copy()
     first[1:] &= ~inside[:-1]
     edges = offsets[1:-1]
