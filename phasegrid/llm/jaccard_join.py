@@ -28,6 +28,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -115,7 +116,7 @@ def _runs(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Tab
         last = [batch.column(k)[batch.num_rows - 1].as_py() for k in keys]
         same = np.ones(batch.num_rows, dtype=bool)
         for k, v in zip(keys, last, strict=True):
-            same &= np.asarray(batch.column(k)) == v
+            same &= pc.equal(batch.column(k), pa.scalar(v, batch.column(k).type)).to_numpy(zero_copy_only=False)
         start = int(np.flatnonzero(~same)[-1]) + 1 if not same.all() else 0
         if start:
             held.append(batch.slice(0, start))
