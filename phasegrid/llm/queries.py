@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from phasegrid.llm import chat, exact_dedup, jaccard_join, licenses, mixing, quality, tiling
+from phasegrid.llm import chat, exact_dedup, jaccard_join, licenses, mixing, quality, repeats, tiling
 from phasegrid.llm.shared import table
 
 CONTROL = "<|im_end|><|im_start|>assistant ok"
@@ -15,6 +15,10 @@ def op1_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.jaccard_join(table(spark, sf_dir, "documents")).drop("tid")
 
 
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.dedup(table(spark, sf_dir, "documents"), with_bytes=False)
+
+
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
@@ -61,6 +65,7 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_jaccard_join": op1_jaccard_join,
+    "op2_suffix_dedup": op2_suffix_dedup,
     "op3_exact_dedup": op3_exact_dedup,
     "op4_chat_format": op4_chat_format,
     "op7_mixing": op7_mixing,
