@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from phasegrid.llm import chat, exact_dedup, jaccard_join, licenses, mixing, quality, repeats, tiling
+from phasegrid.llm import chat, exact_dedup, html_text, jaccard_join, licenses, mixing, quality, repeats, tiling
 from phasegrid.llm.shared import table
 
 CONTROL = "<|im_end|><|im_start|>assistant ok"
@@ -39,6 +39,10 @@ def op4_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.main_text(table(spark, sf_dir, "pages"))
+
+
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Heavier sources come earlier: their schedules fall over time, the light ones rise."""
     falling, rising = ((0.0, 1.5), (1.0, 0.5)), ((0.0, 0.5), (1.0, 1.5))
@@ -68,6 +72,7 @@ QUERIES = {
     "op2_suffix_dedup": op2_suffix_dedup,
     "op3_exact_dedup": op3_exact_dedup,
     "op4_chat_format": op4_chat_format,
+    "op6_html_text": op6_html_text,
     "op7_mixing": op7_mixing,
     "op8_license_scan": op8_license_scan,
     "op9_decontamination": op9_decontamination,
