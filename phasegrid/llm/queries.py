@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from phasegrid.llm import chat, exact_dedup, html_text, jaccard_join, licenses, mixing, quality, repeats, tiling
+from phasegrid.llm import chat, exact_dedup, html_text, jaccard_join, licenses, mixing, quality, repeats, secrets, tiling
 from phasegrid.llm.shared import table
 
 CONTROL = "<|im_end|><|im_start|>assistant ok"
@@ -39,6 +39,11 @@ def op4_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The path of a document is its source."""
+    return secrets.secrets(table(spark, sf_dir, "documents").select("doc_id", "text", "source"), secrets.train(spark), "source")
+
+
 def op6_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.main_text(table(spark, sf_dir, "pages"))
 
@@ -72,6 +77,7 @@ QUERIES = {
     "op2_suffix_dedup": op2_suffix_dedup,
     "op3_exact_dedup": op3_exact_dedup,
     "op4_chat_format": op4_chat_format,
+    "op5_secret_scan": op5_secret_scan,
     "op6_html_text": op6_html_text,
     "op7_mixing": op7_mixing,
     "op8_license_scan": op8_license_scan,
