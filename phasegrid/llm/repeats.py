@@ -180,16 +180,16 @@ def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, ...
 
 
 def _contexts(docs_with: DataFrame, hot: bool, length: int) -> DataFrame:
-    """From (k1, k2, text, found): one row per anchor with its bytes, or for hot anchors one row per
+    """From (k1, k2, doc_id, text, found): one row per anchor with its bytes, or for hot anchors one row per
     string with its digest."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column(2).cast(pa.large_binary())
+            texts = batch.column(3).cast(pa.large_binary())
             rows, hs, packs, segs = [], [], [], []
             for r in range(batch.num_rows):
                 text = texts[r].as_py()
-                for one in batch.column(3)[r].as_py():
+                for one in batch.column(4)[r].as_py():
                     if one["hot"] != hot:
                         continue
                     pack = one["packed"]
@@ -254,7 +254,8 @@ def repeated_spans(docs: DataFrame, length: int = 200, gram: int = GRAM, max_gro
     listed = list_anchors(keyed, length, gram)
     seen = cut(listed.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h", (F.col("n") > max_group).alias("hot")))
     again = listed.join(seen, "h").groupBy("k1", "k2").agg(F.collect_set(F.struct("h", "packed", "hot")).alias("found"))
-    with_found = keyed.select("k1", "k2", "text").join(again, ["k1", "k2"])
+    # All columns of ``keyed``, so that this join and the last one share one exchange of the texts.
+    with_found = keyed.join(again, ["k1", "k2"])
     spans = _scan(_contexts(with_found, False, length).repartition("h").sortWithinPartitions("h"), length)
     if seen.where("hot").limit(1).count():
         strings = _contexts(with_found, True, length)
