@@ -110,7 +110,8 @@ def exact_groups(docs: DataFrame, bucket_entries: int = 100_000) -> DataFrame:
         "doc_id", F.xxhash64(norm).alias("key"), F.sha2(norm, 256).alias("digest"), F.octet_length("text").cast("long").alias("n_bytes")
     )
     found = with_bucket(probes, directory).join(index, ["bucket", "key", "digest"])
-    same = Window.partitionBy("key", "digest", "doc_id").orderBy("n_bytes")
+    # By id and digest, not by key: the probe's exchange stays free for AQE to split a hot group.
+    same = Window.partitionBy("doc_id", "digest").orderBy("n_bytes")
     stays = F.col("doc_id").eqNullSafe(F.col("keep_id")) & (F.row_number().over(same) == 1)
     return found.select(
         "doc_id", "keep_id", "group_size", stays.alias("kept"), F.col("digest").alias("text_sha256"), "n_bytes"
