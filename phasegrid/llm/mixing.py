@@ -84,7 +84,7 @@ def mix(
     weights: Sequence[float] = (5.0, 2.0, 1.0),
     schedules: Sequence[Knots] = (FLAT,),
     limit: float = 3.0,
-    bucket_rows: int = 20_000,
+    bucket_rows: int = 2_000,
 ) -> DataFrame:
     """One row per document of ``docs(doc_id, text, source)``: doc_id, source, size, source_size,
     target, copies, taken, position (of its first copy; null if it isn't taken) and demand, its
