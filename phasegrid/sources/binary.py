@@ -2,7 +2,8 @@
 
 Options: ``dtype`` (c8, ci2, f4, f8, i2, i4, u1), ``layout`` (plain; altline: one line of each band
 in turn; altsample: samples of both bands in turn), ``header`` (true: 64 int32 with the full size
-and the half-open box), ``nrow`` and ``ncol`` (headerless), ``skip`` (bytes before the data),
+and the half-open box; strips: full size, left, right, number of strips and their row ranges, the
+strips' rows following one another), ``nrow`` and ``ncol`` (headerless), ``skip`` (bytes before the data),
 ``window`` (top,bottom,left,right), ``mode`` (pixels, or header: one row per file), ``rows`` (rows
 per partition, 2048). A path is a file, a folder (with ``suffix``) or a glob pattern, on storage
 that all executors mount.
@@ -69,6 +70,36 @@ class Box:
         return cls(*(int(v) for v in values[:6]))
 
 
+def read_strips(path: str) -> list[tuple[Box, int]]:
+    """(box, rows before it in the file) of each strip of a multi-strip raster."""
+    with open(path, "rb") as f:
+        v = [int(x) for x in np.frombuffer(f.read(4 * HEADER_INTS), dtype="<i4")]
+    if len(v) < HEADER_INTS or not 0 <= v[4] <= (HEADER_INTS - 5) // 2:
+        raise ValueError(f"{path} has no strip header")
+    out, before = [], 0
+    for i in range(v[4]):
+        top, bottom = v[5 + 2 * i], v[6 + 2 * i]
+        out.append((Box(v[0], v[1], v[2], top, v[3], bottom), before))
+        before += bottom - top
+    return out
+
+
+def write_strips(path: str, nrow: int, ncol: int, left: int, strips: list[tuple[int, np.ndarray]]) -> None:
+    """A multi-strip raster of (top, rows) strips; ``raster.strips`` finds them, and strips that touch
+    are one by its definition."""
+    if len(strips) > (HEADER_INTS - 5) // 2:
+        raise ValueError("too many strips for the header")
+    head = np.zeros(HEADER_INTS, dtype="<i4")
+    width = strips[0][1].shape[1] if strips else 0
+    head[:5] = [nrow, ncol, left, left + width, len(strips)]
+    for i, (top, rows) in enumerate(strips):
+        head[5 + 2 * i : 7 + 2 * i] = [top, top + len(rows)]
+    with open(path, "wb") as f:
+        f.write(head.tobytes())
+        for _, rows in strips:
+            f.write(np.ascontiguousarray(rows).tobytes())
+
+
 def resolve(path: str, suffix: str = "") -> list[str]:
     """The files that a path names: itself, a folder's files with a suffix, or a pattern's matches."""
     if os.path.isdir(path):
@@ -82,9 +113,10 @@ class Rows(InputPartition):
     box: Box
     first: int
     last: int
+    before: int  # rows of the file before the box
 
-    def __init__(self, path: str, box: Box, first: int, last: int) -> None:
-        for name, value in (("path", path), ("box", box), ("first", first), ("last", last)):
+    def __init__(self, path: str, box: Box, first: int, last: int, before: int = 0) -> None:
+        for name, value in (("path", path), ("box", box), ("first", first), ("last", last), ("before", before)):
             object.__setattr__(self, name, value)
 
 
@@ -128,11 +160,14 @@ class RasterReader(DataSourceReader):
             else:
                 yield f
 
-    def _box(self, path: str) -> Box:
-        if self.o.get("header", "false") == "true":
-            return Box.read(path)
+    def _boxes(self, path: str) -> list[tuple[Box, int]]:
+        header = self.o.get("header", "false")
+        if header == "strips":
+            return read_strips(path)
+        if header == "true":
+            return [(Box.read(path), 0)]
         nrow, ncol = int(self.o["nrow"]), int(self.o["ncol"])
-        return Box(nrow, ncol, 0, 0, ncol, nrow)
+        return [(Box(nrow, ncol, 0, 0, ncol, nrow), 0)]
 
     def partitions(self) -> Sequence[InputPartition]:
         step, out = int(self.o.get("rows", "2048")), []
@@ -140,15 +175,14 @@ class RasterReader(DataSourceReader):
         files = resolve(self.o["path"], self.o.get("suffix", ""))
         if not files:
             raise FileNotFoundError(self.o["path"])
-        for path in files:
-            box = self._box(path)
+        for path, box, before in ((p, b, n) for p in files for b, n in self._boxes(p)):
             if self.o.get("mode", "pixels") == "header":
                 out.append(Rows(path, box, 0, 0))
                 continue
             low, high = max(box.top, self.low), min(box.bottom, self.high)
             if window:
                 low, high = max(low, window[0]), min(high, window[1])
-            out += [Rows(path, box, at, min(at + step, high)) for at in range(low, high, step)]
+            out += [Rows(path, box, at, min(at + step, high), before) for at in range(low, high, step)]
         return out or [Rows("", Box(0, 0, 0, 0, 0, 0), 0, 0)]
 
     def read(self, part: Rows) -> Iterator[pa.RecordBatch]:
@@ -162,7 +196,7 @@ class RasterReader(DataSourceReader):
         dtype, layout = self.o.get("dtype", "c8"), self.o.get("layout", "plain")
         kind, width = DTYPES[dtype], box.right - box.left
         per_pixel = 2 if layout != "plain" or dtype == "ci2" else 1
-        skip = int(self.o.get("skip", "0")) + (4 * HEADER_INTS if self.o.get("header", "false") == "true" else 0)
+        skip = int(self.o.get("skip", "0")) + (4 * HEADER_INTS if self.o.get("header", "false") != "false" else 0)
         left, right = box.left, box.right
         if "window" in self.o:
             left, right = max(left, int(self.o["window"].split(",")[2])), min(right, int(self.o["window"].split(",")[3]))
@@ -172,7 +206,7 @@ class RasterReader(DataSourceReader):
         with open(part.path, "rb") as f:
             for first in range(part.first, part.last, chunk):
                 last = min(first + chunk, part.last)
-                f.seek(skip + (first - box.top) * width * per_pixel * kind.itemsize)
+                f.seek(skip + (part.before + first - box.top) * width * per_pixel * kind.itemsize)
                 raw = np.frombuffer(f.read((last - first) * width * per_pixel * kind.itemsize), dtype=kind)
                 if len(raw) != (last - first) * width * per_pixel:
                     raise ValueError(f"{part.path} ends before row {last}")

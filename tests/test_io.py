@@ -183,3 +183,42 @@ def test_streams(spark, tmp_path):
     assert found == {(1, 7), (1, 13), (7, 13), (7, 19), (13, 19)} and pairs.count() == 5
     obs = spark.createDataFrame([(1, 10, 0.5), (1, 20, 1.0)], "px int, days int, u double")
     assert incremental.running_velocity(obs, ["px"]).first()["n"] == 2
+
+
+def test_multi_strip_rasters(spark, source, tmp_path):
+    m = np.arange(40, dtype="<f4").reshape(8, 5)
+    binary.write_strips(str(tmp_path / "s.bin"), 100, 50, 7, [(10, m[:3]), (40, m[3:])])
+    rows = source(tmp_path / "s.bin", header="strips", dtype="f4", rows=2).collect()
+    want = {(10 + i, 7 + j): m[i, j] for i in range(3) for j in range(5)} | {(37 + i, 7 + j): m[i, j] for i in range(3, 8) for j in range(5)}
+    assert {(r["r"], r["c"]): r["v"] for r in rows} == want
+    heads = source(tmp_path / "s.bin", header="strips", mode="header").collect()
+    assert [(h["top"], h["bottom"]) for h in heads] == [(10, 13), (40, 45)]
+
+
+def test_tiff_and_archives(spark, tmp_path):
+    import io
+    import zipfile
+
+    from phasegrid.sources import archive, tiff
+
+    z = (np.arange(60).reshape(12, 5) - 30 + 1j * np.arange(60).reshape(12, 5)).astype(np.complex64)
+    for data, deflate in ((z, True), (z.real.astype(np.float32), False), (z.real.astype(np.int16), True), (z.real.astype(np.float64), True)):
+        out = io.BytesIO()
+        tiff.write(out, data, (10.0, 0.5, 0, 50.0, 0, -0.5), "nan", 5, deflate)
+        back = tiff.Tiff.open(io.BytesIO(out.getvalue()))
+        assert back.shape == (12, 5) and np.array_equal(back.rows(0, 12), data) and np.array_equal(back.rows(4, 11), data[4:11])
+        assert back.tags[tiff.TIEPOINT][3:5] == (10.0, 50.0)
+    assert tiff.shifted((10.0, 0.5, 0, 50.0, 0, -0.5), True) == (10.25, 49.75)
+    out = io.BytesIO()
+    tiff.write(out, z, rows_per_strip=4)
+    with zipfile.ZipFile(tmp_path / "scene.zip", "w") as f:
+        f.writestr("S/measurement/a-iw1-VV.tiff", out.getvalue())
+        f.writestr("S/annotation/a-iw1-vv.xml", "<p><prf>1.5</prf></p>")
+    zips = archive.archives(spark, str(tmp_path / "*.zip"))
+    assert archive.members(zips).count() == 2
+    found = catalog.zip_members(archive.members(zips), "member", "annotation", ".xml", "VV")
+    assert found.count() == 1
+    text_row = archive.member_texts(zips, "annotation", ".xml").select(names.tag_text(F.col("text"), "prf").alias("p")).first()
+    assert text_row["p"] == "1.5"
+    pixels = archive.burst_pixels(archive.bursts(zips, "vv", 6), ["burst"]).collect()
+    assert len(pixels) == 60 and all(complex(p["re"], p["im"]) == z[p["burst"] * 6 + p["r"], p["c"]] for p in pixels)
