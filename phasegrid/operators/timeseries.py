@@ -21,11 +21,17 @@ SMALL = 1e-6
 
 
 def form_pairs(phases: DataFrame, pairs: DataFrame, px: Sequence[str], phase: str = "phase") -> DataFrame:
-    """u = phase(date2) − phase(date1) for each pair whose dates a pixel has."""
-    first = phases.select(*px, F.col("date").alias("date1"), F.col(phase).alias("p1"))
-    second = phases.select(*px, F.col("date").alias("date2"), F.col(phase).alias("p2"))
-    joined = first.join(pairs, "date1").join(second, [*px, "date2"])
-    return joined.select(*px, "date1", "date2", "i1", "i2", "days", (F.col("p2") - F.col("p1")).alias("u"))
+    """u = phase(date2) − phase(date1) for each pair whose dates a pixel has; ``phases`` has one row per
+    pixel and date.
+
+    A pixel's phases are gathered once (a value per date), and the pairs, one row holding the graph,
+    are exploded against them. So the pixels are shuffled once, before the pairs multiply them, and
+    what follows by pixel needs no further shuffle."""
+    graph = pairs.agg(F.collect_list(F.struct("date1", "date2", "i1", "i2", "days")).alias("__pairs"))
+    series = phases.groupBy(*px).agg(F.map_from_entries(F.collect_list(F.struct("date", phase))).alias("__m"))
+    rows = series.crossJoin(F.broadcast(graph)).select(*px, "__m", F.explode("__pairs").alias("p"))  # one row by construction
+    u = F.try_element_at("__m", F.col("p.date2")) - F.try_element_at("__m", F.col("p.date1"))
+    return rows.select(*px, "p.*", u.alias("u")).where("u is not null")
 
 
 def subtract_reference(obs: DataFrame, reference: DataFrame, image: Sequence[str]) -> DataFrame:
@@ -43,31 +49,37 @@ def interval_velocity(obs: DataFrame, px: Sequence[str]) -> DataFrame:
 
 def mad_outliers(velocity: DataFrame, px: Sequence[str], scale: float, floor: float = 0.0, digits: int = 9) -> DataFrame:
     """(px, k, v, dev, mad, outlier): the centre is the median of abs(v), deviations are from signed
-    v and rounded, since on clean data rounding alone would decide."""
-    centre = velocity.groupBy(*px).agg(F.median(F.abs("v")).alias("med"))
-    dev = velocity.join(centre, list(px)).withColumn("dev", F.round(F.abs(F.col("v") - F.col("med")), digits))
-    spread = dev.groupBy(*px).agg(F.round(F.median("dev"), digits).alias("mad"))
+    v and rounded, since on clean data rounding alone would decide. Both medians are windows over
+    the pixel's intervals, one per date."""
+    pixel = Window.partitionBy(*px)
+    dev = velocity.withColumn("med", F.median(F.abs("v")).over(pixel)).withColumn("dev", F.round(F.abs(F.col("v") - F.col("med")), digits))
+    dev = dev.withColumn("mad", F.round(F.median("dev").over(pixel), digits))
     limit = F.greatest(F.round(F.col("mad") * scale, digits), F.lit(floor))
-    return dev.join(spread, list(px)).select(*px, "k", "v", "dev", "mad", (F.col("dev") > limit).alias("outlier"))
+    return dev.select(*px, "k", "v", "dev", "mad", (F.col("dev") > limit).alias("outlier"))
+
+
+def flagged(obs: DataFrame, px: Sequence[str], scale: float, floor: float = 0.0) -> DataFrame:
+    """Adds ``keep``: no interval that the observation spans is an outlier. A pixel's outliers are a
+    list of at most one number per date, joined by pixel."""
+    outliers = mad_outliers(interval_velocity(obs, px), px, scale, floor).where("outlier")
+    bad = outliers.groupBy(*px).agg(F.collect_list("k").alias("__bad"))
+    hit = F.exists("__bad", lambda k: (k >= F.col("i1")) & (k < F.col("i2")))
+    return obs.join(bad, list(px), "left").withColumn("keep", ~F.coalesce(hit, F.lit(False))).drop("__bad")
 
 
 def screened(obs: DataFrame, px: Sequence[str], scale: float, floor: float = 0.0) -> DataFrame:
-    """Observations of which no spanned interval is an outlier."""
-    bad = mad_outliers(interval_velocity(obs, px), px, scale, floor).where("outlier").select(*px, "k")
-    spanned = obs.where("i2 > i1").select(*px, "date1", "date2", F.explode(F.sequence(F.col("i1"), F.col("i2") - 1)).alias("k"))
-    hit = spanned.join(bad, [*px, "k"], "left_semi").select(*px, "date1", "date2").distinct()
-    return obs.join(hit, [*px, "date1", "date2"], "left_anti")
+    """The observations that ``flagged`` keeps."""
+    return flagged(obs, px, scale, floor).where("keep").drop("keep")
 
 
 def stack_velocity(obs: DataFrame, px: Sequence[str], scale: float = 0.0, floor: float = 0.0, wavelength: float = WAVELENGTH, empty_as_null: bool = False) -> DataFrame:
     """(px, n, velocity in metres a year). A pixel whose observations are all screened out has
     velocity 0, or null by option."""
-    kept = screened(obs, px, scale, floor) if scale > 0 else obs
-    made = kept.groupBy(*px).agg(F.count("*").alias("n"), F.sum("u").alias("u"), F.sum(F.col("days").cast("double")).alias("bl"))
-    all_px = obs.select(*px).distinct()
-    joined = all_px.join(made, list(px), "left")
+    rows = flagged(obs, px, scale, floor) if scale > 0 else obs.withColumn("keep", F.lit(True))
+    pick = lambda c: F.sum(F.when(F.col("keep"), F.col(c).cast("double")))
+    made = rows.groupBy(*px).agg(F.count_if("keep").alias("n"), pick("u").alias("u"), pick("days").alias("bl"))
     v = F.col("u") / (F.col("bl") + SMALL) * (wavelength / (4 * math.pi) * YEAR)
-    return joined.select(*px, F.coalesce("n", F.lit(0)).alias("n"), (v if empty_as_null else F.coalesce(v, F.lit(0.0))).alias("velocity"))
+    return made.select(*px, "n", (v if empty_as_null else F.coalesce(v, F.lit(0.0))).alias("velocity"))
 
 
 def sbas_linear(obs: DataFrame, px: Sequence[str], weight: Column | None = None, regularisation: float = 0.0) -> DataFrame:
