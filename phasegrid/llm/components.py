@@ -8,7 +8,12 @@ from pyspark.sql import functions as F
 from phasegrid.llm.shared import cut
 
 
-def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
+#: Up to so many edges the table of least neighbours (at most two rows of some 50 bytes per edge) is
+#: broadcast; beyond, it is materialised, so that AQE can split the join at a node with many edges.
+SMALL_EDGES = 100_000
+
+
+def components(edges: DataFrame, max_rounds: int = 60, small_edges: int = SMALL_EDGES) -> DataFrame:
     """(node, label) for all nodes of ``edges(a, b)``; the label is the component's least node.
 
     Large-star and small-star rounds alternate: each node links its larger neighbours to its least
@@ -17,18 +22,22 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     counts reach the driver."""
     both = edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
     now = cut(both)
-    before = None
+    before, count = None, now.count()
+
+    def side(least: DataFrame) -> DataFrame:
+        return F.broadcast(least) if count <= small_edges else cut(least)
+
     for _ in range(max_rounds):
         sides = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = sides.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("m", "u").alias("m"))
+        least = side(sides.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("m", "u").alias("m")))
         large = sides.join(least, "u").where("v > u and v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
+        least = side(large.groupBy("u").agg(F.min("v").alias("m")))
         small = large.join(least, "u").where("v <> m").select(F.greatest("v", "m").alias("u"), F.least("v", "m").alias("v"))
         now = cut(small.unionByName(least.select("u", F.col("m").alias("v"))).distinct())
         state = now.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if state == before:
             break
-        before = state
+        before, count = state, state[0]
     else:
         raise RuntimeError("components did not settle")
     labels = now.groupBy("u").agg(F.min("v").alias("label")).select(F.col("u").alias("node"), "label")

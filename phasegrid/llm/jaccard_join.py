@@ -296,13 +296,17 @@ def jaccard_join(
     checked = cut(verified(dealt, k, threshold))
     links = checked.where("b is null").groupBy(F.col("a").alias("tid")).agg(F.sum("links").alias("links"), F.sum("text_links").alias("text_links"))
     labels = components(checked.where("b is not null").select("a", "b")).withColumnsRenamed({"node": "tid", "label": "root"})
-    near = classes.select("tid", "copies", "first_id").join(labels, "tid", "left").join(links, "tid", "left")
-    near = near.withColumn("root", F.coalesce("root", "tid"))
+    plain = classes.select("tid", "copies", "first_id")
+    linked = cut(labels.join(plain, "tid"))
     least = F.min(F.struct(F.col("first_id").isNull(), "first_id", "tid"))
-    by_root = near.groupBy("root").agg(least.alias("least"), F.sum("copies").alias("class_size"))
-    near = near.join(by_root, "root").select(
-        "tid", F.col("least.first_id").alias("class_id"), F.col("least.tid").alias("keep_tid"), "class_size", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
-        F.coalesce("text_links", F.lit(0)).alias("n_text_links"),
+    # Materialised, so that AQE can split the join at a class with many texts.
+    by_root = cut(linked.groupBy("root").agg(least.alias("least"), F.sum("copies").alias("size")))
+    of_class = linked.select("tid", "root").join(by_root, "root").select("tid", "least", "size")
+    near = plain.join(of_class, "tid", "left").join(links, "tid", "left")
+    near = near.select(
+        "tid", F.when(F.col("least").isNull(), F.col("first_id")).otherwise(F.col("least.first_id")).alias("class_id"),
+        F.coalesce("least.tid", "tid").alias("keep_tid"), F.coalesce("size", "copies").alias("class_size"),
+        (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.coalesce("text_links", F.lit(0)).alias("n_text_links"),
     )
     out = signed.select("tid", "doc_id").join(near, "tid")
     stays = F.col("doc_id").eqNullSafe(F.col("class_id")) & (F.col("tid") == F.col("keep_tid"))

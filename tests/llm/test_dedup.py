@@ -122,9 +122,10 @@ def test_near_dedup_awkward_rows(spark):
     assert jaccard_join.jaccard_join(empty(spark)).count() == 0
 
 
-def test_components_of_a_long_chain(spark):
+@pytest.mark.parametrize("small", [100_000, 0])
+def test_components_of_a_long_chain(spark, small):
     edges = spark.createDataFrame([(i, i + 1) for i in range(300)] + [(1000, 1001)], "a long, b long")
-    got = {r["node"]: r["label"] for r in components(edges).collect()}
+    got = {r["node"]: r["label"] for r in components(edges, small_edges=small).collect()}
     assert got == {i: 0 for i in range(301)} | {1000: 1000, 1001: 1000}
 
 
