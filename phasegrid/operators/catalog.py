@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from phasegrid.session import cut
@@ -19,6 +19,25 @@ def dedup(rows: DataFrame, key: Column, order: Sequence[str]) -> DataFrame:
     return first.select("__o.*", "__r.*").select(*rows.columns)
 
 
+def middle(rows: DataFrame, keys: Sequence[str], order: str, keep: str) -> DataFrame:
+    """Per key the element n div 2 of the order, such as the middle orbit by perpendicular baseline.
+    Groups are graph-sized (a row per date)."""
+    w = Window.partitionBy(*keys)
+    ranked = rows.select(*keys, order, keep, F.row_number().over(w.orderBy(order, keep)).alias("__i"), F.count("*").over(w).alias("__n"))
+    return ranked.where(F.col("__i") == F.floor(F.col("__n") / 2) + 1).select(*keys, keep, order)
+
+
+def changes(rows: DataFrame, keys: Sequence[str], order: str, watched: Sequence[str]) -> DataFrame:
+    """Adds ``changed``: a watched column differs from the previous row's; false for the first."""
+    w = Window.partitionBy(*keys).orderBy(order)
+    differs = [~F.col(c).eqNullSafe(F.lag(c).over(w)) for c in watched]
+    first = F.row_number().over(w) == 1
+    some = differs[0]
+    for d in differs[1:]:
+        some = some | d
+    return rows.withColumn("changed", ~first & some)
+
+
 def scene_key(name: Column, file_id: Column) -> Column:
     return F.coalesce(F.nullif(name, F.lit("")), F.nullif(file_id, F.lit("")))
 

@@ -178,3 +178,14 @@ def evenly_spaced(df: DataFrame, order: str, k: int) -> DataFrame:
     places = n.select(F.explode(F.sequence(F.lit(0), F.least(F.lit(k), F.col("n")) - 1)).alias("j"), F.col("n"))
     step = F.floor(F.col("j") * (F.col("n") - 1) / F.greatest(F.lit(1), F.least(F.lit(k), F.col("n")) - 1))
     return numbered.join(F.broadcast(places.select(step.alias("__i")).distinct()), "__i", "left_semi").drop("__i")
+
+
+def bilinear(points: DataFrame, df: DataFrame, key: str, row: str, col: str, values: Sequence[str]) -> DataFrame:
+    """(key, values) of ``df(r, c, ...)`` at fractional places. A point is sent to its four cells with
+    their weights and summed after one equi join; cells that are absent count as 0."""
+    r0, c0 = F.floor(row), F.floor(col)
+    a, b = F.col(row) - r0, F.col(col) - c0
+    corner = lambda dr, dc, w: F.struct((r0 + dr).cast("long").alias("r"), (c0 + dc).cast("int").alias("c"), w.alias("w"))
+    four = F.array(corner(0, 0, (1 - a) * (1 - b)), corner(0, 1, (1 - a) * b), corner(1, 0, a * (1 - b)), corner(1, 1, a * b))
+    spread = points.select(key, F.explode(four).alias("q")).select(key, "q.*")
+    return spread.join(df, ["r", "c"]).groupBy(key).agg(*[F.sum(F.col(v) * F.col("w")).alias(v) for v in values])

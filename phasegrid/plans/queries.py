@@ -660,6 +660,98 @@ def phasor_offset(spark: SparkSession, sf_dir: str) -> DataFrame:
     return interferograms.phase_offset(z, ["label"]).select("label", r6(F.col("offset")).alias("off"))
 
 
+@query("""WITH n AS (SELECT s_nationkey AS nation, s_suppkey AS k, s_acctbal AS b, row_number() OVER (PARTITION BY s_nationkey ORDER BY s_acctbal, s_suppkey) AS i, count(*) OVER (PARTITION BY s_nationkey) AS n FROM supplier)
+SELECT nation, k, b FROM n WHERE i = n // 2 + 1""")
+def middle_orbit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    s = table(spark, sf_dir, "supplier").select(F.col("s_nationkey").alias("nation"), F.col("s_suppkey").alias("k"), F.col("s_acctbal").alias("b"))
+    return catalog.middle(s, ["nation"], "b", "k")
+
+
+@query("""WITH c AS (SELECT user_id, event_id, event_type, lag(event_type) OVER (PARTITION BY user_id ORDER BY event_id) AS p, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS i FROM events)
+SELECT user_id, event_id, i > 1 AND event_type IS DISTINCT FROM p AS changed FROM c""")
+def acquisition_change(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "events").select("user_id", "event_id", "event_type")
+    return catalog.changes(rows, ["user_id"], "event_id", ["event_type"]).drop("event_type")
+
+
+@query(f"WITH {b.PX} SELECT r // 50 AS img, round(min(v) * 1000 - 100, 6) + 0e0 AS low, round(max(v) * 1000 + 100, 6) + 0e0 AS high FROM px GROUP BY ALL")
+def dem_range(spark: SparkSession, sf_dir: str) -> DataFrame:
+    px = b.embedding_pixels(spark, sf_dir).groupBy(F.expr("r div 50").alias("img"))
+    return px.agg(r6(F.min("v") * 1000 - 100).alias("low"), r6(F.max("v") * 1000 + 100).alias("high"))
+
+
+@query("""SELECT p_partkey AS k, (ceil((p_partkey % 500) / 10.0::DOUBLE) * 10)::BIGINT AS top, (floor((p_partkey % 500 + p_size) / 10.0::DOUBLE) * 10)::BIGINT AS bottom,
+ (ceil((p_partkey % 90) / 20.0::DOUBLE) * 20)::BIGINT AS left_, (floor((p_partkey % 90 + 3 * p_size) / 20.0::DOUBLE) * 20)::BIGINT AS right_ FROM part""")
+def snapped_boxes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    k, size = F.col("p_partkey"), F.col("p_size")
+    box = interferograms.snapped_box(k % 500, k % 500 + size, k % 90, k % 90 + 3 * size, (10, 20))
+    boxes = table(spark, sf_dir, "part").select(k.alias("k"), box.alias("b"))
+    return boxes.select("k", "b.top", "b.bottom", F.col("b.left").alias("left_"), F.col("b.right").alias("right_"))
+
+
+@query(f"""WITH {XYZ_SQL}, v AS (SELECT k, x, y, z, -y / 1e3 AS vx, x / 1e3 AS vy, 5e3 + lat AS vz, sqrt(x * x + y * y + z * z) AS n FROM x),
+ d AS (SELECT *, -x / n AS dx, -y / n AS dy, -z / n AS dz FROM v), s0 AS (SELECT *, dy * vz - dz * vy AS sx0, dz * vx - dx * vz AS sy0, dx * vy - dy * vx AS sz0 FROM d),
+ s AS (SELECT *, sx0 / sqrt(sx0 * sx0 + sy0 * sy0 + sz0 * sz0) AS sx, sy0 / sqrt(sx0 * sx0 + sy0 * sy0 + sz0 * sz0) AS sy, sz0 / sqrt(sx0 * sx0 + sy0 * sy0 + sz0 * sz0) AS sz FROM s0)
+SELECT k, round(dx, 6) + 0e0 AS nadir_x, round(sy, 6) + 0e0 AS side_y, round(sy * dz - sz * dy, 6) + 0e0 AS along_x, round(sx * dy - sy * dx, 6) + 0e0 AS along_z FROM s""")
+def tcn_basis(spark: SparkSession, sf_dir: str) -> DataFrame:
+    xyz = geo.llh_to_xyz(F.col("lat"), F.col("lon"), F.col("h"))
+    p = _places(spark, sf_dir).select("k", "lat", *[v.alias(n) for v, n in zip(xyz, "xyz", strict=True)])
+    along, side, down = geo.tcn((F.col("x"), F.col("y"), F.col("z")), (-F.col("y") / 1e3, F.col("x") / 1e3, F.lit(5e3) + F.col("lat")))
+    return p.select("k", r6(down[0]).alias("nadir_x"), r6(side[1]).alias("side_y"), r6(along[0]).alias("along_x"), r6(along[2]).alias("along_z"))
+
+
+@query(f"""WITH {LLH_SQL}, r AS (SELECT k, radians(lat) AS a, radians(lon) AS o, h FROM p)
+SELECT k, round(-sin(o) * 1 - sin(a) * cos(o) * 2 + cos(a) * cos(o) * h, 4) + 0e0 AS x, round(cos(o) * 1 - sin(a) * sin(o) * 2 + cos(a) * sin(o) * h, 4) + 0e0 AS y, round(cos(a) * 2 + sin(a) * h, 4) + 0e0 AS z FROM r""")
+def enu_rotation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    xyz = geo.enu_to_xyz(F.col("lat"), F.col("lon"), (F.lit(1.0), F.lit(2.0), F.col("h")))
+    return _places(spark, sf_dir).select("k", *[(F.round(v, 4) + 0.0).alias(n) for v, n in zip(xyz, "xyz", strict=True)])
+
+
+@query("""WITH q AS (SELECT p_partkey AS k, -2300 - p_size * 0.5::DOUBLE + 3 * (p_partkey % 7) + 0.1::DOUBLE * (p_partkey % 7) * (p_partkey % 7) AS ka, 2 * 7600.0::DOUBLE * 5.405e9 / 299792458.0::DOUBLE * 1.6::DOUBLE * (pi() / 180) AS ks, p_size * 0.01::DOUBLE AS eta FROM part)
+SELECT k, round(ka * ks / (ka - ks), 6) + 0e0 AS kt, round(-pi() * (ka * ks / (ka - ks)) * (eta - 0.25::DOUBLE) * (eta - 0.25::DOUBLE), 6) + 0e0 AS phase FROM q""")
+def deramp(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """FM rate polynomial, total Doppler rate and the ramp's phase."""
+    k, size = F.col("p_partkey"), F.col("p_size")
+    ka = cplx.quadratic(F.lit(-2300.0) - size * 0.5, F.lit(3.0), F.lit(0.1), (k % 7).cast("double"))
+    kt = cplx.doppler_rate(ka, F.lit(1.6), F.lit(7600.0), 5.405e9)
+    return table(spark, sf_dir, "part").select(k.alias("k"), r6(kt).alias("kt"), r6(cplx.deramp_phase(kt, size * 0.01, F.lit(0.25))).alias("phase"))
+
+
+@query(r"""WITH v AS (SELECT event_id, CASE event_id % 4 WHEN 0 THEN event_id::VARCHAR WHEN 1 THEN value::VARCHAR || 'e0' WHEN 2 THEN event_type ELSE '-' || (user_id::VARCHAR) END AS v FROM events)
+SELECT event_id, CASE WHEN regexp_matches(v, '^\s*[+-]?\d+\s*$') THEN 'int' WHEN try_cast(v AS DOUBLE) IS NOT NULL THEN 'float' ELSE 'string' END AS kind FROM v""")
+def number_kind(spark: SparkSession, sf_dir: str) -> DataFrame:
+    i = F.col("event_id")
+    v = F.when(i % 4 == 0, i.cast("string")).when(i % 4 == 1, F.concat(F.col("value").cast("string"), F.lit("e0"))).when(i % 4 == 2, F.col("event_type"))
+    return table(spark, sf_dir, "events").select("event_id", names.number_kind(v.otherwise(F.concat(F.lit("-"), F.col("user_id").cast("string")))).alias("kind"))
+
+
+@query("""SELECT n_nationkey AS k, 'http://catalog/q?name=' || replace(n_name, ' ', '+') || '&region=' || n_regionkey AS url FROM nation""")
+def query_url(spark: SparkSession, sf_dir: str) -> DataFrame:
+    nation = table(spark, sf_dir, "nation")
+    url = names.query_url("http://catalog/q", {"name": F.col("n_name"), "none": F.lit(None).cast("string"), "region": F.col("n_regionkey")})
+    return nation.select(F.col("n_nationkey").alias("k"), url.alias("url"))
+
+
+@query(f"""WITH {b.Z}, s AS (SELECT (r % 3)::INTEGER + 1 AS iw, r // 5 AS r, c, re, im FROM z WHERE re > -0.05), m AS (SELECT r, c, max(iw) AS iw FROM s GROUP BY ALL)
+SELECT m.r, m.c, m.iw AS source, n.n FROM m JOIN (SELECT r, c, count(DISTINCT iw) AS n FROM s GROUP BY ALL) n ON n.r = m.r AND n.c = m.c""")
+def stitch_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The highest subswath with data wins; the frame tells which one it was."""
+    z = b.embedding_complex(spark, sf_dir).where("re > -0.05").withColumn("iw", (F.col("r") % 3).cast("int") + 1).withColumn("r", F.expr("r div 5"))
+    frame = interferograms.stitch_frame(z.select("iw", "r", "c", F.col("iw").cast("double").alias("re"), F.lit(0.0).alias("im")))
+    counts = z.groupBy("r", "c").agg(F.count_distinct("iw").alias("n"))
+    return frame.join(counts, ["r", "c"]).select("r", "c", F.col("re").cast("int").alias("source"), "n")
+
+
+@query(f"""WITH {b.PX}, q AS (SELECT p_partkey AS k, (p_partkey * 7919 % 10000) / 10000.0::DOUBLE * 480 AS y, (p_partkey * 104729 % 10000) / 10000.0::DOUBLE * 62 AS x FROM part),
+ f AS (SELECT k, floor(y)::BIGINT AS r, floor(x)::INTEGER AS c, y - floor(y) AS a, x - floor(x) AS b FROM q)
+SELECT k, round(p.v * (1 - a) * (1 - b) + s.v * (1 - a) * b + t.v * a * (1 - b) + u.v * a * b, 6) + 0e0 AS v FROM f JOIN px p ON p.r = f.r AND p.c = f.c JOIN px s ON s.r = f.r AND s.c = f.c + 1
+ JOIN px t ON t.r = f.r + 1 AND t.c = f.c JOIN px u ON u.r = f.r + 1 AND u.c = f.c + 1""")
+def bilinear(spark: SparkSession, sf_dir: str) -> DataFrame:
+    k = F.col("p_partkey")
+    points = table(spark, sf_dir, "part").select(k.alias("k"), ((k * 7919 % 10000) / 10000.0 * 480).alias("y"), ((k * 104729 % 10000) / 10000.0 * 62).alias("x"))
+    return raster.bilinear(points, b.embedding_pixels(spark, sf_dir), "k", "y", "x", ["v"]).withColumn("v", r6(F.col("v")))
+
+
 # ---- operators without SQL ----------------------------------------------------------------------
 
 
