@@ -24,6 +24,7 @@ their bytes. An empty table gives an empty result. Extra columns are ignored.
 from __future__ import annotations
 
 import hashlib
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -32,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from phasegrid.llm import tokens
-from phasegrid.llm.shared import cut, text_or_empty
+from phasegrid.llm.shared import cut, regrouped, text_or_empty
 
 GRAM = 32
 
@@ -180,40 +181,60 @@ def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, ...
 
 
 def _contexts(docs_with: DataFrame, hot: bool, length: int) -> DataFrame:
-    """From (k1, k2, doc_id, text, found): one row per anchor with its bytes, or for hot anchors one row per
-    string with its digest."""
+    """From (k1, k2, doc_id, text, found): one row per anchor with its bytes. For hot anchors instead: a
+    row per string with its digest, if it starts once in the document; a string that starts again in
+    it is a repeat already, so it gives spans without a digest, runs of them merged, and one row
+    without a start, to be counted by other documents."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = batch.column(3).cast(pa.large_binary())
             rows, hs, packs, segs = [], [], [], []
             for r in range(batch.num_rows):
-                text = texts[r].as_py()
+                text, own = texts[r].as_py(), []
                 for one in batch.column(4)[r].as_py():
                     if one["hot"] != hot:
                         continue
                     pack = one["packed"]
                     place, before, after = pack >> 20, (pack >> 10) & 1023, pack & 1023
                     if hot:
-                        for s in range(place - before, place + after - length + 1):
-                            rows.append(r)
-                            hs.append(s)
-                            segs.append(hashlib.blake2b(text[s : s + length], digest_size=16).digest())
+                        starts = range(place - before, place + after - length + 1)
+                        own += [(hashlib.blake2b(text[s : s + length], digest_size=16).digest(), s) for s in starts]
                     else:
                         rows.append(r)
                         hs.append(one["h"])
                         packs.append(pack)
                         segs.append(text[place - before : place + after])
+                if own:
+                    times = Counter(d for d, _ in own)
+                    for digest, start in sorted(own, key=lambda x: x[1]):
+                        if times[digest] == 1:
+                            rows.append(r)
+                            segs.append(digest)
+                            hs.append(start)
+                            packs.append(start + length)
+                        elif rows and rows[-1] == r and segs[-1] is None and packs[-1] is not None and start <= packs[-1]:
+                            packs[-1] = start + length
+                        else:
+                            rows.append(r)
+                            segs.append(None)
+                            hs.append(start)
+                            packs.append(start + length)
+                    for digest in (d for d, n in times.items() if n > 1):
+                        rows.append(r)
+                        segs.append(digest)
+                        hs.append(None)
+                        packs.append(None)
                 if len(segs) >= 20_000 or r == batch.num_rows - 1:
                     take = pa.array(rows, pa.int64())
                     keys = [batch.column(0).take(take), batch.column(1).take(take)]
                     if hot:
-                        yield pa.RecordBatch.from_arrays([pa.array(segs, pa.binary()), *keys, pa.array(hs, pa.int64())], names=["digest", "k1", "k2", "start"])
+                        yield pa.RecordBatch.from_arrays([pa.array(segs, pa.binary()), *keys, pa.array(hs, pa.int64()), pa.array(packs, pa.int64())], names=["digest", "k1", "k2", "start", "end"])
                     else:
                         yield pa.RecordBatch.from_arrays([pa.array(hs, pa.int64()), *keys, pa.array(packs, pa.int64()), pa.array(segs, pa.binary())], names=["h", "k1", "k2", "packed", "seg"])
                     rows, hs, packs, segs = [], [], [], []
 
-    return docs_with.mapInArrow(run, "digest binary, k1 long, k2 long, start long" if hot else "h long, k1 long, k2 long, packed long, seg binary")
+    return docs_with.mapInArrow(run, "digest binary, k1 long, k2 long, start long, end long" if hot else "h long, k1 long, k2 long, packed long, seg binary")
 
 
 def _scan(contexts: DataFrame, length: int) -> DataFrame:
@@ -259,8 +280,11 @@ def repeated_spans(docs: DataFrame, length: int = 200, gram: int = GRAM, max_gro
     spans = _scan(_contexts(with_found, False, length).repartition("h").sortWithinPartitions("h"), length)
     if seen.where("hot").limit(1).count():
         strings = _contexts(with_found, True, length)
-        often = strings.groupBy("digest").agg(F.count("*").alias("n")).where("n > 1").select("digest")
-        spans = spans.unionByName(strings.join(often, "digest").select("k1", "k2", "start", (F.col("start") + length).alias("end")))
+        counted = strings.where("digest is not null")
+        often = counted.groupBy("digest").agg(F.count("*").alias("n")).where("n > 1").select("digest")
+        again = counted.where("start is not null").join(regrouped(often, "digest"), "digest")
+        for more in (again, strings.where("digest is null")):
+            spans = spans.unionByName(more.select("k1", "k2", "start", "end"))
     return keyed, spans
 
 
