@@ -34,6 +34,16 @@ def form_pairs(phases: DataFrame, pairs: DataFrame, px: Sequence[str], phase: st
     return rows.select(*px, "p.*", u.alias("u")).where("u is not null")
 
 
+def pair_tubes(phases: DataFrame, pairs: DataFrame, px: Sequence[str], phase: str = "phase") -> DataFrame:
+    """(px, u): the differences of all pairs in (i1, i2) order as one array, NaN where a date is
+    missing. One shuffle by pixel; the pairs never become rows."""
+    graph = pairs.agg(F.array_sort(F.collect_list(F.struct("i1", "i2", "date1", "date2"))).alias("__pairs"))
+    series = phases.groupBy(*px).agg(F.map_from_entries(F.collect_list(F.struct("date", phase))).alias("__m"))
+    gap = lambda p: F.try_element_at("__m", p["date2"]) - F.try_element_at("__m", p["date1"])
+    tube = F.transform("__pairs", lambda p: F.coalesce(gap(p), F.lit(float("nan"))))
+    return series.crossJoin(F.broadcast(graph)).select(*px, tube.alias("u"))  # one row by construction
+
+
 def subtract_reference(obs: DataFrame, reference: DataFrame, image: Sequence[str]) -> DataFrame:
     """u less the image's reference phase."""
     return obs.join(reference, list(image)).withColumn("u", F.col("u") - F.col("ref")).drop("ref")

@@ -756,12 +756,11 @@ def bilinear(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _tubes(spark: SparkSession, sf_dir: str):
-    """Tubes of the pixels that have every pair, and the graph on the driver (some hundred rows)."""
-    pairs = [tuple(r) for r in b.month_pairs(spark, sf_dir).select("i1", "i2").orderBy("i1", "i2").collect()]
+    """Tubes of all pixels, and the graph on the driver (some hundred rows)."""
+    graph = b.month_pairs(spark, sf_dir)
+    pairs = [tuple(r) for r in graph.select("i1", "i2").orderBy("i1", "i2").collect()]
     days = [r["days"] for r in b.months(spark, sf_dir).orderBy("idx").collect()]
-    obs = b.observations(spark, sf_dir).withColumn("ord", F.col("i1") * 100_000 + F.col("i2"))
-    tubes = raster.tubes(obs, "ord", "u", PX).where(F.size("u") == len(pairs))
-    return tubes, pairs, days
+    return timeseries.pair_tubes(b.monthly_phases(spark, sf_dir), graph, PX), pairs, days
 
 
 @query()

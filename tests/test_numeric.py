@@ -50,6 +50,15 @@ def test_all_solvers_return_the_rate(spark):
     assert np.allclose(l1[1], -0.003, atol=1e-6)
 
 
+def test_pair_tubes_mark_missing_dates(spark):
+    phases = spark.createDataFrame([(1, "a", 1.0), (1, "b", 3.0), (1, "c", 7.0), (2, "a", 1.0), (2, "c", 2.0)], "px int, date string, phase double")
+    pairs = spark.createDataFrame([("b", "c", 1, 2, 5), ("a", "b", 0, 1, 4), ("a", "c", 0, 2, 9)], "date1 string, date2 string, i1 int, i2 int, days int")
+    got = {r["px"]: r["u"] for r in timeseries.pair_tubes(phases, pairs, ["px"]).collect()}
+    assert got[1] == [2.0, 6.0, 4.0] and got[2][1] == 1.0 and math.isnan(got[2][0]) and math.isnan(got[2][2])
+    rows = {(r["px"], r["i1"], r["i2"]): r["u"] for r in timeseries.form_pairs(phases, pairs, ["px"]).collect()}
+    assert rows == {(1, 0, 1): 2.0, (1, 0, 2): 6.0, (1, 1, 2): 4.0, (2, 0, 2): 1.0}
+
+
 def test_screening_and_l1_survive_a_jump(spark):
     u = stack(0.01, corrupt=[7], noise=1e-3)
     obs = observations(spark, [u])
