@@ -277,14 +277,22 @@ def repeated_spans(docs: DataFrame, length: int = 200, gram: int = GRAM, max_gro
     again = listed.join(seen, "h").groupBy("k1", "k2").agg(F.collect_set(F.struct("h", "packed", "hot")).alias("found"))
     # All columns of ``keyed``, so that this join and the last one share one exchange of the texts.
     with_found = keyed.join(again, ["k1", "k2"])
-    spans = _scan(_contexts(with_found, False, length).repartition("h").sortWithinPartitions("h"), length)
+
+    def part(hot: bool) -> DataFrame:
+        """Documents with anchors of one kind, and only those anchors."""
+        kind = F.filter("found", lambda x: x["hot"] == hot)
+        return _contexts(with_found.withColumn("found", kind).where(F.size("found") > 0), hot, length)
+
+    spans = _scan(part(False).repartition("h").sortWithinPartitions("h"), length)
     if seen.where("hot").limit(1).count():
-        strings = _contexts(with_found, True, length)
-        counted = strings.where("digest is not null")
-        often = counted.groupBy("digest").agg(F.count("*").alias("n")).where("n > 1").select("digest")
-        again = counted.where("start is not null").join(regrouped(often, "digest"), "digest")
-        for more in (again, strings.where("digest is null")):
-            spans = spans.unionByName(more.select("k1", "k2", "start", "end"))
+        strings = part(True)
+        often = strings.where("digest is not null").groupBy("digest").agg(F.count("*").alias("n")).where("n > 1")
+        often = regrouped(often.select("digest", F.lit(True).alias("often")), "digest")
+        # Spans without a digest get a key of their own, longer than any digest, so they spread.
+        own = F.concat_ws(":", F.lit("span of a document"), "k1", "k2", "start").cast("binary")
+        rows = strings.where("start is not null").withColumn("sure", F.col("digest").isNull()).withColumn("digest", F.coalesce("digest", own))
+        again = rows.join(often, "digest", "left").where("sure or often")
+        spans = spans.unionByName(again.select("k1", "k2", "start", "end"))
     return keyed, spans
 
 
