@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 
 from phasegrid.llm.shared import WORD, cut, text_or_empty
 
+FILL_ROUNDS = 4
 Knots = Sequence[tuple[float, float]]
 FLAT: Knots = ((0.0, 1.0), (1.0, 1.0))
 
@@ -136,14 +137,17 @@ def mix(
     rows = rows.withColumn("edge_start", F.max(F.when(edge, F.col("start"))).over(in_bucket))
     rows = rows.withColumn("edge_size", F.max(F.when(edge, F.col("size"))).over(in_bucket))
     rows = rows.withColumn("gap", F.col("rest") - F.col("edge_start"))
-    fits = (F.col("start") > F.col("edge_start")) & (F.col("size") > 0) & (F.col("size") <= F.col("gap"))
-    fits = F.coalesce(fits, F.lit(False))
-    rows = rows.withColumn("fill_end", F.sum(F.when(fits, F.col("size")).otherwise(0)).over(in_order))
-    fill = fits & (F.col("fill_end") <= F.col("gap"))
-    rows = rows.withColumn("fill", fill)
-    rows = rows.withColumn("filled", F.sum(F.when(fill, F.col("size")).otherwise(0)).over(in_bucket))
-    whole_edge = F.coalesce(F.col("edge_size") - F.col("gap") < F.col("gap") - F.col("filled"), F.lit(False))
-    extra = (F.col("end") <= F.col("rest")) | (F.col("edge") & whole_edge) | (F.col("fill") & ~whole_edge)
+    # Rounds of filling: what still fits the gap, in order, until the next one doesn't.
+    rows = rows.withColumns({"filled": F.lit(False), "left": F.col("gap")})
+    for _ in range(FILL_ROUNDS):
+        fits = (F.col("start") > F.col("edge_start")) & ~F.col("filled") & (F.col("size") > 0) & (F.col("size") <= F.col("left"))
+        rows = rows.withColumn("fits", F.coalesce(fits, F.lit(False)))
+        rows = rows.withColumn("fill_end", F.sum(F.when(F.col("fits"), F.col("size")).otherwise(0)).over(in_order))
+        rows = rows.withColumn("now", F.coalesce(F.col("fits") & (F.col("fill_end") <= F.col("left")), F.lit(False)))
+        rows = rows.withColumn("left", F.col("left") - F.sum(F.when(F.col("now"), F.col("size")).otherwise(0)).over(in_bucket))
+        rows = rows.withColumn("filled", F.col("filled") | F.col("now"))
+    whole_edge = F.coalesce(F.col("edge_size") - F.col("gap") < F.col("left"), F.lit(False))
+    extra = (F.col("end") <= F.col("rest")) | (F.col("edge") & whole_edge) | (F.col("filled") & ~whole_edge)
     rows = rows.withColumn("copies", F.when(F.col("size") > 0, F.col("epochs") + F.when(extra, 1).otherwise(0)).otherwise(0))
     rows = rows.withColumn("demand", F.coalesce(F.try_divide(F.col("start").cast("double"), F.col("target")), F.lit(0.0)))
     at = F.when(F.col("copies") > 0, F.least(F.lit(1.0), inverse(F.least(F.lit(1.0), F.col("demand")), F.col("parts"))))
