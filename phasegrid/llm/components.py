@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from phasegrid.llm.shared import cut
 
 
+#: Edges per file of a checkpoint: a small table isn't written as one file per shuffle partition.
+FILE_EDGES = 20_000
 #: Up to so many edges the table of least neighbours (at most two rows of some 50 bytes per edge) is
 #: broadcast; beyond, it is materialised, so that AQE can split the join at a node with many edges.
 SMALL_EDGES = 100_000
@@ -33,7 +35,8 @@ def components(edges: DataFrame, max_rounds: int = 60, small_edges: int = SMALL_
         large = sides.join(least, "u").where("v > u and v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         least = side(large.groupBy("u").agg(F.min("v").alias("m")))
         small = large.join(least, "u").where("v <> m").select(F.greatest("v", "m").alias("u"), F.least("v", "m").alias("v"))
-        now = cut(small.unionByName(least.select("u", F.col("m").alias("v"))).distinct())
+        joined = small.unionByName(least.select("u", F.col("m").alias("v"))).distinct()
+        now = cut(joined.coalesce(count // FILE_EDGES + 1))
         state = now.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if state == before:
             break

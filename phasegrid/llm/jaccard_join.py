@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 
 from phasegrid.llm import tokens
 from phasegrid.llm.components import components
-from phasegrid.llm.shared import cut, stay, text_or_empty
+from phasegrid.llm.shared import cut, regrouped, stay, text_or_empty
 
 
 def prefix_depth(threshold: float, trees: int, max_depth: int, target_recall: float) -> int:
@@ -164,7 +164,7 @@ def candidate_groups(classes: DataFrame, depth_pairs_least: float, max_group: in
     """(tid, grp): the candidate group of each class that has a partner."""
     nodes = classes.where("n_shingles > 0").select("tid", F.explode("prefixes").alias("prefix"))
     sizes = nodes.groupBy("prefix").agg(F.count("*").alias("n"), F.min("tid").alias("center")).where("n > 1")
-    under = cut(nodes.join(sizes, "prefix"))
+    under = cut(nodes.join(regrouped(sizes, "prefix"), "prefix"))
     hot = under.where(F.col("n") > max_group).select(F.col("tid").alias("a"), F.col("center").alias("b"))
     normal = under.where(F.col("n") <= max_group).select("prefix", "tid").join(classes.select("tid", "small"), "tid")
     dealt = normal.repartition("prefix").sortWithinPartitions("prefix", "tid")
@@ -275,7 +275,7 @@ def jaccard_join(
             F.first("prefixes").alias("prefixes"), F.first("small").alias("small"),
         )
     )
-    groups = cut(candidate_groups(classes, threshold - slack * error, max_group))
+    groups = candidate_groups(classes, threshold - slack * error, max_group)  # read from a checkpoint
     members = groups.join(classes.select("tid", "copies"), "tid")
     sizes = groups.groupBy("grp").agg(F.count("*").alias("m"))
     members = members.join(sizes, "grp").withColumn("parts", F.ceil(F.col("m") / block).cast("int"))
@@ -297,10 +297,9 @@ def jaccard_join(
     links = checked.where("b is null").groupBy(F.col("a").alias("tid")).agg(F.sum("links").alias("links"), F.sum("text_links").alias("text_links"))
     labels = components(checked.where("b is not null").select("a", "b")).withColumnsRenamed({"node": "tid", "label": "root"})
     plain = classes.select("tid", "copies", "first_id")
-    linked = cut(labels.join(plain, "tid"))
+    linked = labels.join(plain, "tid")
     least = F.min(F.struct(F.col("first_id").isNull(), "first_id", "tid"))
-    # Materialised, so that AQE can split the join at a class with many texts.
-    by_root = cut(linked.groupBy("root").agg(least.alias("least"), F.sum("copies").alias("size")))
+    by_root = regrouped(linked.groupBy("root").agg(least.alias("least"), F.sum("copies").alias("size")), "root")
     of_class = linked.select("tid", "root").join(by_root, "root").select("tid", "least", "size")
     near = plain.join(of_class, "tid", "left").join(links, "tid", "left")
     near = near.select(
@@ -308,7 +307,7 @@ def jaccard_join(
         F.coalesce("least.tid", "tid").alias("keep_tid"), F.coalesce("size", "copies").alias("class_size"),
         (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.coalesce("text_links", F.lit(0)).alias("n_text_links"),
     )
-    out = signed.select("tid", "doc_id").join(near, "tid")
+    out = signed.select("tid", "doc_id").join(regrouped(near, "tid"), "tid")
     stays = F.col("doc_id").eqNullSafe(F.col("class_id")) & (F.col("tid") == F.col("keep_tid"))
     return out.select("doc_id", "class_id", stays.alias("keep"), "class_size", "n_links", "n_text_links", "tid")
 
