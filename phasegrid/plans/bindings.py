@@ -52,8 +52,9 @@ def monthly_phases(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def months(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(idx, date, days) of all months with orders of known customers."""
-    return network.date_index(monthly_phases(spark, sf_dir).select("date"))
+    """(idx, date, days) of all months with orders: one column of one table, no join."""
+    month = F.to_date(F.date_trunc("month", "o_orderdate"))
+    return network.date_index(table(spark, sf_dir, "orders").select(month.alias("date")).distinct())
 
 
 def month_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -76,7 +77,7 @@ Z = PX + ", z AS (SELECT r, (c // 2)::INTEGER AS c, max(CASE WHEN c % 2 = 0 THEN
 N_ROWS = "(SELECT max(vec_id) + 1 FROM embeddings)"
 OBS = """obs AS (SELECT c_nationkey AS px, date_trunc('month', o_orderdate)::DATE AS date, round(sum(o_totalprice) / 1e6, 9) AS phase
   FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY ALL)"""
-DATES = OBS + ", dates AS (SELECT (row_number() OVER (ORDER BY date) - 1)::INTEGER AS idx, date, (date - min(date) OVER ())::INTEGER AS days FROM (SELECT DISTINCT date FROM obs))"
+DATES = OBS + ", dates AS (SELECT (row_number() OVER (ORDER BY date) - 1)::INTEGER AS idx, date, (date - min(date) OVER ())::INTEGER AS days FROM (SELECT DISTINCT date_trunc('month', o_orderdate)::DATE AS date FROM orders))"
 STEPS = DATES + ", steps AS (SELECT * FROM (SELECT idx AS k, date AS start, lead(date) OVER (ORDER BY idx) AS end_, (lead(date) OVER (ORDER BY idx) - date)::INTEGER AS dt FROM dates) WHERE end_ IS NOT NULL)"
 PAIRS = STEPS + f""", pairs AS (SELECT a.date AS date1, b.date AS date2, a.idx AS i1, b.idx AS i2, a.days AS t1, b.days AS t2, (b.date - a.date)::INTEGER AS days
   FROM dates a JOIN dates b ON b.date - a.date BETWEEN {MIN_DAYS} AND {MAX_DAYS})"""

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from phasegrid.functions import cplx, geo, names
+from phasegrid.functions import sql as sql_functions
 from phasegrid.operators import catalog, interferograms, joins, orbit, raster, similarity, timeseries, unwrapping
 from phasegrid.plans import bindings as b
 from phasegrid.plans import network
@@ -430,6 +431,20 @@ def bbox_intersect(spark: SparkSession, sf_dir: str) -> DataFrame:
     return s.select("k", box.alias("b")).where("b is not null").select("k", "b.*")
 
 
+@query(f"""WITH {b.PX}, q AS (SELECT r, c, v, v * 20 AS x FROM px WHERE c < 8)
+SELECT r, c, round(x - 2 * pi() * ceil((x - pi()) / (2 * pi())), 6) + 0e0 AS wrapped, round(v - floor(v + 0.5::DOUBLE), 6) + 0e0 AS cycles,
+ round(greatest(0, v - 0.1::DOUBLE) - greatest(0, -v - 0.1::DOUBLE), 6) + 0e0 AS soft, trunc((v - 0.5::DOUBLE) / -0.01::DOUBLE)::INTEGER AS row_ FROM q""")
+def functions_in_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A query in SQL text over the registered functions."""
+    sql_functions.register(spark)
+    px = b.embedding_pixels(spark, sf_dir).where("c < 8")
+    return spark.sql(
+        """SELECT r, c, round(pg_wrap(v * 20), 6) + 0D AS wrapped, round(pg_wrap_cycles(v), 6) + 0D AS cycles,
+        round(pg_soft_threshold(v, 0.1D), 6) + 0D AS soft, pg_row(v, 0.5D, -0.01D) AS row_ FROM {px}""",
+        px=px,
+    )
+
+
 # ---- joins and catalogues -----------------------------------------------------------------------
 
 
