@@ -111,6 +111,29 @@ WHERE d.license_id IS NOT NULL OR b.n > 0"""
 
 
 ORACLE = {
+    "op1_jaccard_join": r"""
+WITH RECURSIVE d AS (SELECT doc_id, coalesce(text, '') AS text, md5(coalesce(text, '')) AS t FROM documents),
+c AS (SELECT t, min(doc_id) AS first_id, count(*) AS copies, any_value(text) AS text FROM d GROUP BY t),
+w AS (SELECT t, regexp_extract_all(lower(text), '[^ \t\n\x0B\f\r]+') AS w FROM c),
+s AS (SELECT DISTINCT t, md5(array_to_string(w[i:i + 4], ' ')) AS s FROM (SELECT t, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM w WHERE len(w) > 0)),
+n AS (SELECT t, count(*) AS n FROM s GROUP BY t),
+p AS (SELECT a.t AS a, b.t AS b, count(*) AS k FROM s a JOIN s b ON b.s = a.s AND b.t <> a.t GROUP BY ALL),
+e AS (SELECT a, b FROM p JOIN n x ON x.t = a JOIN n y ON y.t = b WHERE 5 * k >= 4 * (x.n + y.n - k)),
+l AS (SELECT a AS t, sum(copies) AS links, count(*) AS texts FROM e JOIN c ON c.t = e.b GROUP BY a),
+r(t, o) AS (SELECT t, t FROM c UNION SELECT r.t, e.b FROM r JOIN e ON e.a = r.o),
+g AS (SELECT r.t, min(first_id) AS class_id, sum(copies)::BIGINT AS class_size FROM r JOIN c ON c.t = r.o GROUP BY r.t)
+SELECT doc_id, class_id, doc_id = class_id AS keep, class_size, (coalesce(links, 0) + copies - 1)::BIGINT AS n_links, coalesce(texts, 0) AS n_text_links
+FROM d JOIN c USING (t) JOIN g USING (t) LEFT JOIN l USING (t)""",
+    "op2_suffix_dedup": r"""
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h, length(hex(encode(coalesce(text, '')))) // 2 AS n, row_number() OVER () AS k FROM documents),
+s AS (SELECT k, i, md5(substr(h, 2 * i + 1, 400)) AS m FROM (SELECT k, h, unnest(range(n - 199)) AS i FROM d WHERE n >= 200)),
+f AS (SELECT k, i FROM s WHERE m IN (SELECT m FROM s GROUP BY m HAVING count(*) > 1)),
+g AS (SELECT k, i, CASE WHEN i <= lag(i) OVER (PARTITION BY k ORDER BY i) + 200 THEN 0 ELSE 1 END AS new FROM f),
+u AS (SELECT k, i, sum(new) OVER (PARTITION BY k ORDER BY i) AS run FROM g),
+v AS (SELECT k, run, min(i) AS a, max(i) + 200 AS z FROM u GROUP BY ALL),
+x AS (SELECT k, a, z, coalesce(lag(z) OVER (PARTITION BY k ORDER BY a), 0) AS p, row_number() OVER (PARTITION BY k ORDER BY a DESC) AS last FROM v),
+y AS (SELECT x.k, sum(z - a)::BIGINT AS n_removed, count(*) AS n_spans, string_agg(substr(h, 2 * p + 1, 2 * (a - p)), '' ORDER BY a) || substr(any_value(h), 2 * max(z) + 1) AS kept FROM x JOIN d ON d.k = x.k GROUP BY x.k)
+SELECT doc_id, n AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans, sha256(unhex(coalesce(kept, h))) AS kept_sha256 FROM d LEFT JOIN y USING (k)""",
     "op3_exact_dedup": """
 WITH d AS (SELECT doc_id, sha256(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')) AS s FROM documents),
 g AS (SELECT s, max(doc_id) AS keep_id, count(*) AS group_size FROM d GROUP BY s)
