@@ -189,3 +189,20 @@ def bilinear(points: DataFrame, df: DataFrame, key: str, row: str, col: str, val
     four = F.array(corner(0, 0, (1 - a) * (1 - b)), corner(0, 1, (1 - a) * b), corner(1, 0, a * (1 - b)), corner(1, 1, a * b))
     spread = points.select(key, F.explode(four).alias("q")).select(key, "q.*")
     return spread.join(df, ["r", "c"]).groupBy(key).agg(*[F.sum(F.col(v) * F.col("w")).alias(v) for v in values])
+
+
+def detrend_plane(stack: DataFrame, value: str, keys: Sequence[str]) -> DataFrame:
+    """An extension: each image less its least-squares plane over (r, c). The plane comes from nine
+    sums per image, combined on the map side; coordinates are centred for conditioning."""
+    centre = stack.groupBy(*keys).agg(F.avg("r").alias("__r0"), F.avg("c").alias("__c0"), F.avg(value).alias("__v0"))
+    moved = stack.join(centre, list(keys)).withColumns({"__x": F.col("r") - F.col("__r0"), "__y": F.col("c") - F.col("__c0")})
+    product = lambda a, b: F.sum(F.col(a) * F.col(b))
+    sums = moved.groupBy(*keys).agg(
+        product("__x", "__x").alias("xx"), product("__x", "__y").alias("xy"), product("__y", "__y").alias("yy"), product("__x", value).alias("xv"), product("__y", value).alias("yv")
+    )
+    whole = F.col("xx") * F.col("yy") - F.col("xy") * F.col("xy")
+    slope_r = F.coalesce(F.try_divide(F.col("xv") * F.col("yy") - F.col("yv") * F.col("xy"), whole), F.lit(0.0))
+    slope_c = F.coalesce(F.try_divide(F.col("yv") * F.col("xx") - F.col("xv") * F.col("xy"), whole), F.lit(0.0))
+    planes = sums.select(*keys, slope_r.alias("__a"), slope_c.alias("__b"))
+    flat = F.col(value) - F.col("__v0") - F.col("__a") * F.col("__x") - F.col("__b") * F.col("__y")
+    return moved.join(planes, list(keys)).select(*stack.columns, flat.alias("__flat")).withColumn(value, F.col("__flat")).drop("__flat")

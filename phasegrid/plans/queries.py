@@ -355,6 +355,14 @@ def evenly_spaced_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return raster.evenly_spaced(b.order_days(spark, sf_dir), "date", 8)
 
 
+@query(f"""WITH {b.PX}, g AS (SELECT r // 50 AS img, r, c, v FROM px), m AS (SELECT img, avg(r) AS r0, avg(c) AS c0, avg(v) AS v0 FROM g GROUP BY img),
+ x AS (SELECT g.*, r - r0 AS x, c - c0 AS y, v0 FROM g JOIN m USING (img)), s AS (SELECT img, sum(x * x) AS xx, sum(x * y) AS xy, sum(y * y) AS yy, sum(x * v) AS xv, sum(y * v) AS yv FROM x GROUP BY img)
+SELECT img, r, c, round(v - v0 - (xv * yy - yv * xy) / (xx * yy - xy * xy) * x - (yv * xx - xv * xy) / (xx * yy - xy * xy) * y, 6) + 0e0 AS v FROM x JOIN s USING (img)""")
+def detrend_plane(spark: SparkSession, sf_dir: str) -> DataFrame:
+    stack = b.embedding_pixels(spark, sf_dir).withColumn("img", F.expr("r div 50"))
+    return raster.detrend_plane(stack, "v", ["img"]).select("img", "r", "c", r6(F.col("v")).alias("v"))
+
+
 # ---- complex and geodetic functions -------------------------------------------------------------
 
 

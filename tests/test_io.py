@@ -222,3 +222,32 @@ def test_tiff_and_archives(spark, tmp_path):
     assert text_row["p"] == "1.5"
     pixels = archive.burst_pixels(archive.bursts(zips, "vv", 6), ["burst"]).collect()
     assert len(pixels) == 60 and all(complex(p["re"], p["im"]) == z[p["burst"] * 6 + p["r"], p["c"]] for p in pixels)
+
+
+def test_annotation(spark):
+    from phasegrid.sources import annotation
+
+    def document(fm):
+        orbits = "".join(f"<orbit><time>2020-01-02T03:04:0{i}.5</time><position><x>{i}</x><y>2</y><z>3</z></position><velocity><x>4</x><y>5</y><z>6</z></velocity></orbit>" for i in range(4))
+        burst = "<burst><azimuthTime>2020-01-02T03:04:05.25</azimuthTime><byteOffset>{}</byteOffset><firstValidSample count=\"5\">-1 7 9 8 -1</firstValidSample></burst>"
+        dc = "<dcEstimate><azimuthTime>2020-01-02T03:04:05</azimuthTime><t0>0.005</t0><dataDcPolynomial count=\"3\">1 2 3</dataDcPolynomial></dcEstimate>"
+        return (
+            "<product><missionId>S1A</missionId><pass>Ascending</pass><radarFrequency>5.405e9</radarFrequency><slantRangeTime>0.005</slantRangeTime>"
+            "<productFirstLineUtcTime>2020-01-02T03:04:05.0</productFirstLineUtcTime><azimuthTimeInterval>0.002</azimuthTimeInterval><numberOfLines>1001</numberOfLines>"
+            f"<swathTiming><burstList count=\"2\">{burst.format(10)}{burst.format(20)}</burstList></swathTiming><orbitList>{orbits}</orbitList>"
+            f"<azimuthFmRateList><azimuthFmRate><azimuthTime>2020-01-02T03:04:05</azimuthTime><t0>0.006</t0>{fm}</azimuthFmRate></azimuthFmRateList><dcEstimateList>{dc}</dcEstimateList></product>"
+        )
+
+    docs = spark.createDataFrame(
+        [("a", document("<azimuthFmRatePolynomial>-2300 4 5</azimuthFmRatePolynomial>")), ("b", document("<c0>-2300</c0><c1>4</c1><c2>5</c2>"))], "scene string, xml string"
+    )
+    p = annotation.parameters(docs, ["scene"]).where("scene = 'a'").first()
+    assert p["mission"] == "S1A" and p["lines"] == 1001 and p["prf"] is None
+    assert p["near_range"] == pytest.approx(0.005 * 299792458 / 2) and p["wavelength"] == pytest.approx(0.0554657, abs=1e-6)
+    assert (p["end_time"] - p["start_time"]).total_seconds() == pytest.approx(2.0)
+    assert annotation.long_parameters(docs, ["scene"]).where("scene = 'a' and name = 'direction'").first()["value"] == "Ascending"
+    b = annotation.bursts(docs, ["scene"]).where("scene = 'a'").orderBy("burst").collect()
+    assert [(x["byte_offset"], x["invalid_first"], x["invalid_last"], x["first_sample"]) for x in b] == [(10, 1, 1, 9), (20, 1, 1, 9)]
+    assert annotation.state_vectors(docs, ["scene"]).where("scene = 'b'").count() == 4
+    polys = annotation.polynomials(docs, ["scene"]).collect()
+    assert {(x["scene"], x["kind"], x["c0"], x["c1"], x["c2"]) for x in polys} == {(s, *k) for s in "ab" for k in (("fm", -2300.0, 4.0, 5.0), ("dc", 1.0, 2.0, 3.0))}
