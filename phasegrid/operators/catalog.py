@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from phasegrid.session import cut
@@ -98,7 +98,7 @@ def todo(wanted: DataFrame, done: DataFrame, key: Sequence[str]) -> DataFrame:
     return wanted.join(done.select(*key).distinct(), list(key), "left_anti")
 
 
-def linked(spark: SparkSession, links: DataFrame, roots: DataFrame, rounds: int = 50) -> DataFrame:
+def linked(links: DataFrame, roots: DataFrame, rounds: int = 50) -> DataFrame:
     """All names reachable from ``roots(name)`` over ``links(name, target)``: semi-naive rounds, each
     checkpoint holding only the names found so far."""
     seen = cut(roots.select("name").distinct())

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -15,8 +17,6 @@ def spiral(low: float, high: float) -> list[tuple[int, int]]:
     found = [(dr, dc) for dr in range(-reach, reach + 1) for dc in range(-reach, reach + 1) if low * low < dr * dr + dc * dc < high * high]
 
     def place(offset: tuple[int, int]) -> tuple[int, int, float]:
-        import math
-
         dr, dc = offset
         return round(math.sqrt(dr * dr + dc * dc)), dr * dr + dc * dc, math.atan2(dr, dc)
 

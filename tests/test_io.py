@@ -146,7 +146,7 @@ def test_joins_and_catalogue_edges(spark):
     assert "NestedLoop" not in got._jdf.queryExecution().executedPlan().toString()
     assert list(catalog.split_ranges(lambda s, e: e - s, 0, 10, 3)) == [(0, 2), (2, 5), (5, 7), (7, 10)]
     links = spark.createDataFrame([("a", "b"), ("b", "c"), ("c", "a"), ("x", "y")], "name string, target string")
-    assert {r["name"] for r in catalog.linked(spark, links, spark.createDataFrame([("a",)], "name string")).collect()} == {"a", "b", "c"}
+    assert {r["name"] for r in catalog.linked(links, spark.createDataFrame([("a",)], "name string")).collect()} == {"a", "b", "c"}
     with pytest.raises(ValueError):
         catalog.by_path(spark.createDataFrame([(1, 2)], "path int, frame int"), 5)
     layers = spark.createDataFrame([(0, 0, 1, 0.0), (0, 0, 2, 5.0), (0, 0, 3, 7.0)], "r int, c int, p int, v double")

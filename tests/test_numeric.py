@@ -298,3 +298,24 @@ def test_complex_columns(spark):
             assert abs(r["o"]) <= math.pi + 1e-9
     turned = spark.range(1).select(*cplx.rotate((F.lit(1.0), F.lit(0.0)), F.lit(math.pi / 2)), cplx.coherence(F.lit(3.0), F.lit(1.0), F.lit(1.0), "clip"), cplx.coherence(F.lit(3.0), F.lit(1.0), F.lit(1.0), "hash")).first()
     assert abs(turned[0]) < 1e-12 and abs(turned[1] - 1) < 1e-12 and turned[2] == 1.0 and 0 <= turned[3] < 1
+
+
+def test_pair_table_by_dates_and_baselines(spark):
+    scenes = spark.createDataFrame([("2020-01-01", 0.0), ("2020-01-13", 120.0), ("2020-02-06", -250.0)], "date string, bperp double").withColumn("date", F.to_date("date"))
+    got = {(str(r["date1"]), str(r["date2"])): (r["days"], r["bperp"]) for r in orbit.pair_table(scenes, scenes, (6, 40), (0.0, 300.0)).collect()}
+    assert got == {("2020-01-01", "2020-01-13"): (12, 120.0), ("2020-01-01", "2020-02-06"): (36, -250.0)}
+
+
+def test_plane_removal(spark):
+    r, c = np.mgrid[0:9, 0:7]
+    rows = [(k, int(i), int(j), float(3 + k * i - 2 * j)) for k in (1, 2) for i, j in zip(r.ravel(), c.ravel(), strict=True)]
+    flat = raster.detrend_plane(spark.createDataFrame(rows, "img int, r int, c int, v double"), "v", ["img"]).collect()
+    assert len(flat) == len(rows) and all(abs(x["v"]) < 1e-9 for x in flat)
+    one = spark.createDataFrame([(1, 0, 0, 5.0)], "img int, r int, c int, v double")
+    assert raster.detrend_plane(one, "v", ["img"]).first()["v"] == 0.0
+
+
+def test_seasonal_and_other_models_share_tubes(spark):
+    frame = spark.createDataFrame([(1, [1.0, 2.0, float("nan")])], "px int, u array<double>")
+    got = timeseries.sbas_model(frame, ["px"], np.array([[1.0], [2.0], [5.0]])).first()
+    assert got["x"] == pytest.approx([1.0])
