@@ -103,6 +103,15 @@ def statistics(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     )
 
 
+def whiten(factor: np.ndarray, d: np.ndarray) -> np.ndarray:
+    """Solve factor · w = d by forward substitution over the few dimensions, each step vectorised over
+    all rows. No threaded linear algebra: its pools stall with many small problems on shared cores."""
+    w = np.empty_like(d)
+    for i in range(len(factor)):
+        w[i] = (d[i] - (factor[i, :i, None] * w[:i]).sum(axis=0)) / factor[i, i]
+    return w
+
+
 @dataclass(frozen=True)
 class Model:
     center: np.ndarray
@@ -118,8 +127,7 @@ class Model:
         z = np.clip((x - self.center) / self.scale, -8, 8)
         out = []
         for mean, factor, log_det in zip(self.means, self.factors, self.log_dets, strict=True):
-            white = np.linalg.solve(factor, (z - mean).T)
-            out.append(-0.5 * ((white * white).sum(axis=0) + log_det))
+            out.append(-0.5 * ((whiten(factor, (z - mean).T) ** 2).sum(axis=0) + log_det))
         return out[1] - out[0]
 
     def score(self, x: np.ndarray) -> np.ndarray:
@@ -137,7 +145,7 @@ def fit(x: np.ndarray, y: np.ndarray, towards_pooled: float = 0.3, towards_ident
     z = np.clip((x - center) / scale, -8, 8)
     parts = [z[y == c] for c in (0, 1)]
     means = tuple(p.mean(axis=0) for p in parts)
-    own = [np.cov(p.T, bias=True) for p in parts]
+    own = [np.einsum("ni,nj->ij", p - m, p - m) / len(p) for p, m in zip(parts, means, strict=True)]
     pooled = (n0 * own[0] + n1 * own[1]) / (n0 + n1)
     factors, log_dets = [], []
     for c in own:
