@@ -2,7 +2,9 @@
 
 import collections
 import json
+import pathlib
 import random
+import textwrap
 import zlib
 
 import numpy as np
@@ -11,7 +13,7 @@ from pyspark.sql import functions as F
 
 from phasegrid.llm import chat, html_text, licenses, mixing, quality, secrets, tiling, tokens
 
-from .helpers import LONG, empty, nasty, row
+from .helpers import LONG, SCHEMA, empty, nasty, row
 
 
 # ---- chat ---------------------------------------------------------------------------------------
@@ -211,6 +213,26 @@ def test_license_scan(spark):
     assert licenses.license_scan(empty(spark), licenses.known_licenses(spark)).count() == 0
 
 
+def test_complete_license_texts_are_known(spark):
+    folder = pathlib.Path(licenses.__file__).parent / "license_texts"
+    texts = {p.stem: p.read_text() for p in folder.glob("*.txt")}
+    names = sorted(texts)
+    assert {"MIT", "Apache-2.0", "BSD-2-Clause", "BSD-3-Clause", "GPL-2.0", "GPL-3.0", "ISC"} <= set(names)
+    rows = [row(100 + i, texts[n]) for i, n in enumerate(names)]
+    rows += [row(200 + i, f"Some prose of its own.\n\n{texts[n]}") for i, n in enumerate(names)]
+    mit, isc = "MIT License\n\nCopyright (c) 2020 A B\n\n" + texts["MIT"], textwrap.fill(" ".join(texts["ISC"].split()[:33]), 55) + "\n" + texts["ISC"].split("copies.")[1]
+    rows += [row(300, mit), row(301, isc), row(302, "// SPDX-License-Identifier: GPL-2.0-or-later"), row(303, "no\nMIT License\nhere"), row(304, "Permission is hereby granted")]
+    got = {r["doc_id"]: r for r in licenses.license_scan(spark.createDataFrame(rows, SCHEMA), licenses.known_licenses(spark)).collect()}
+    families = {"BSD-2-Clause": "BSD", "BSD-3-Clause": "BSD"}
+    for i, n in enumerate(names):
+        assert got[100 + i]["license_id"] == n
+        assert got[200 + i]["license_id"] is None
+        notices = set(got[200 + i]["notices"].split(","))
+        assert notices and notices <= {n, families.get(n, "GNU")} and (n in notices or n == "BSD-2-Clause")
+    assert got[300]["license_id"] == "MIT" and got[301]["license_id"] == "ISC" and got[302]["notices"] == "GPL-2.0" and got[303]["notices"] == "MIT"
+    assert 304 not in got
+
+
 # ---- decontamination ----------------------------------------------------------------------------
 
 
