@@ -7,12 +7,15 @@ are deleted. What the markup itself names as menu, header, footer, sidebar, noti
 script, style or reader comment is deleted as well. The main text is what is left of the article
 elements, else of the main element, else of the body.
 
-A subtree is a template if it occurs on ``min_pages`` pages of the host and on ``min_share`` of them,
-and holds less than half of the page's text. Running text inside an article (paragraphs, headings,
-lists) is never a candidate: it stays however often it is repeated. So a host has at most as many
-template subtrees as a page has elements, divided by ``min_share``. The table of templates is
-broadcast while it has ``max_broadcast`` rows or fewer (16 bytes and the host each), else it is
-joined by a shuffle on the host, which AQE splits for a hot host.
+A subtree is a template if it occurs with ``min_pages`` different stories of the host, however large
+the host, and holds less than half of the page's text. The story of a page is the hash of its three
+longest blocks outside of what the markup names, so copies of a page, or of all but its date, count
+once and don't make their own text a template. A subtree on ``min_pages`` pages and ``min_share`` of
+the host's pages is a template too; inside an article this alone holds for lists and tables. Other
+running text inside an article (paragraphs, headings, items) is never a candidate: it stays however
+often it is repeated. The table of templates is broadcast while it has ``max_broadcast`` rows or
+fewer (8 bytes each, and the hosts); of a larger one, each page gets by shuffles on host and subtree,
+then on host and digest of the page, only the templates that it holds.
 
 Character references are decoded, white space inside a block becomes one space, blocks are joined by
 one line feed. Null html counts as empty, and an empty text is an empty string. Pages with a null or
@@ -59,6 +62,7 @@ _NAMED = frozenset(
 _ARTICLE_NAMES = frozenset(("header", "headers"))
 #: Elements whose subtrees are hashed and counted; the last are so only outside of articles.
 _COUNTED = frozenset("div section ul ol dl table nav header footer aside form menu figure details center address".split())
+_SHARED = frozenset("ul ol dl table".split())
 _COUNTED_OUTSIDE = frozenset("p h1 h2 h3 h4 h5 h6 pre blockquote li".split())
 _CLOSED_BY = {
     "li": (("li",), ("ul", "ol", "menu")),
@@ -202,17 +206,34 @@ class Page:
         self._text(html[at:])
         self._close(len(self._stack) - 1)
 
-    def candidates(self) -> set[int]:
-        """Hashes of the subtrees that may be part of the host's template."""
-        inside, out, half = [False], set(), self.size[0] / 2
+    def candidates(self) -> dict[int, bool]:
+        """Hashes of the subtrees that may be part of the host's template; false for those that only
+        count by their share of the pages."""
+        inside, out, half = [False], {}, self.size[0] / 2
         for i in range(1, len(self.tag)):
             tag = self.tag[i]
             within = inside[self.parent[i]] or tag in ("article", "main")
             inside.append(within)
             if self.size[i] and self.size[i] < half and (tag in _COUNTED or (not within and tag in _COUNTED_OUTSIDE)):
-                out.add(self.hash[i])
+                out[self.hash[i]] = out.get(self.hash[i], True) and not (within and tag in _SHARED)
         return out
 
+    def story(self) -> int:
+        """The hash of the three longest blocks that the markup doesn't name as boilerplate."""
+        gone = [False]
+        for i in range(1, len(self.tag)):
+            gone.append(gone[self.parent[i]] or self.named[i])
+        blocks, now = set(), []
+        for i, run in [*self.runs, (0, None)]:
+            if run is not None:
+                if not gone[i]:
+                    now.append(run)
+            elif now:
+                blocks.add(" ".join("".join(now).split()))
+                now = []
+        longest = sorted(blocks, key=lambda x: (-len(x), x))[:3]
+        return xxhash.xxh3_64_intdigest("\n".join(longest).encode("utf-8", "surrogatepass")) - (1 << 63)
+
     def text(self, template: set[int]) -> str:
         n = len(self.tag)
         half = self.size[0] / 2
@@ -254,21 +275,34 @@ def host_of(url: Column) -> Column:
     return F.lower(found)
 
 
-def template_hashes(pages: DataFrame, min_pages: int, min_share: float) -> DataFrame:
-    """(host, hash) of the template subtrees of ``pages(host, html)``."""
+def _subtrees(pages: DataFrame) -> DataFrame:
+    """(host, digest, story, hash, always) of each candidate of ``pages(host, html)``."""
+    pages = pages.select("host", "html", F.xxhash64("html", F.lit("digest")).alias("digest"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            hosts, hashes = [], []
-            for host, html in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                found = Page(html.as_py()).candidates()
-                hosts += [host] * len(found)
-                hashes += found
-            yield pa.RecordBatch.from_arrays([pa.array(hosts, pa.string()), pa.array(hashes, pa.int64())], names=["host", "hash"])
-
-    counted = pages.mapInArrow(run, "host string, hash long").groupBy("host", "hash").agg(F.count("*").alias("n")).where(F.col("n") >= min_pages)
+            out: list[list] = [[], [], [], [], []]
+            for host, html, digest in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2).to_pylist(), strict=True):
+                page = Page(html.as_py())
+                found = page.candidates()
+                size = len(found)
+                for column, values in zip(out, ([host] * size, [digest] * size, [page.story()] * size, found.keys(), found.values()), strict=True):
+                    column += values
+            kinds = (pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.bool_())
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds, strict=True)], names=["host", "digest", "story", "hash", "always"])
+
+    return pages.mapInArrow(run, "host string, digest long, story long, hash long, always boolean")
+
+
+def template_hashes(pages: DataFrame, min_pages: int, min_share: float) -> DataFrame:
+    """(host, hash) of the template subtrees of ``pages(host, html)``."""
+    # By story first, so a subtree of a hot host is counted by many tasks.
+    stories = _subtrees(pages).groupBy("host", "hash", "story").agg(F.count("*").alias("n"), F.min("always").alias("always"))
+    counted = stories.groupBy("host", "hash").agg(F.sum("n").alias("n"), F.count("*").alias("stories"), F.min("always").alias("always"))
     hosts = pages.groupBy("host").agg(F.count("*").alias("pages"))
-    return counted.join(hosts, "host").where(F.col("n") >= F.col("pages") * min_share).select("host", "hash")
+    often = F.col("always") & (F.col("stories") >= min_pages)
+    shared = (F.col("n") >= min_pages) & (F.col("n") >= F.col("pages") * min_share)
+    return counted.where(F.col("n") >= min_pages).join(hosts, "host").where(often | shared).select("host", "hash")
 
 
 def main_text(pages: DataFrame, min_pages: int = 5, min_share: float = 0.3, max_broadcast: int = 100_000) -> DataFrame:
@@ -277,16 +311,25 @@ def main_text(pages: DataFrame, min_pages: int = 5, min_share: float = 0.3, max_
         F.col("page_id"), F.col("url"), host_of(F.col("url")).alias("host"), F.coalesce(F.col("html").cast("string"), F.lit("")).alias("html")
     )
     listed = cut(template_hashes(base.select("host", "html"), min_pages, min_share))
-    per_host = listed.groupBy("host").agg(F.collect_list("hash").alias("template"))
+    known = None
     if listed.count() <= max_broadcast:
-        per_host = F.broadcast(per_host)
-    joined = base.join(per_host, "host", "left").select("page_id", "url", "html", "template")
+        per_host: dict[str, set[int]] = {}
+        for host, found in listed.collect():
+            per_host.setdefault(host, set()).add(found)
+        known = pages.sparkSession.sparkContext.broadcast(per_host)
+        joined = base.withColumn("template", F.lit(None).cast("array<long>"))
+    else:
+        held = _subtrees(base.select("host", "html")).select("host", "digest", "hash").distinct().join(listed, ["host", "hash"])
+        held = held.groupBy("host", "digest").agg(F.collect_set("hash").alias("template"))
+        joined = base.withColumn("digest", F.xxhash64("html", F.lit("digest"))).join(held, ["host", "digest"], "left")
+    joined = joined.select("page_id", "url", "host", "html", "template")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = []
-            for html, template in zip(batch.column(2), batch.column(3), strict=True):
-                texts.append(Page(html.as_py()).text(set(template.as_py() or ())).encode("utf-8", "replace").decode())
+            for host, html, template in zip(batch.column(2).to_pylist(), batch.column(3), batch.column(4), strict=True):
+                own = known.value.get(host, set()) if known else set(template.as_py() or ())
+                texts.append(Page(html.as_py()).text(own).encode("utf-8", "replace").decode())
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string())], names=["page_id", "url", "text"])
 
     schema = f"page_id {base.schema['page_id'].dataType.simpleString()}, url {base.schema['url'].dataType.simpleString()}, text string"

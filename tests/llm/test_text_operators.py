@@ -149,6 +149,25 @@ def test_site_template_is_removed_but_articles_stay(spark):
     assert html_text.main_text(frame.limit(0)).count() == 0
 
 
+def test_blocks_on_few_of_many_pages_are_template_but_copies_stay(spark):
+    pages = []
+    for i in range(60):
+        story = "".join(f"<p>story {i} part {k} with words of its own</p>" for k in range(6))
+        block = f"<div><p>Rotating note {i % 10}</p></div>"  # on 6 of 85 pages: far below the share
+        own = f"<ul><li>shared item {i % 10}</li></ul><table><tr><td>cell {i % 10}</td></tr></table>"
+        pages.append((i, "http://big.example/", f"<body>{block}<article>{story}{own}</article></body>"))
+    copy = "".join(f"<p>copied part {k} of one page without an article</p>" for k in range(6))
+    pages += [(100 + i, "http://big.example/", f"<body>{copy}<p>{i}</p></body>") for i in range(15)]
+    pages += [(200 + i, "http://big.example/", f"<body><article>{copy.replace('<p>', '<div><p>').replace('</p>', '</p></div>')}</article></body>") for i in range(10)]
+    frame = spark.createDataFrame(pages, "page_id long, url string, html string")
+    for limit in (100_000, 0):
+        got = {r["page_id"]: r["text"] for r in html_text.main_text(frame, max_broadcast=limit).collect()}
+        for i in range(60):
+            assert got[i] == "\n".join([f"story {i} part {k} with words of its own" for k in range(6)] + [f"shared item {i % 10}", f"cell {i % 10}"])
+        for i in [*range(100, 115), *range(200, 210)]:
+            assert got[i].startswith("\n".join(f"copied part {k} of one page without an article" for k in range(6)))
+
+
 # ---- mixing -------------------------------------------------------------------------------------
 
 
