@@ -4,7 +4,10 @@ A page is read into a flat tree by a tolerant tokeniser that closes what authors
 element that can hold boilerplate has a hash of its subtree (tags and texts). Spark counts, per host,
 the pages on which a hash occurs; subtrees that recur on many pages of the host are its template and
 are deleted. What the markup itself names as menu, header, footer, sidebar, notice, advert, form,
-script, style or reader comment is deleted as well. The main text is what is left of the article
+script, style or reader comment is deleted as well. Classes, ids and roles count as whole tokens, or
+if all words of a token are such names or words of place (``site-footer``, not ``related-work``). In
+an article an id names no heading, section or text, and a class names text only as an advert. html,
+body and main, and what wraps the page's main text, are never deleted by their names. The main text is what is left of the article
 elements, else of the main element, else of the body.
 
 A subtree is a template if it occurs with ``min_pages`` different stories of the host, however large
@@ -27,6 +30,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from functools import lru_cache
 from html import unescape
 
 import pyarrow as pa
@@ -60,6 +64,17 @@ _NAMED = frozenset(
     "share sharing social related footer contentinfo masthead login signup search toolbar pagination widget".split()
 )
 _ARTICLE_NAMES = frozenset(("header", "headers"))
+#: The only names that text inside an article can have.
+_ADVERTS = frozenset("ad ads adv advert adverts advertisement advertising sponsor sponsored".split())
+#: Words that may stand beside a name in a token.
+_PLACE = frozenset(
+    "site page main top bottom left right upper lower inner outer primary secondary global mobile desktop sticky fixed x box bar list item items wrapper wrap "
+    "container section area block slot unit panel region group inline links link posts post articles buttons button icons form text title heading header "
+    "message center row column col content".split()
+)
+_WRAPPERS = frozenset(("html", "body", "main"))
+_HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+_TEXT = _HEADINGS | frozenset("p pre blockquote li ul ol dl dt dd table tr td th figure".split())
 #: Elements whose subtrees are hashed and counted; the last are so only outside of articles.
 _COUNTED = frozenset("div section ul ol dl table nav header footer aside form menu figure details center address".split())
 _SHARED = frozenset("ul ol dl table".split())
@@ -76,6 +91,16 @@ _CLOSED_BY = {
 }
 
 
+@lru_cache(maxsize=4096)
+def _named_by(value: str, names: frozenset[str]) -> bool:
+    """A token of ``value`` is a name, or made of names and words of place only."""
+    for token in value.split():
+        words = _NAME.findall(token)
+        if any(w in names for w in words) and all(w in names or w in _PLACE for w in words):
+            return True
+    return False
+
+
 class Page:
     """Elements in page order: ``tag``, ``parent``, ``named`` (is boilerplate by its markup), ``hash``
     of the subtree, ``size`` of its text; ``runs``: (element, text), None for a break."""
@@ -85,7 +110,10 @@ class Page:
         self.runs: list[tuple[int, str | None]] = []
         self._parts: list[list[str]] = [["#page"]]
         self._stack = [0]
+        self._by_name: set[int] = set()
         self._read(html)
+        if self._by_name:
+            self._keep_wrappers()
 
     def _text(self, text: str) -> None:
         if not text:
@@ -110,7 +138,7 @@ class Page:
             self.size[up] += self.size[i]
 
     def _open(self, tag: str, attributes: str) -> int:
-        named = tag in _DROP
+        named, by_name = tag in _DROP, False
         if attributes and not named:
             for name, a, b, c in _ATTRIBUTE.findall(attributes):
                 name, value = name.lower(), (a or b or c).lower()
@@ -119,13 +147,16 @@ class Page:
                 elif name == "style":
                     named = named or "display:none" in value.replace(" ", "")
                 elif name in ("class", "id", "role"):
-                    words = set(_NAME.findall(value))
-                    named = named or bool(words & _NAMED) or bool(words & _ARTICLE_NAMES and not self._inside("article"))
+                    by_name = by_name or self._says(tag, name, value)
+            by_name = by_name and not named
+            named = named or by_name
         elif tag == "header":
             named = not self._inside("article")
         if tag == "article" and self._inside("article"):
             named = True  # an article in an article is a reader's comment
         i = len(self.tag)
+        if by_name:
+            self._by_name.add(i)
         self.tag.append(tag)
         self.parent.append(self._stack[-1])
         self.named.append(named)
@@ -136,6 +167,32 @@ class Page:
             self.runs.append((i, " " if tag in _CELL else None))
         return i
 
+    def _says(self, tag: str, attribute: str, value: str) -> bool:
+        """The class, id or role names the element as boilerplate."""
+        if tag in _WRAPPERS:
+            return False
+        article = self._inside("article") or self._inside("main")
+        if attribute == "id" and (tag in _HEADINGS or (article and (tag in _TEXT or tag == "section"))):
+            return False
+        if article and tag in _TEXT:
+            return _named_by(value, _ADVERTS)
+        return _named_by(value, _NAMED) or (not self._inside("article") and tag not in _HEADINGS and _named_by(value, _ARTICLE_NAMES))
+
+    def _keep_wrappers(self) -> None:
+        """Undo the names of what holds the page's main text: at least half of all text and every
+        article or main; without those a first heading, or all text."""
+        n = len(self.tag)
+        marks = [i for i in range(n) if self.tag[i] in ("article", "main") and not self.named[i]]
+        marks = marks or [i for i in range(n) if self.tag[i] == "h1" and not self.named[i]][:1]
+        held = [0] * n
+        for i in marks:
+            held[i] = 1
+        for i in range(n - 1, 0, -1):
+            held[self.parent[i]] += held[i]
+        for i in self._by_name:
+            if 2 * self.size[i] >= self.size[0] > 0 and (held[i] == len(marks) if marks else self.size[i] == self.size[0]):
+                self.named[i] = False
+
     def _inside(self, tag: str) -> bool:
         return any(self.tag[i] == tag for i in self._stack)
 

@@ -130,6 +130,24 @@ def test_page_text(html, text):
     assert html_text.Page(html).text(set()) == text
 
 
+@pytest.mark.parametrize(
+    ("html", "text"),
+    [
+        ("<article><h2 id='search-results'>Found</h2><section id='related-work'><p>r</p></section><h2 id=\"sharing-data\">s</h2></article>", "Found\nr\ns"),
+        ("<article><p class='notice'>n</p><p class='ad'>x<p class='sponsored-post'>y<section id='related'>z</section></article>", "n\nz"),
+        ("<div class='post comments-open'><p>a</p></div>", "a"),
+        ("<body class='has-sidebar'><div class=sidebar>s</div><p>all of it</p></body>", "all of it"),
+        ("<body class='sidebar'><p>all of it</p><div class='site-footer'>f</div></body>", "all of it"),
+        ("<div class='overlay'><div class='menu'>m</div><h1>t</h1><p>all of it</p></div>", "t\nall of it"),
+        ("<div class='sidebar'><main class='search'><h2 id=share>t</h2><p>main text</p></main></div><div class='cookie-banner'>c</div>", "t\nmain text"),
+        ("<div class='sidebar-left ad'>x</div><div id='comments'>c</div><div class='related-posts'>r</div><p>y and more</p>", "y and more"),
+        ("<article><p>short</p></article><div id=comments><article>a long comment of a reader</article></div>", "short"),
+    ],
+)
+def test_names_are_whole_tokens_and_spare_the_main_text(html, text):
+    assert html_text.Page(html).text(set()) == text
+
+
 def test_site_template_is_removed_but_articles_stay(spark):
     body = "<div><p>Tip: subscribe to this weekly letter</p></div>"
     pages = []
