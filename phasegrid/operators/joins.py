@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from phasegrid.session import cut
+
 #: A side is broadcast by hint only below this many rows.
 SMALL_ROWS = 100_000
 
@@ -45,15 +48,67 @@ def pairs_within(dates: DataFrame, date: str, low: int, high: int) -> DataFrame:
     return joined.select("date1", "date2", F.datediff("date2", "date1").alias("days"))
 
 
-def nearest_boxes(left: DataFrame, right: DataFrame, on: Sequence[str], left_id: str, right_id: str) -> DataFrame:
+def nearest_boxes(left: DataFrame, right: DataFrame, on: Sequence[str], left_id: str, right_id: str, other: bool = False) -> DataFrame:
     """For each left box (top, bottom) the right box with the least abs(top diff) + abs(bottom diff),
-    ties to the least id. Boxes of one key (an image pair and subswath) are few; the least struct is
-    combined on the map side of the aggregate."""
-    l_side = left.select(*on, F.col(left_id).alias("l_id"), F.col("top").alias("l_top"), F.col("bottom").alias("l_bottom"))
-    r_side = right.select(*on, F.col(right_id).alias("r_id"), F.col("top").alias("r_top"), F.col("bottom").alias("r_bottom"))
-    far = F.abs(F.col("l_top") - F.col("r_top")) + F.abs(F.col("l_bottom") - F.col("r_bottom"))
-    best = l_side.join(r_side, list(on)).groupBy(*on, "l_id").agg(F.min(F.struct(far.alias("distance"), "r_id")).alias("m"))
-    return best.select(*on, "l_id", F.col("m.r_id").alias("r_id"), F.col("m.distance").alias("distance"))
+    ties to the least id; with ``other`` one of another id (ids of a key are unique then). Boxes with
+    a null bound, and those whose key has no right box, have no row.
+
+    Equal boxes of a key are searched for once, and of equal right boxes the two least ids stand for
+    all. A box that finds its own id is searched for again without it."""
+    box = [*on, "top", "bottom"]
+    whole = F.col("top").isNotNull() & F.col("bottom").isNotNull()
+    l_side = left.select(*on, F.col(left_id).alias("l_id"), "top", "bottom").where(whole)
+    r_side = right.select(*on, F.col(right_id).alias("r_id"), "top", "bottom").where(whole)
+    least = Window.partitionBy(*box).orderBy("r_id")
+    r_side = cut(r_side.withColumn("i", F.row_number().over(least)).where("i <= 2"))
+    places = l_side.select(*box).distinct().withColumn("own", F.lit(None).cast(r_side.schema["r_id"].dataType))
+    found = l_side.join(_nearest(places, r_side.where("i = 1").drop("i"), on), box)
+    if other:
+        found = cut(found)
+        again = found.where(F.col("r_id") == F.col("l_id")).select(*box, F.col("l_id").alias("own"))
+        again = _nearest(again, r_side.drop("i"), on).withColumnRenamed("own", "l_id")
+        kept = found.where(F.col("r_id") != F.col("l_id")).select(*on, "l_id", "r_id", "distance")
+        return kept.unionByName(again.select(*on, "l_id", "r_id", "distance"))
+    return found.select(*on, "l_id", "r_id", "distance")
+
+
+def _nearest(places: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFrame:
+    """``places(on, top, bottom, own)`` with r_id and distance of the nearest right box but ``own``.
+
+    With u = top + bottom and v = top - bottom the distance is max(abs(u diff), abs(v diff)). Right
+    boxes are bucketed in cells of u and v; what lies within one cell's width of a place is in the
+    nine cells around it, so a match that near is final. Other places go on with wider cells, and
+    the last cells span all."""
+    ends = [f(c) for c in ("top", "bottom") for f in (F.min, F.max)]
+    n, *of_right = right.agg(F.count("*"), *ends).first()
+    of_left = list(places.agg(*ends).first())
+    if not n or of_left[0] is None:
+        return places.withColumns({"r_id": F.lit(None).cast(right.schema["r_id"].dataType), "distance": F.lit(None).cast("long")}).limit(0)
+    low, high = (lambda i: min(of_left[i], of_right[i])), (lambda i: max(of_left[i], of_right[i]))
+    span = float(high(1) - low(0) + high(3) - low(2)) + 1.0
+    span = max(span, float(max(high(1), high(3)) - min(low(0), low(2))) * 2 + 1.0)
+    width = max(span / 2**40, min(1.0, span / math.sqrt(n)))
+    u, v = F.col("top") + F.col("bottom"), F.col("top") - F.col("bottom")
+    cell = lambda x, w: F.floor(x / w).cast("long")
+    key = [*on, "top", "bottom", "own"]
+    left, out = places, None
+    while True:
+        near = F.explode(F.array(*[F.struct((cell(u, width) + i).alias("cu"), (cell(v, width) + j).alias("cv")) for i in (-1, 0, 1) for j in (-1, 0, 1)]))
+        l_side = left.select(*key, near.alias("cell")).select(*key, "cell.*")
+        r_side = right.select(*on, F.col("top").alias("r_top"), F.col("bottom").alias("r_bottom"), "r_id", cell(u, width).alias("cu"), cell(v, width).alias("cv"))
+        far = F.abs(F.col("top") - F.col("r_top")) + F.abs(F.col("bottom") - F.col("r_bottom"))
+        met = l_side.join(r_side, [*on, "cu", "cv"]).where(F.col("own").isNull() | (F.col("own") != F.col("r_id")))
+        best = met.groupBy(*key).agg(F.min(F.struct(far.alias("distance"), "r_id")).alias("m")).select(*key, "m.r_id", "m.distance")
+        last = width > span
+        best = cut(best if last else best.where(F.col("distance") <= width))
+        out = best if out is None else out.unionByName(best)
+        if last:
+            return out
+        same = [F.col(f"l.{c}").eqNullSafe(F.col(f"b.{c}")) for c in key]
+        left = cut(left.alias("l").join(best.alias("b"), same, "left_anti"))
+        if left.isEmpty():
+            return out
+        width *= 4
 
 
 def bracket(samples: DataFrame, at: str, value: str) -> DataFrame:

@@ -439,13 +439,8 @@ def bbox_intersect(spark: SparkSession, sf_dir: str) -> DataFrame:
     return s.select("k", box.alias("b")).where("b is not null").select("k", "b.*")
 
 
-@query(f"""WITH {b.PX}, q AS (SELECT r, c, v, v * 20 AS x FROM px WHERE c < 8)
-SELECT r, c, round(x - 2 * pi() * ceil((x - pi()) / (2 * pi())), 6) + 0e0 AS wrapped, round(v - floor(v + 0.5::DOUBLE), 6) + 0e0 AS cycles,
- round(greatest(0, v - 0.1::DOUBLE) - greatest(0, -v - 0.1::DOUBLE), 6) + 0e0 AS soft, trunc((v - 0.5::DOUBLE) / -0.01::DOUBLE)::INTEGER AS row_ FROM q""")
-def functions_in_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A query in SQL text over the registered functions."""
+def _functions_in_sql(spark: SparkSession, px: DataFrame) -> DataFrame:
     sql_functions.register(spark)
-    px = b.embedding_pixels(spark, sf_dir).where("c < 8")
     return spark.sql(
         """SELECT r, c, round(pg_wrap(v * 20), 6) + 0D AS wrapped, round(pg_wrap_cycles(v), 6) + 0D AS cycles,
         round(pg_soft_threshold(v, 0.1D), 6) + 0D AS soft, pg_row(v, 0.5D, -0.01D) AS row_ FROM {px}""",
@@ -453,6 +448,22 @@ def functions_in_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query(f"""WITH {b.PX}, q AS (SELECT r, c, v, v * 20 AS x FROM px WHERE c < 8)
+SELECT r, c, round(x - 2 * pi() * ceil((x - pi()) / (2 * pi())), 6) + 0e0 AS wrapped, round(v - floor(v + 0.5::DOUBLE), 6) + 0e0 AS cycles,
+ round(greatest(0, v - 0.1::DOUBLE) - greatest(0, -v - 0.1::DOUBLE), 6) + 0e0 AS soft, trunc((v - 0.5::DOUBLE) / -0.01::DOUBLE)::INTEGER AS row_ FROM q""")
+def functions_in_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A query in SQL text over the registered functions."""
+    return _functions_in_sql(spark, b.embedding_pixels(spark, sf_dir).where("c < 8"))
+
+
+@query(f"""WITH {b.PX}, q AS (SELECT r, c, v, v * 20 AS x FROM px)
+SELECT r, c, round(x - 2 * pi() * ceil((x - pi()) / (2 * pi())), 6) + 0e0 AS wrapped, round(v - floor(v + 0.5::DOUBLE), 6) + 0e0 AS cycles,
+ round(greatest(0, v - 0.1::DOUBLE) - greatest(0, -v - 0.1::DOUBLE), 6) + 0e0 AS soft, trunc((v - 0.5::DOUBLE) / -0.01::DOUBLE)::INTEGER AS row_ FROM q""")
+def functions_in_sql_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``functions_in_sql`` over all columns of the raster."""
+    return _functions_in_sql(spark, b.embedding_pixels(spark, sf_dir))
+
+
 # ---- joins and catalogues -----------------------------------------------------------------------
 
 
@@ -477,6 +488,16 @@ def burst_match(spark: SparkSession, sf_dir: str) -> DataFrame:
     return joins.nearest_boxes(boxes.where("k <= 300"), boxes.where("k > 300"), ["iw"], "k", "k")
 
 
+@query("""WITH b AS (SELECT p_partkey AS k, (p_partkey % 500)::BIGINT AS top, (p_partkey % 500)::BIGINT + p_size AS bottom, (p_partkey % 3)::INTEGER AS iw FROM part),
+ d AS (SELECT x.iw, x.k AS l_id, min((abs(x.top - y.top) + abs(x.bottom - y.bottom), y.k)) AS m FROM b x JOIN b y ON y.iw = x.iw WHERE y.k <> x.k GROUP BY ALL)
+SELECT iw, l_id, m[2] AS r_id, m[1] AS distance FROM d""")
+def burst_match_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every box and the nearest other box of its subswath."""
+    k = F.col("p_partkey")
+    boxes = table(spark, sf_dir, "part").select(k.alias("k"), (k % 500).alias("top"), ((k % 500) + F.col("p_size")).alias("bottom"), (k % 3).cast("int").alias("iw"))
+    return joins.nearest_boxes(boxes, boxes, ["iw"], "k", "k", other=True)
+
+
 @query("""WITH d AS (SELECT epoch(ts::DATE)::DOUBLE + 43200 AS t, avg(value) AS v FROM events GROUP BY ts::DATE), e AS (SELECT event_id, epoch_us(ts) / 1e6 AS tt FROM events),
  k AS (SELECT t AS t0, lead(t) OVER (ORDER BY t) AS t1, v AS v0, lead(v) OVER (ORDER BY t) AS v1 FROM d), f AS (SELECT min(t) AS a, max(t) AS z, min_by(v, t) AS va, max_by(v, t) AS vz FROM d)
 SELECT event_id, round(CASE WHEN tt <= a THEN va WHEN tt >= z THEN vz ELSE v0 + (tt - t0) / (t1 - t0) * (v1 - v0) END, 6) + 0e0 AS v

@@ -1,13 +1,14 @@
 """Closed forms and NumPy references: solvers, orbits, filters, unwrapping, stitching."""
 
 import math
+import random
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from phasegrid.functions import cplx, geo
-from phasegrid.operators import interferograms, orbit, raster, similarity, timeseries, unwrapping
+from phasegrid.operators import interferograms, joins, orbit, raster, similarity, timeseries, unwrapping
 from phasegrid.plans import network
 from phasegrid.plans.queries import circular_orbit
 
@@ -319,3 +320,29 @@ def test_seasonal_and_other_models_share_tubes(spark):
     frame = spark.createDataFrame([(1, [1.0, 2.0, float("nan")])], "px int, u array<double>")
     got = timeseries.sbas_model(frame, ["px"], np.array([[1.0], [2.0], [5.0]])).first()
     assert got["x"] == pytest.approx([1.0])
+
+
+def test_nearest_boxes_against_brute_force(spark):
+    r = random.Random(3)
+    boxes = [(i, i % 2, t := r.choice([r.randint(0, 60), r.randint(0, 60), r.randint(0, 5000)]), t + r.randint(1, 9)) for i in range(400)]
+    boxes += [(1000 + i, 0, 7, 9) for i in range(30)] + [(2000, 5, 1, 2), (2001, 1, 90_000, -80_000), (2002, 0, None, 4)]
+    frame = spark.createDataFrame(boxes, "k long, iw int, top long, bottom long")
+    whole = [x for x in boxes if x[2] is not None]
+    for other, ls, rs in ((True, whole, whole), (False, whole[:90], whole[90:])):
+        want = {}
+        for k, iw, top, bottom in ls:
+            near = [(abs(top - y[2]) + abs(bottom - y[3]), y[0]) for y in rs if y[1] == iw and not (other and y[0] == k)]
+            if near:
+                want[k] = min(near)
+        left, right = (frame.where(F.col("k").isin([x[0] for x in side])) for side in (ls, rs))
+        got = joins.nearest_boxes(left if not other else frame, right if not other else frame, ["iw"], "k", "k", other).collect()
+        assert {g["l_id"]: (g["distance"], g["r_id"]) for g in got} == want and len(got) == len(want)
+        assert joins.nearest_boxes(left.limit(0), right, ["iw"], "k", "k", other).count() == 0
+        assert joins.nearest_boxes(left, right.limit(0), ["iw"], "k", "k", other).count() == 0
+
+
+def test_whole_job_queries_have_no_subset(spark, sf):
+    from phasegrid.plans import bindings, queries
+
+    assert queries.QUERIES["burst_match_all"](spark, sf).count() == spark.read.parquet(f"{sf}/part.parquet").count()
+    assert queries.QUERIES["functions_in_sql_all"](spark, sf).count() == bindings.embedding_pixels(spark, sf).count()
