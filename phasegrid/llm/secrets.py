@@ -1,7 +1,10 @@
 """Secret scans: token candidates judged by a random forest.
 
-A candidate is a maximal run of ``[A-Za-z0-9+/_=-]`` of ``min_length`` characters or more that holds
-a digit. Its features are DataFrame expressions: length, shares of character kinds, transitions
+Candidates, of which the forest decides: a maximal run of ``[A-Za-z0-9+/_=-]`` of ``min_length``
+characters or more that holds a digit or changes from lower to upper case; a token with a known start,
+with or without digits; a quoted or bare value of four characters or more, of any alphabet, assigned
+to a name with a secret word; what follows ``Bearer``; the password of a URL; a PEM private key as a
+whole. Where two begin at one place the more specific is taken. Features are DataFrame expressions: length, shares of character kinds, transitions
 between kinds and between letters, dictionary coverage, the document's path and the neighbouring
 words. The forest is trained on the driver from labelled findings, rows of (text, path, secret,
 label); it travels as array literals, and each tree is walked by a higher-order function, so a
@@ -19,6 +22,7 @@ Extra columns are ignored.
 from __future__ import annotations
 
 import random
+import re
 import string
 from dataclasses import dataclass
 
@@ -47,16 +51,53 @@ CONTEXT = 48
 SECRET_WORDS = r"(?i)(token|secret|passw|pwd|api[_ -]?key|apikey|auth|bearer|credential|private[_ -]?key|access[_ -]?key|signature)"
 HARMLESS_WORDS = r"(?i)(sha\d*|md5|commit|checksum|digest|hash|uuid|guid|revision|example|dummy|sample|isbn|card|phone|order|invoice|integrity|etag|version|placeholder)"
 TEST_PATH = r"(?i)(test|example|sample|fixture|mock|docs?/|\.lock|readme)"
+#: Values that stand for a secret.
+STAND_IN = (
+    r"^(none|null|true|false|string|str|text|bytes|int|required|optional|password|passwd|pass|secret|token|hidden|redacted|undefined|empty)\W*$|"
+    r"change_?-?me|placeholder|example|your[_-]|^[x*.]+$|\$\{|^\$[a-z_]+$|^%|^<|\{\{|environ|getenv|process\.env|config\.|self\.|args\.|settings\."
+)
 KNOWN_START = r"^(AKIA|ASIA|gh[pousr]_|github_pat_|glpat-|sk-|sk_live_|rk_live_|xox[abprs]-|AIza|eyJ|npm_|pypi-|SG\.)"
 
 
+_NAME = r"(?i:token|secret|passw(?:or)?d|passphrase|passwd|pwd|api[_ \-]?key|access[_ \-]?key|private[_ \-]?key|signing[_ \-]?key|auth|credential)\w{0,12}"
+_ASSIGN = rf"""{_NAME}["'`]?\]?\s{{0,3}}(?:=>|:=|[:=])\s{{0,3}}(?:(?i:bearer|basic)\s{{1,3}})?"""
+
+
+def _pattern(min_length: int) -> str:
+    """Alternatives of a prefix, which may be empty, and a value; see ``_marked``."""
+    run = rf"[{ALPHABET}]"
+
+    def quoted(q: str) -> str:
+        # A text of several words that holds a long run isn't one value: the run is a candidate.
+        return rf"({_ASSIGN}{q})([^{q}\s]{{4,}}+(?={q})|(?![^{q}\n]{{0,200}}{run}{{16}})[^{q}\n]{{4,200}}+(?={q}))"
+
+    return "|".join(
+        [
+            r"()(-----BEGIN [A-Z ]{0,30}PRIVATE KEY-----[A-Za-z0-9+/=\s]*+(?:-----END [A-Z ]{0,30}PRIVATE KEY-----)?)",
+            r"""([A-Za-z][A-Za-z0-9+.\-]{1,20}://[^\s/:@"'<>]{0,100}:)([^\s/@"'<>]{1,200}+(?=@))""",
+            quoted('"'), quoted("'"), quoted("`"),
+            rf"""({_ASSIGN})([^\s"'`,;&<>(){{}}\[\]|\\]{{4,}}+)""",
+            rf"((?i:bearer)\s{{1,3}})({run}{{8,}}+)",
+            rf"()((?<!{run})(?:eyJ|SG\.){run}{{8,}}+\.{run}++(?:\.{run}++)?)",
+            rf"()((?<!{run})(?:AKIA|ASIA|gh[pousr]_|github_pat_|glpat-|sk-|sk_live_|rk_live_|xox[abprs]-|AIza|npm_|pypi-){run}{{12,}}+)",
+            rf"()((?<!{run})(?=[A-Za-z+/_=\-]*(?:[0-9]|[a-z][A-Z])){run}{{{min_length},}})",
+        ]
+    )
+
+
+def _marked(text: Column, pattern: str) -> Column:
+    n = re.compile(pattern).groups
+    before, value = ("".join(f"${i}" for i in range(k, n + 1, 2)) for k in (1, 2))
+    return F.regexp_replace(text, pattern, f"{before}\u0001{value}\u0002")
+
+
 def candidates(docs: DataFrame, path: str | None = None, min_length: int = 16) -> DataFrame:
     """(doc_id, path, start, value, before, after) of each candidate of ``docs(doc_id, text)``."""
-    pattern = rf"(?<![{ALPHABET}])((?=[A-Za-z+/_=\-]*[0-9])[{ALPHABET}]{{{min_length},}})"
+    pattern = _pattern(min_length)
     text = F.translate(text_or_empty(), "\u0001\u0002", "  ")
     where = F.coalesce(F.col(path).cast("string"), F.lit("")) if path else F.lit("")
     marked = docs.select("doc_id", where.alias("path"), text.alias("t")).where(F.col("t").rlike(pattern))
-    pieces = F.split(F.regexp_replace("t", pattern, "\u0001$1\u0002"), "\u0001")
+    pieces = F.split(_marked(F.col("t"), pattern), "\u0001")
     marked = marked.select("doc_id", "path", pieces.alias("p"))
     plain = F.transform("p", lambda x: F.replace(x, F.lit("\u0002")))
     starts = F.aggregate(
@@ -100,6 +141,11 @@ def features() -> list[tuple[str, Column]]:
         ("hex", flag(lower.rlike("^[0-9a-f]+$"))),
         ("numeric", flag(value.rlike("^[0-9_+=/-]+$"))),
         ("uuid", flag(lower.rlike("^[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}$"))),
+        ("others", share(rf"[^{ALPHABET}]")),
+        ("spaces", share(r"\s")),
+        ("pem", flag(value.startswith("-----BEGIN"))),
+        ("url_password", flag(F.col("before").rlike(r"://[^\s/@]*:$") & F.col("after").startswith("@"))),
+        ("stand_in", flag(lower.rlike(STAND_IN))),
         ("known_start", flag(value.rlike(KNOWN_START))),
         ("dictionary", 1.0 - F.char_length(F.regexp_replace(lower, words, "")) / size),
         ("test_path", flag(F.col("path").rlike(TEST_PATH))),
@@ -111,7 +157,7 @@ def features() -> list[tuple[str, Column]]:
 
 
 def labelled_findings(count: int = 4000, seed: int = 7) -> list[tuple[str, str, int]]:
-    """(text, path, label): each text holds one candidate, a secret where label is 1."""
+    """(text, path, label): each text holds a candidate, a secret where label is 1."""
     r = random.Random(seed)
     pick = lambda alphabet, low, high: "".join(r.choice(alphabet) for _ in range(r.randint(low, high)))
     hexes, base, letters = "0123456789abcdef", string.ascii_letters + string.digits, string.ascii_lowercase
@@ -123,10 +169,50 @@ def labelled_findings(count: int = 4000, seed: int = 7) -> list[tuple[str, str,
     prose = lambda: " ".join(pick(letters, 2, 8) for _ in range(r.randint(2, 8)))
     filler = lambda: prose() + r.choice([" ", ". ", "\n"])
     assign = lambda name, v: r.choice([f'{name} = "{v}"', f"{name}='{v}'", f"{name}: {v}", f"{name}={v}", f'"{name}": "{v}"', f"{name} => '{v}'"])
+    marks = "!$@:.#%^*?~"
+    word = lambda: r.choice([r.choice(DICTIONARY), pick(letters, 3, 9)])
+    vendor = ["sk_live_", "ghp_", "glpat-", "npm_", "xoxb-"]
+
+    def password() -> str:
+        """Short ones, of any alphabet."""
+        made = [pick(base, 6, 13), r.choice(marks), pick("0123456789", 1, 3)]
+        r.shuffle(made)
+        return r.choice(["".join(made), pick(base, 8, 15), word().capitalize() + pick("0123456789", 2, 4) + r.choice(marks), r.choice(marks).join(pick(base, 5, 12) for _ in range(3))])
+
+    def odd(label: int) -> str:
+        """What isn't one long run with a digit."""
+        url = lambda user, v: f"{r.choice(['postgres', 'mysql', 'amqp', 'https', 'mongodb+srv'])}://{user}:{v}@{word()}.{r.choice(['com', 'local:5432', 'internal'])}/{word()}"
+        kind = r.randrange(6)
+        if label:
+            if kind <= 1:
+                return assign(r.choice(names), password())
+            if kind == 2:
+                v = r.choice(["-", "_", "."]).join(word() for _ in range(r.randint(3, 5)))
+                return r.choice([f'{r.choice(names)} = "{v}"', f"{r.choice(names)}='{v}'", f'password: "{v.replace("-", " ")}"', f'passphrase = "{v}"'])
+            if kind == 3:
+                return r.choice([lambda: assign(r.choice(names + plain), r.choice(vendor) + pick(string.ascii_letters, 20, 36)), lambda: assign(r.choice(names), pick(string.ascii_letters, 16, 40)), lambda: r.choice(vendor) + pick(string.ascii_letters, 24, 36)])()
+            if kind == 4:
+                return url(word(), password().replace("@", "-"))
+            head = r.choice(["RSA ", "EC ", "", "OPENSSH "])
+            return f"-----BEGIN {head}PRIVATE KEY-----\n" + "\n".join(pick(base + "+/", 64, 64) for _ in range(r.randint(1, 4))) + f"\n-----END {head}PRIVATE KEY-----"
+        if kind <= 1:
+            stand_in = ["changeme", "your-password-here", "${DB_PASSWORD}", "********", "<password>", "xxxxxxxx", "None", "null", "string", "required", "os.environ", "config.token", "example", "placeholder"]
+            return assign(r.choice(names), r.choice(stand_in))
+        if kind == 2:
+            return r.choice([f"{r.choice(names)}: {word()} {prose()}", f"the {r.choice(['password', 'token', 'secret'])}: {word()}", f"{r.choice(['Author', 'Authority', 'tokens', 'Secretary'])}: {word().capitalize()} {prose()}"])
+        if kind == 3:
+            return r.choice(["", "see ", "call "]) + r.choice(DICTIONARY) + "".join(w.capitalize() for w in r.sample(DICTIONARY, 3))
+        if kind == 4:
+            return url(r.choice(["user", "username", "admin"]), r.choice(["password", "pass", "<password>", "${PASSWORD}", "xxxx", "secret"]))
+        return assign(r.choice(plain), r.choice([pick(letters, 14, 24) + str(r.randint(10, 999)), "".join(w.capitalize() for w in r.sample(DICTIONARY, 4))]))
+
     out = []
     for _ in range(count):
         label = int(r.random() < 0.45)
         path = r.choice(test_paths) if r.random() < (0.05 if label else 0.3) else r.choice(paths)
+        if r.random() < 0.4:
+            out.append((filler() + odd(label) + r.choice(["", "\n", " "]) + prose(), path, label))
+            continue
         if label:
             value = r.choice(
                 [lambda: pick(hexes, 40, 40), lambda: pick(hexes, 32, 64), lambda: pick(base, 24, 48), lambda: pick(base + "+/", 40, 44),
