@@ -12,6 +12,10 @@ points, that assistant texts take in the output. ``read_turns`` undoes it.
 Null texts and roles count as empty; turns are ordered by turn number, nulls first, ties by role and
 text. Conversations with a null id form one conversation. An empty table gives an empty result.
 Extra columns are ignored. A record with an unknown layout has null turns and keeps its fingerprint.
+
+A VARIANT holds no string over 20 million characters and no record over 128 MiB. Rows of turns go to
+canonical turns without one (``turns_of_rows``), by the field paths of their layout; a JSON record
+of over ``SURE_CHARS`` characters that doesn't parse fails the query, a shorter one has an unknown layout.
 """
 
 from __future__ import annotations
@@ -21,6 +25,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+#: A JSON record of so many characters fits a VARIANT.
+SURE_CHARS = 16_000_000
 START, END = "<|im_start|>", "<|im_end|>\n"
 
 
@@ -94,7 +100,8 @@ def fingerprint(paths: Column) -> Column:
 
 def canonical_turns(records: DataFrame, column: str = "record", layouts: tuple[Layout, ...] = LAYOUTS) -> DataFrame:
     """Add ``layout_fp``, ``layout`` and ``turns`` array<struct<role, text>> to JSON records."""
-    out = records.withColumn("v", F.try_parse_json(F.col(column)))
+    record = F.col(column)
+    out = records.withColumn("v", F.when(F.char_length(record) > SURE_CHARS, F.parse_json(record)).otherwise(F.try_parse_json(record)))
     out = out.withColumn("layout_fp", fingerprint(path_list(F.col("v"))))
     turns, name = F.lit(None), F.lit(None).cast("string")
     for layout in layouts:
@@ -111,12 +118,31 @@ def conversation_records(rows: DataFrame) -> DataFrame:
         F.col("turn").cast("long").alias("turn"), F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text")
     )
     lists = rows.groupBy("conv_id").agg(F.array_sort(F.collect_list(one)).alias("t"))
-    is_pair = (F.size("t") == 2) & (F.get("t", F.lit(0))["role"] == "user") & (F.get("t", F.lit(1))["role"] == "assistant")
+    is_pair = _is_pair()
     pair = F.to_json(F.struct(F.get("t", F.lit(0))["text"].alias("prompt"), F.get("t", F.lit(1))["text"].alias("response")))
     listed = F.to_json(F.struct(F.transform("t", lambda x: F.struct(x["role"].alias("role"), x["text"].alias("text"))).alias("turns")))
     return lists.select("conv_id", F.when(is_pair, pair).otherwise(listed).alias("record"))
 
 
+def _is_pair() -> Column:
+    return (F.size("t") == 2) & (F.get("t", F.lit(0))["role"] == "user") & (F.get("t", F.lit(1))["role"] == "assistant")
+
+
+def turns_of_rows(rows: DataFrame) -> DataFrame:
+    """What ``canonical_turns`` makes of ``conversation_records``, without JSON between: conv_id,
+    layout_fp, layout, turns. The fingerprint is that of the layout's field paths."""
+    one = F.struct(
+        F.col("turn").cast("long").alias("turn"), F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text")
+    )
+    lists = rows.groupBy("conv_id").agg(F.array_sort(F.collect_list(one)).alias("t"))
+    prints = {layout.name: fingerprint(F.array(*[F.lit(p) for p in layout.paths])) for layout in LAYOUTS}
+    return lists.select(
+        "conv_id", F.when(_is_pair(), prints["prompt"]).otherwise(prints["turns"]).alias("layout_fp"),
+        F.when(_is_pair(), "prompt").otherwise("turns").alias("layout"),
+        F.transform("t", lambda x: F.struct(x["role"].alias("role"), x["text"].alias("text"))).alias("turns"),
+    )
+
+
 def escape(text: Column) -> Column:
     return F.replace(F.replace(text, F.lit("%"), F.lit("%25")), F.lit("<|"), F.lit("%3C|"))
 

@@ -27,8 +27,7 @@ def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     control = spark.createDataFrame([(-1, 0, "user", CONTROL), (-1, 1, "assistant", CONTROL)], "conv_id long, turn long, role string, text string")
-    records = chat.conversation_records(rows.unionByName(control))
-    out = chat.format_turns(chat.canonical_turns(records))
+    out = chat.format_turns(chat.turns_of_rows(rows.unionByName(control)))
     read = chat.read_turns(F.col("formatted"))
     out = out.select("conv_id", "formatted", read.alias("turns"), F.array_join(chat.loss_texts(F.col("formatted"), F.col("loss_spans")), "").alias("loss"))
     joined = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")

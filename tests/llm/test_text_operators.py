@@ -33,6 +33,19 @@ def test_chat_round_trip_with_control_strings(spark):
     assert out[1]["formatted"].count("<|im_start|>") == len(texts)
 
 
+def test_rows_become_turns_without_a_variant(spark):
+    rows = [(1, 0, "user", "q<|"), (1, 1, "assistant", "a%"), (2, 1, "user", None), (2, 0, None, "b"), (None, None, None, None)]
+    frame = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    columns = ("conv_id", "layout_fp", "layout", "turns")
+    plain = sorted(map(str, chat.turns_of_rows(frame).select(*columns).collect()))
+    assert plain == sorted(map(str, chat.canonical_turns(chat.conversation_records(frame)).select(*columns).collect()))
+    long = spark.range(2).selectExpr("7L AS conv_id", "id AS turn", "CASE id WHEN 0 THEN 'user' ELSE 'assistant' END AS role", "repeat('a', 21000000) AS text")
+    made = chat.format_turns(chat.turns_of_rows(long)).select(F.char_length("formatted"), F.size("loss_spans")).first()
+    assert made[0] > 42_000_000 and made[1] == 1
+    with pytest.raises(Exception, match="MALFORMED_RECORD|VARIANT|parse"):
+        chat.canonical_turns(chat.conversation_records(long)).select(F.size("turns")).collect()
+
+
 def test_every_layout_becomes_turns(spark):
     pair = [("user", "q"), ("assistant", "a")]
     cases = [
