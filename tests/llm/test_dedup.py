@@ -5,6 +5,7 @@ import hashlib
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from phasegrid.llm import exact_dedup, jaccard_join, repeats
 from phasegrid.llm.components import components
@@ -39,15 +40,49 @@ def test_exact_dedup_keeps_columns_and_one_row_each(spark):
     assert len(texts) == len(set(texts)) == len({(r["text"] or "").translate(FOLD) for r in docs.collect()})
 
 
-def test_directory_doubles_until_buckets_fit(spark):
+@pytest.mark.parametrize("most", [100, 3])
+def test_directory_doubles_until_buckets_fit(spark, most):
     entries = spark.range(4000).selectExpr("xxhash64(id) AS key")
-    directory = exact_dedup.grow_directory(entries, 100)
+    directory = exact_dedup.grow_directory(entries, most)
     assert len(directory.buckets) == 1 << directory.depth
     filled = exact_dedup.with_bucket(entries, directory).groupBy("bucket").count().collect()
-    assert max(r["count"] for r in filled) <= 100 and sum(r["count"] for r in filled) == 4000
+    assert max(r["count"] for r in filled) <= most and sum(r["count"] for r in filled) == 4000
     assert len(set(directory.local_depths)) >= 1 and max(directory.local_depths) == directory.depth
 
 
+def test_keys_that_share_all_leading_bits_share_a_bucket(spark):
+    entries = spark.range(500).selectExpr("id AS key")
+    directory = exact_dedup.grow_directory(entries, 100)
+    assert directory.depth == exact_dedup.MAX_DEPTH and sorted(set(directory.local_depths))[0] == 1
+    assert exact_dedup.with_bucket(entries, directory).select("bucket").distinct().count() == 1
+
+
+def test_probes_need_the_directory(spark):
+    """The index lies by bucket, each file holds a range of keys, and another directory finds less."""
+    docs = spark.createDataFrame([(i, f"text {i % 300}") for i in range(900)], "doc_id long, text string")
+    rows = exact_dedup.probes(docs)
+    index, directory = exact_dedup.build_index(docs, rows, bucket_entries=10)
+    assert len(directory.local_depths) > 30 and index.count() == 300
+    where = index.groupBy(F.input_file_name().alias("f")).agg(F.min("bucket").alias("a"), F.max("bucket").alias("z")).orderBy("a").collect()
+    assert all(x["z"] < y["a"] for x, y in zip(where, where[1:], strict=False))
+    key = ["bucket", "key", "digest"]
+    assert exact_dedup.with_bucket(rows, directory).join(index, key).count() == 900
+    without = exact_dedup.Directory(0, [0], [0])
+    assert exact_dedup.with_bucket(rows, without).join(index, key).count() < 900
+
+
+def test_texts_that_share_a_key_are_chained_by_bytes(spark, monkeypatch):
+    """With a key that collides for all texts, the bytes decide."""
+    monkeypatch.setattr(exact_dedup.F, "xxhash64", lambda *_: F.lit(5).cast("long"))
+    docs = spark.createDataFrame([(1, "a"), (2, "A"), (3, "b"), (4, "c"), (5, "b")], "doc_id long, text string")
+    rows = exact_dedup.probes(docs)
+    index, _ = exact_dedup.build_index(docs, rows)
+    monkeypatch.undo()
+    got = index.orderBy("link").collect()
+    assert [(r["link"], r["keep_id"], r["group_size"]) for r in got] == [(0, 2, 2), (1, 5, 2), (2, 4, 1)]
+    assert [r["digest"] for r in got] == [hashlib.sha256(t).hexdigest() for t in (b"a", b"b", b"c")]
+
+
 def test_exact_dedup_of_nothing(spark):
     assert exact_dedup.exact_groups(empty(spark)).count() == 0
     assert exact_dedup.exact_dedup(empty(spark)).count() == 0
