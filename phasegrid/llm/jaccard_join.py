@@ -1,24 +1,32 @@
 """N-gram Jaccard self-join by a MinHash LSH forest with exact verification.
 
 1. Texts that are equal byte for byte form a class; from here on a class is one row.
-2. Each class gets ``trees`` signatures of ``max_depth`` min-hash values over its word shingles. A
-   signature is a path in a prefix tree; classes that share a prefix stand together once sorted.
-   Matching starts at full depth, and the prefix is shortened until the recall expected of a pair at
-   the threshold, 1 − (1 − s^depth)^trees, reaches ``target_recall``.
-3. Classes under one prefix are compared by the one-byte values of all their signatures; pairs whose
-   estimate lies ``slack`` standard errors or less below the threshold are linked, and a prefix
-   yields the spanning forest of its links, not its pairs. A prefix with more than ``max_group``
-   classes isn't gathered: all its classes are linked to its least one, which loses nothing.
-4. Connected components of these links are candidate groups: every pair of step 3 lies within one.
-5. Within a group all pairs are verified exactly by the sizes of shingle-set intersections, as a
+2. Each class gets ``trees`` paths of ``max_depth`` min-hash values over its word shingles. Paths sorted
+   within a tree are a prefix trie: neighbours' common prefixes are its inner nodes.
+3. A pair with similarity s shares d levels in some tree with probability 1 − (1 − s^d)^trees. The
+   least depth that is ever needed is the one at which a pair at the threshold reaches
+   ``target_recall`` by this formula (``prefix_depth``); what shares no such prefix is left out. The
+   sub-tries under each are written once, each in one task, sorted.
+4. Walk (``walk``): matching starts at full depth. At each depth the classes that meet at a trie node
+   of that depth, from different children, are compared by sketches of all their signatures; pairs
+   whose estimate lies ``slack`` standard errors or less below the threshold are linked. From the
+   similarities of the links found so far the recall is estimated (each found pair stands for 1/p
+   pairs, p its probability of being found at this depth or deeper), and matched prefixes are
+   shortened by one level until it reaches ``target_recall``, at most to the depth of step 3.
+5. A sub-trie with more than ``max_group`` classes isn't gathered in one task: it is cut into blocks of
+   that size and a task compares one pair of blocks, at the least depth at once. Classes that are
+   already connected in a task aren't compared again, so a dense group takes linear time.
+6. Connected components of these links are candidate groups: every pair of step 4 lies within one.
+   Within a group all pairs are verified exactly by the sizes of shingle-set intersections, as a
    product of 0/1 matrices. A group of more than ``block`` classes is cut into blocks, and a task
    verifies one pair of blocks. Only link counts and spanning forests leave a task.
-6. Components of the verified links are the near-duplicate classes.
+7. Components of the verified links, and of them only, are the near-duplicate classes.
 
 Words are maximal runs of non-space characters, lower-cased. A text of fewer words than a shingle
 has one shingle of all of them. Null counts as empty; texts without words are linked only to copies.
-Documents with null ids take part and get a null id back. Repeated rows are members of the same
-class. An empty table gives an empty result. Extra columns are ignored.
+A text of any length is read whole. Documents with null ids take part and get a null id back.
+Repeated rows are members of the same class; of rows that tie for the least id one is kept. An empty
+table gives an empty result. Extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -29,7 +37,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from phasegrid.llm import tokens
@@ -60,7 +68,8 @@ def min_hashes(hashes: np.ndarray, first: np.ndarray, count: int) -> np.ndarray:
 
 
 def signatures(docs: DataFrame, k: int, trees: int, max_depth: int, depth: int) -> DataFrame:
-    """(tid, doc_id, n_shingles, prefixes, small): tid is the MD5 of the text."""
+    """(tid, doc_id, n_shingles, prefixes, small): tid is the MD5 of the text, ``prefixes`` hash the
+    first ``depth`` levels of each tree, ``small`` has one byte of each level, tree by tree."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -131,45 +140,124 @@ def _runs(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Tab
         yield pa.Table.from_batches(held).combine_chunks()
 
 
-def _edges(pairs: list[tuple[bytes, bytes]]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array([a for a, _ in pairs], pa.binary()), pa.array([b for _, b in pairs], pa.binary())], names=["a", "b"])
+def _estimated(pairs: list[tuple[bytes, bytes, float]]) -> pa.RecordBatch:
+    a, b, s = ([p[i] for p in pairs] for i in range(3))
+    return pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary()), pa.array(s, pa.float64())], names=["a", "b", "s"])
 
 
-def estimated_links(rows: DataFrame, least: float) -> DataFrame:
-    """Spanning forests of the estimated links under each prefix, from rows sorted by prefix."""
+def _bytes_of(column: pa.ChunkedArray) -> np.ndarray:
+    """(rows, width) of a column of equally long byte strings."""
+    return np.frombuffer(b"".join(column.to_pylist()), dtype=np.uint8).reshape(len(column), -1)
+
+
+def link(small: np.ndarray, apart: np.ndarray, least: float) -> list[tuple[int, int, float]]:
+    """A spanning forest of the estimated links between rows with different ``apart``: (i, j, estimate).
+    Rows that are connected already aren't compared."""
+    label, out = np.arange(len(small)), []
+    for i in range(len(small) - 1):
+        others = i + 1 + np.flatnonzero((apart[i + 1 :] != apart[i]) & (label[i + 1 :] != label[i]))
+        if len(others):
+            alike = (small[others] == small[i]).mean(axis=1)
+            for j, s in zip(others[alike >= least], alike[alike >= least], strict=True):
+                if label[j] != label[i]:
+                    label[label == label[j]] = label[i]
+                    out.append((i, int(j), float(s)))
+    return out
+
+
+def trie_links(tries: DataFrame, depth: int, deepest: bool, least: float) -> DataFrame:
+    """(a, b, s): links between classes that meet at a trie node of ``depth`` (or deeper, if
+    ``deepest``), from rows (prefix, path, tid, small) sorted by prefix and path. Within a task the
+    common prefixes of neighbours are the trie. A path has one byte a level; where two levels differ
+    in other bytes only, a pair is compared at a greater depth than its own, never left out."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for group in _runs(batches, ["prefix"]):
-            key = group.column("prefix").to_numpy()
-            tid = group.column("tid").to_pylist()
-            small = np.frombuffer(b"".join(group.column("small").to_pylist()), dtype=np.uint8).reshape(len(key), -1)
-            edge = np.flatnonzero(np.diff(key)) + 1
-            starts, ends = np.concatenate(([0], edge)), np.concatenate((edge, [len(key)]))
-            pairs: list[tuple[bytes, bytes]] = []
-            two = np.flatnonzero(ends - starts == 2)
-            alike = (small[starts[two]] == small[starts[two] + 1]).mean(axis=1) >= least
-            pairs += [(tid[s], tid[s + 1]) for s in starts[two][alike]]
+            key, levels = group.column("prefix").to_numpy(), _bytes_of(group.column("path"))
+            same = np.concatenate((levels[1:] == levels[:-1], np.zeros((len(key) - 1, 1), dtype=bool)), axis=1)
+            common = np.where(key[1:] == key[:-1], same.argmin(axis=1), -1)
+            # Nodes of this depth: maximal runs of rows whose neighbours share ``depth`` levels.
+            inside = np.concatenate(([False], common >= depth, [False]))
+            starts, ends = np.flatnonzero(~inside[:-1] & inside[1:]), np.flatnonzero(inside[:-1] & ~inside[1:]) + 1
+            child = np.arange(len(key)) if deepest else np.concatenate(([0], np.cumsum(common <= depth)))
+            tid, small = group.column("tid"), _bytes_of(group.column("small"))
+            pairs: list[tuple[int, int, float]] = []
+            two = starts[ends - starts == 2]
+            two = two[child[two] != child[two + 1]]
+            alike = (small[two] == small[two + 1]).mean(axis=1)
+            pairs += [(int(s), int(s) + 1, float(x)) for s, x in zip(two[alike >= least], alike[alike >= least], strict=True)]
             for s, e in zip(starts[ends - starts > 2], ends[ends - starts > 2], strict=True):
-                forest, own = Forest(e - s), small[s:e]
-                for i in range(e - s - 1):
-                    for j in np.flatnonzero((own[i + 1 :] == own[i]).mean(axis=1) >= least):
-                        if forest.join(i, i + 1 + int(j)):
-                            pairs.append((tid[s + i], tid[s + i + 1 + int(j)]))
-            yield _edges(pairs)
+                pairs += [(s + i, s + j, x) for i, j, x in link(small[s:e], child[s:e], least)]
+            yield _estimated([(tid[i].as_py(), tid[j].as_py(), x) for i, j, x in pairs])
 
-    return rows.mapInArrow(run, "a binary, b binary")
+    return tries.mapInArrow(run, "a binary, b binary, s double")
 
 
-def candidate_groups(classes: DataFrame, depth_pairs_least: float, max_group: int) -> DataFrame:
-    """(tid, grp): the candidate group of each class that has a partner."""
-    nodes = classes.where("n_shingles > 0").select("tid", F.explode("prefixes").alias("prefix"))
-    sizes = nodes.groupBy("prefix").agg(F.count("*").alias("n"), F.min("tid").alias("center")).where("n > 1")
+def block_links(rows: DataFrame, least: float) -> DataFrame:
+    """(a, b, s): links within one pair of blocks, from rows (prefix, i, j, side, tid, small) sorted by
+    (prefix, i, j, side). Rows of one block are compared by the pair of that block with itself."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in _runs(batches, ["prefix", "i", "j"]):
+            key = np.stack([table.column(n).to_numpy().astype(np.int64) for n in ("prefix", "i", "j")], axis=1)
+            edges = [0, *(np.flatnonzero((key[1:] != key[:-1]).any(axis=1)) + 1).tolist(), len(key)]
+            tid, small, side = table.column("tid"), _bytes_of(table.column("small")), table.column("side").to_numpy()
+            pairs = []
+            for s, e in zip(edges, edges[1:], strict=False):
+                apart = np.arange(e - s) if key[s, 1] == key[s, 2] else side[s:e]
+                pairs += [(tid[s + i].as_py(), tid[s + j].as_py(), x) for i, j, x in link(small[s:e], apart, least)]
+            yield _estimated(pairs)
+
+    return rows.mapInArrow(run, "a binary, b binary, s double")
+
+
+def spread_blocks(members: DataFrame, key: str, parts: Column, *columns: str) -> DataFrame:
+    """Rows (key, i, j, side, columns) of all pairs of blocks of each group, sorted within tasks."""
+    dealt = members.withColumn("parts", parts.cast("int")).withColumn("part", F.pmod(F.xxhash64("tid"), F.col("parts")).cast("int"))
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    spread = dealt.select(
+        key, F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"),
+        F.when(F.col("part") <= F.col("other"), 0).otherwise(1).alias("side"), *columns,
+    )
+    return spread.repartition(key, "i", "j").sortWithinPartitions(key, "i", "j", "side", "tid")
+
+
+def estimated_recall(links: DataFrame, trees: int, depth: int, threshold: float) -> float:
+    """The share of all pairs that ``links`` at ``depth`` or deeper are, by inverse probabilities."""
+    s = F.greatest(F.least(F.col("s"), F.lit(1.0)), F.lit(threshold))
+    found = 1 - F.pow(1 - F.pow(s, F.lit(depth)), F.lit(trees))
+    every = links.groupBy("a", "b").agg(F.max("s").alias("s")).agg(F.count("*").alias("n"), F.sum(1 / found).alias("all")).first()
+    return every["n"] / every["all"] if every["n"] else 1.0
+
+
+def walk(tries: DataFrame, trees: int, max_depth: int, floor: int, least: float, threshold: float, target_recall: float) -> tuple[DataFrame, list[tuple[int, float]]]:
+    """The links of the forest and (depth, estimated recall) of each step: prefixes are shortened until
+    the estimate reaches the target or ``floor`` is reached."""
+    links, steps = None, []
+    for depth in range(max_depth, floor - 1, -1):
+        new = cut(trie_links(tries, depth, depth == max_depth, least))
+        links = new if links is None else links.unionByName(new)
+        steps.append((depth, estimated_recall(links, trees, depth, threshold)))
+        if steps[-1][1] >= target_recall:
+            break
+    return links, steps
+
+
+def candidate_links(classes: DataFrame, trees: int, max_depth: int, floor: int, least: float, threshold: float, target_recall: float, max_group: int) -> tuple[DataFrame, list[tuple[int, float]]]:
+    """(a, b, s) and the steps of the walk."""
+    nodes = classes.where("n_shingles > 0").select("tid", F.posexplode("prefixes").alias("tree", "prefix"))
+    sizes = nodes.groupBy("prefix").agg(F.count("*").alias("n")).where("n > 1")
     under = cut(nodes.join(regrouped(sizes, "prefix"), "prefix"))
-    hot = under.where(F.col("n") > max_group).select(F.col("tid").alias("a"), F.col("center").alias("b"))
-    normal = under.where(F.col("n") <= max_group).select("prefix", "tid").join(classes.select("tid", "small"), "tid")
-    dealt = normal.repartition("prefix").sortWithinPartitions("prefix", "tid")
-    links = estimated_links(dealt, depth_pairs_least).unionByName(hot)
-    return components(links).withColumnsRenamed({"node": "tid", "label": "grp"})
+    path = F.substring(F.col("small"), F.col("tree") * max_depth + 1, F.lit(max_depth)).alias("path")
+    own = classes.select("tid", "small")
+    normal = under.where(F.col("n") <= max_group).join(own, "tid").select("prefix", path, "tid", "small")
+    tries = cut(normal.repartition("prefix").sortWithinPartitions("prefix", "path", "tid"))
+    links, steps = walk(tries, trees, max_depth, floor, least, threshold, target_recall)
+    hot = under.where(F.col("n") > max_group)
+    if not hot.isEmpty():
+        members = hot.join(own, "tid").select("prefix", "n", "tid", "small")
+        links = links.unionByName(block_links(spread_blocks(members, "prefix", F.ceil(F.col("n") / max_group), "tid", "small"), least))
+    return links, steps
 
 
 def verified(blocks: DataFrame, k: int, threshold: float) -> DataFrame:
@@ -256,7 +344,7 @@ def jaccard_join(
     threshold: float = 0.8,
     k: int = 5,
     trees: int = 20,
-    max_depth: int = 6,
+    max_depth: int = 8,
     target_recall: float = 0.9999,
     slack: float = 5.0,
     max_group: int = 1000,
@@ -265,34 +353,26 @@ def jaccard_join(
     """One row per document: doc_id, class_id (least doc_id of its near-duplicate class), keep
     (whether it is that document), class_size, n_links (documents with similarity >= ``threshold``,
     copies included), n_text_links (different texts among them), tid (MD5 of the text)."""
-    depth = prefix_depth(threshold, trees, max_depth, target_recall)
+    floor = prefix_depth(threshold, trees, max_depth, target_recall)
     error = math.sqrt(threshold * (1 - threshold) / (trees * max_depth))
     base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
-    signed = cut(signatures(base, k, trees, max_depth, depth))
+    signed = cut(signatures(base, k, trees, max_depth, floor))
     classes = cut(
         signed.groupBy("tid").agg(
             F.count("*").alias("copies"), F.min("doc_id").alias("first_id"), F.first("n_shingles").alias("n_shingles"),
             F.first("prefixes").alias("prefixes"), F.first("small").alias("small"),
         )
     )
-    groups = candidate_groups(classes, threshold - slack * error, max_group)  # read from a checkpoint
-    members = groups.join(classes.select("tid", "copies"), "tid")
-    sizes = groups.groupBy("grp").agg(F.count("*").alias("m"))
-    members = members.join(sizes, "grp").withColumn("parts", F.ceil(F.col("m") / block).cast("int"))
-    members = members.withColumn("part", F.pmod(F.xxhash64("tid"), F.col("parts")).cast("int"))
+    links, _ = candidate_links(classes, trees, max_depth, floor, threshold - slack * error, threshold, target_recall, max_group)
+    groups = components(links.select("a", "b")).withColumnsRenamed({"node": "tid", "label": "grp"})  # read from a checkpoint
+    members = groups.join(classes.select("tid", "copies", "first_id"), "tid")
+    members = members.join(groups.groupBy("grp").agg(F.count("*").alias("m")), "grp")
     # A text is fetched once per member, from its first copy: copies spread over the join by their id.
     texts = base.select(F.unhex(F.md5("text")).alias("tid"), "doc_id", F.lower("text").alias("text"))
-    owners = members.join(classes.select("tid", "first_id"), "tid")
-    owners = owners.withColumnRenamed("tid", "o_tid")
+    owners = members.withColumnRenamed("tid", "o_tid")
     owned = (texts["tid"] == owners["o_tid"]) & texts["doc_id"].eqNullSafe(owners["first_id"])
     fetched = texts.join(owners, owned).dropDuplicates(["tid"])
-    other = F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
-    spread = fetched.select("grp", "tid", "copies", "text", "part", other.alias("other"))
-    spread = spread.select(
-        "grp", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"),
-        F.when(F.col("part") <= F.col("other"), 0).otherwise(1).alias("side"), "tid", "copies", "text",
-    )
-    dealt = spread.repartition("grp", "i", "j").sortWithinPartitions("grp", "i", "j", "side", "tid")
+    dealt = spread_blocks(fetched, "grp", F.ceil(F.col("m") / block), "tid", "copies", "text")
     checked = cut(verified(dealt, k, threshold))
     links = checked.where("b is null").groupBy(F.col("a").alias("tid")).agg(F.sum("links").alias("links"), F.sum("text_links").alias("text_links"))
     labels = components(checked.where("b is not null").select("a", "b")).withColumnsRenamed({"node": "tid", "label": "root"})

@@ -142,10 +142,43 @@ def test_jaccard_join_matches_brute_force(spark, block):
 
 
 def test_prefix_depth_shortens_until_recall():
-    assert jaccard_join.prefix_depth(0.8, 20, 6, 0.9999) == 4
-    assert jaccard_join.prefix_depth(0.8, 20, 6, 0.5) == 6
+    assert jaccard_join.prefix_depth(0.8, 20, 8, 0.9999) == 4
+    assert jaccard_join.prefix_depth(0.8, 20, 8, 0.5) == 8
     with pytest.raises(ValueError):
-        jaccard_join.prefix_depth(0.3, 2, 6, 0.9999)
+        jaccard_join.prefix_depth(0.3, 2, 8, 0.9999)
+
+
+def _walk(spark, texts):
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    signed = jaccard_join.signatures(frame, 5, 20, 8, 4)
+    classes = signed.dropDuplicates(["tid"])
+    links, steps = jaccard_join.candidate_links(classes, 20, 8, 4, 0.65, 0.8, 0.9999, 1000)
+    return {frozenset((bytes(r["a"]), bytes(r["b"]))) for r in links.collect()}, steps
+
+
+def test_the_walk_shortens_prefixes_only_as_far_as_the_recall_asks(spark):
+    """Very similar pairs are all found at full depth; pairs near the threshold need short prefixes."""
+    r = random.Random(8)
+    base = [[f"w{r.randrange(3000)}" for _ in range(200)] for _ in range(60)]
+    close = [" ".join(t) for t in base] + [" ".join(t[:-1]) for t in base]
+    found, steps = _walk(spark, close)
+    print("close pairs:", steps)
+    assert len(found) == 60 and len(steps) == 1 and steps[0][0] == 8 and steps[0][1] >= 0.9999
+    far = [" ".join(t) for t in base] + [" ".join([f"z{i}" for i in range(16)] + t[16:-3]) for t in base]
+    found, steps = _walk(spark, far)
+    print("pairs near the threshold:", steps)
+    depths, recalls = zip(*steps, strict=True)
+    assert list(depths) == list(range(8, depths[-1] - 1, -1)) and depths[-1] < 7
+    assert sorted(recalls) == list(recalls) and recalls[-1] >= 0.9999 and len(found) == 60
+
+
+def test_links_are_a_spanning_forest():
+    import numpy as np
+
+    small = np.array([[1] * 10, [1] * 9 + [0], [2] * 10, [1] * 10, [2] * 9 + [1]], dtype=np.uint8)
+    got = jaccard_join.link(small, np.arange(5), 0.9)
+    assert {frozenset(x[:2]) for x in got} == {frozenset((0, 1)), frozenset((0, 3)), frozenset((2, 4))}
+    assert jaccard_join.link(small, np.array([0, 0, 1, 0, 1]), 0.9) == []
 
 
 def test_near_dedup_awkward_rows(spark):
