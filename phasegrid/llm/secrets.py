@@ -1,13 +1,14 @@
 """Secret scans: token candidates judged by a random forest.
 
-Candidates, of which the forest decides: a maximal run of ``[A-Za-z0-9+/_=-]`` of ``min_length``
+Candidates, of which the forest decides: a maximal run of ``[A-Za-z0-9+/_-]`` of ``min_length``
 characters or more that holds a digit or changes from lower to upper case; a token with a known start,
 with or without digits; a quoted or bare value of four characters or more, of any alphabet, assigned
 to a name with a secret word; what follows ``Bearer``; the password of a URL; a PEM private key as a
-whole. Where two begin at one place the more specific is taken. Features are DataFrame expressions: length, shares of character kinds, transitions
+whole. ``=`` ends a name, and at the end of a run it pads the value. Where two begin at one place the
+more specific is taken. Features are DataFrame expressions: length, shares of character kinds, transitions
 between kinds and between letters, dictionary coverage, the document's path and the neighbouring
 words. The forest is trained on the driver from labelled findings, rows of (text, path, secret,
-label); it travels as array literals, and each tree is walked by a higher-order function, so a
+label); it travels as one literal, and each tree is walked by a higher-order function, so a
 document never leaves the JVM.
 
 ``labelled_findings`` makes a labelled set from a seed, since the tables hold none: keys and tokens
@@ -15,12 +16,14 @@ in assignments and headers against identifiers, checksums, words, card and phone
 placeholders. A caller may pass its own.
 
 Offsets are code points. Null texts count as empty and have no candidates; a null path is an empty
-one. U+0001 and U+0002 count as spaces. Ids needn't be unique. An empty table gives an empty result.
-Extra columns are ignored.
+one. U+0001 and U+0002 count as spaces. A text of any length is read whole, in linear time. Ids needn't
+be unique, and repeated rows give repeated findings. An empty table gives an empty result. Extra
+columns are ignored.
 """
 
 from __future__ import annotations
 
+import json
 import random
 import re
 import string
@@ -33,6 +36,8 @@ from pyspark.sql import functions as F
 from phasegrid.llm.shared import text_or_empty
 
 ALPHABET = r"A-Za-z0-9+/_=\-"
+#: What runs are made of; ``=`` ends a name and may only pad a value.
+RUN = r"A-Za-z0-9+/_\-"
 #: Words whose letters are dictionary coverage, not entropy.
 DICTIONARY = (
     "account address album answer array author backup base bench block board book branch browser bucket build button cache camera center change "
@@ -58,29 +63,31 @@ STAND_IN = (
 )
 KNOWN_START = r"^(AKIA|ASIA|gh[pousr]_|github_pat_|glpat-|sk-|sk_live_|rk_live_|xox[abprs]-|AIza|eyJ|npm_|pypi-|SG\.)"
 
-
-_NAME = r"(?i:token|secret|passw(?:or)?d|passphrase|passwd|pwd|api[_ \-]?key|access[_ \-]?key|private[_ \-]?key|signing[_ \-]?key|auth|credential)\w{0,12}"
+#: Words that name a secret, behind a guard on their first letters.
+_NAME = r"(?=[TtSsPpAaCc][OoEeIiAaWwRrUuPpCc])(?i:token|s(?:ecret|igning[_ \-]?key)|p(?:ass(?:w(?:or)?d|phrase|wd)|wd|rivate[_ \-]?key)|a(?:uth|(?:pi|ccess)[_ \-]?key)|credential)\w{0,12}"
 _ASSIGN = rf"""{_NAME}["'`]?\]?\s{{0,3}}(?:=>|:=|[:=])\s{{0,3}}(?:(?i:bearer|basic)\s{{1,3}})?"""
 
 
 def _pattern(min_length: int) -> str:
-    """Alternatives of a prefix, which may be empty, and a value; see ``_marked``."""
-    run = rf"[{ALPHABET}]"
+    """Alternatives of a prefix, which may be empty, and a value; see ``_marked``. Each alternative
+    fails on its first character almost everywhere, since all are tried at every place."""
+    run = rf"[{RUN}]"
 
     def quoted(q: str) -> str:
         # A text of several words that holds a long run isn't one value: the run is a candidate.
-        return rf"({_ASSIGN}{q})([^{q}\s]{{4,}}+(?={q})|(?![^{q}\n]{{0,200}}{run}{{16}})[^{q}\n]{{4,200}}+(?={q}))"
+        return rf"(?<={q})(?:[^{q}\s]{{4,}}+(?={q})|(?![^{q}\n]{{0,200}}{run}{{16}})[^{q}\n]{{4,200}}+(?={q}))"
 
+    bare = r"""(?<!["'`])(?!//)[^\s"'`,;&<>(){}\[\]|\\]{4,}+"""
+    signed = rf"(?:eyJ|SG\.){run}{{8,}}+\.{run}++(?:\.{run}++)?"
+    known = rf"(?:AKIA|ASIA|gh[pousr]_|github_pat_|glpat-|sk-|sk_live_|rk_live_|xox[abprs]-|AIza|npm_|pypi-){run}{{12,}}+"
+    plain = rf"(?={run}{{{min_length}}})(?=[A-Za-z+/_\-]*(?:[0-9]|[a-z][A-Z])){run}++"
     return "|".join(
         [
             r"()(-----BEGIN [A-Z ]{0,30}PRIVATE KEY-----[A-Za-z0-9+/=\s]*+(?:-----END [A-Z ]{0,30}PRIVATE KEY-----)?)",
-            r"""([A-Za-z][A-Za-z0-9+.\-]{1,20}://[^\s/:@"'<>]{0,100}:)([^\s/@"'<>]{1,200}+(?=@))""",
-            quoted('"'), quoted("'"), quoted("`"),
-            rf"""({_ASSIGN})([^\s"'`,;&<>(){{}}\[\]|\\]{{4,}}+)""",
-            rf"((?i:bearer)\s{{1,3}})({run}{{8,}}+)",
-            rf"()((?<!{run})(?:eyJ|SG\.){run}{{8,}}+\.{run}++(?:\.{run}++)?)",
-            rf"()((?<!{run})(?:AKIA|ASIA|gh[pousr]_|github_pat_|glpat-|sk-|sk_live_|rk_live_|xox[abprs]-|AIza|npm_|pypi-){run}{{12,}}+)",
-            rf"()((?<!{run})(?=[A-Za-z+/_=\-]*(?:[0-9]|[a-z][A-Z])){run}{{{min_length},}})",
+            r"""(:(?<=[A-Za-z0-9+.\-]{2}:)//[^\s/:@"'<>]{0,100}:)([^\s/@"'<>]{1,200}+(?=@))""",
+            rf"({_ASSIGN}[\"'`]?+)({quoted('"')}|{quoted("'")}|{quoted("`")}|{bare})",
+            rf"((?=[Bb])(?i:bearer)\s{{1,3}})({run}{{8,}}+={{0,2}}+)",
+            rf"()((?<!{run})(?:(?=[A-Zegsrxnp]{run}{{2}})(?:{signed}|{known})|{plain})={{0,2}}+)",
         ]
     )
 
@@ -91,31 +98,43 @@ def _marked(text: Column, pattern: str) -> Column:
     return F.regexp_replace(text, pattern, f"{before}\u0001{value}\u0002")
 
 
+def running(sizes: Column, step: int = 256) -> Column:
+    """The sum of all earlier elements for each of an array. Sums are taken in chunks of ``step``, so
+    that the appends copy short arrays only."""
+
+    def sums(values: Column) -> Column:
+        empty = F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("out"))
+        return F.aggregate(values, empty, lambda acc, x: F.struct((acc["at"] + x).alias("at"), F.concat(acc["out"], F.array(acc["at"])).alias("out")))["out"]
+
+    chunks = F.transform(F.sequence(F.lit(0), F.greatest(F.lit(0), F.ceil(F.size(sizes) / step).cast("int") - 1)), lambda c: F.slice(sizes, c * step + 1, F.lit(step)))
+    firsts = sums(F.transform(chunks, lambda c: F.aggregate(c, F.lit(0), lambda a, b: a + b)))
+    zipped = F.arrays_zip(chunks.alias("chunk"), firsts.alias("first"))
+    return F.flatten(F.transform(zipped, lambda z: F.transform(sums(z["chunk"]), lambda x: x + z["first"])))
+
+
 def candidates(docs: DataFrame, path: str | None = None, min_length: int = 16) -> DataFrame:
-    """(doc_id, path, start, value, before, after) of each candidate of ``docs(doc_id, text)``."""
+    """(doc_id, path, start, value, before, after) of each candidate of ``docs(doc_id, text)``. The
+    pattern reads a text once; a value starts at the running length of the pieces before it."""
     pattern = _pattern(min_length)
-    text = F.translate(text_or_empty(), "\u0001\u0002", "  ")
+    text, marks = text_or_empty(), "\u0001\u0002"
+    text = F.when(text.contains(marks[0]) | text.contains(marks[1]), F.translate(text, marks, "  ")).otherwise(text)
     where = F.coalesce(F.col(path).cast("string"), F.lit("")) if path else F.lit("")
-    marked = docs.select("doc_id", where.alias("path"), text.alias("t")).where(F.col("t").rlike(pattern))
-    pieces = F.split(_marked(F.col("t"), pattern), "\u0001")
-    marked = marked.select("doc_id", "path", pieces.alias("p"))
+    # Exploded, so that the filter isn't pushed below and the pattern isn't run twice.
+    marked = F.explode(F.array(F.split(_marked(text, pattern), "\u0001")))
+    pieces = docs.select("doc_id", where.alias("path"), marked.alias("p")).where(F.size("p") > 1)
     plain = F.transform("p", lambda x: F.replace(x, F.lit("\u0002")))
-    starts = F.aggregate(
-        plain,
-        F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("starts")),
-        lambda acc, x: F.struct((acc["at"] + F.char_length(x)).alias("at"), F.concat(acc["starts"], F.array(acc["at"])).alias("starts")),
-    )["starts"]
-    before = F.transform(plain, lambda x: F.right(x, F.lit(CONTEXT)))
+    pieces = pieces.select("doc_id", "path", "p", plain.alias("plain"), F.transform(plain, F.char_length).alias("sizes"))
+    pieces = pieces.select("doc_id", "path", "p", "plain", running(F.col("sizes")).alias("starts"))
     rows = F.transform(
-        F.arrays_zip(F.slice("p", 2, F.size("p")).alias("piece"), F.slice(starts, 2, F.size("p")).alias("start"), F.slice(before, 1, F.size("p") - 1).alias("before")),
-        lambda z: F.struct(
-            z["start"].cast("long").alias("start"),
-            F.substring_index(z["piece"], "\u0002", 1).alias("value"),
-            z["before"].alias("before"),
-            F.left(F.substring_index(z["piece"], "\u0002", -1), F.lit(CONTEXT)).alias("after"),
+        F.slice("p", 2, F.size("p")),
+        lambda piece, i: F.struct(
+            F.get("starts", i + 1).cast("long").alias("start"),
+            F.substring_index(piece, "\u0002", 1).alias("value"),
+            F.right(F.get("plain", i), F.lit(CONTEXT)).alias("before"),
+            F.left(F.substring_index(piece, "\u0002", -1), F.lit(CONTEXT)).alias("after"),
         ),
     )
-    return marked.select("doc_id", "path", F.explode(rows).alias("c")).select("doc_id", "path", "c.*")
+    return pieces.select("doc_id", "path", F.explode(rows).alias("c")).select("doc_id", "path", "c.*")
 
 
 def features() -> list[tuple[str, Column]]:
@@ -156,7 +175,7 @@ def features() -> list[tuple[str, Column]]:
     ]
 
 
-def labelled_findings(count: int = 4000, seed: int = 7) -> list[tuple[str, str, int]]:
+def labelled_findings(count: int = 8000, seed: int = 7) -> list[tuple[str, str, int]]:
     """(text, path, label): each text holds a candidate, a secret where label is 1."""
     r = random.Random(seed)
     pick = lambda alphabet, low, high: "".join(r.choice(alphabet) for _ in range(r.randint(low, high)))
@@ -184,9 +203,9 @@ def labelled_findings(count: int = 4000, seed: int = 7) -> list[tuple[str, str,
         url = lambda user, v: f"{r.choice(['postgres', 'mysql', 'amqp', 'https', 'mongodb+srv'])}://{user}:{v}@{word()}.{r.choice(['com', 'local:5432', 'internal'])}/{word()}"
         kind = r.randrange(6)
         if label:
-            if kind <= 1:
+            if kind == 0:
                 return assign(r.choice(names), password())
-            if kind == 2:
+            if kind <= 2:
                 v = r.choice(["-", "_", "."]).join(word() for _ in range(r.randint(3, 5)))
                 return r.choice([f'{r.choice(names)} = "{v}"', f"{r.choice(names)}='{v}'", f'password: "{v.replace("-", " ")}"', f'passphrase = "{v}"'])
             if kind == 3:
@@ -292,26 +311,32 @@ def grow(x: np.ndarray, y: np.ndarray, trees: int = 31, depth: int = 6, seed: in
     return Forest(features_, limits, leaves, depth)
 
 
+#: Forests of the generated set by (trees, depth): they depend on nothing else, so a driver grows one once.
+_grown: dict[tuple[int, int], Forest] = {}
+
+
 def train(spark: SparkSession, findings: list[tuple[str, str, int]] | None = None, trees: int = 31, depth: int = 6) -> Forest:
     """Features come from the same expressions that score documents; the set is the caller's, or
     that of ``labelled_findings``, and fits the driver by its own size."""
-    findings = labelled_findings() if findings is None else findings
+    own = findings is None
+    if own and (trees, depth) in _grown:
+        return _grown[trees, depth]
+    findings = labelled_findings() if own else findings
     rows = spark.createDataFrame([(i, *f) for i, f in enumerate(findings)], "doc_id long, text string, path string, label int")
     found = candidates(rows, "path").select("doc_id", *[c.alias(n) for n, c in features()])
     got = found.join(rows.select("doc_id", "label"), "doc_id").orderBy("doc_id").collect()
     names = [n for n, _ in features()]
     x = np.array([[r[n] for n in names] for r in got], dtype=np.float64).reshape(-1, len(names))
-    return grow(x, np.array([r["label"] for r in got], dtype=np.float64), trees, depth)
+    forest = grow(x, np.array([r["label"] for r in got], dtype=np.float64), trees, depth)
+    if own:
+        _grown[trees, depth] = forest
+    return forest
 
 
 def forest_score(forest: Forest, x: Column) -> Column:
     """The mean leaf of all trees for the feature array ``x``."""
-    trees = F.array(
-        *[
-            F.struct(F.lit(f).alias("feature"), F.lit(t).alias("limit"), F.lit(v).alias("leaf"))
-            for f, t, v in zip(forest.feature, forest.limit, forest.leaf, strict=True)
-        ]
-    )
+    rows = [{"feature": f, "limit": t, "leaf": v} for f, t, v in zip(forest.feature, forest.limit, forest.leaf, strict=True)]
+    trees = F.from_json(F.lit(json.dumps(rows)), "array<struct<feature: array<int>, limit: array<double>, leaf: array<double>>>")
     inner = 2**forest.depth - 1
 
     def walk(tree: Column) -> Column:
@@ -328,7 +353,8 @@ def forest_score(forest: Forest, x: Column) -> Column:
 def scored(docs: DataFrame, forest: Forest, path: str | None = None) -> DataFrame:
     """All candidates with their score."""
     found = candidates(docs, path)
-    x = F.array(*[c for _, c in features()])
+    # Exploded, so that the optimiser doesn't put the features into each step of each tree.
+    x = F.explode(F.array(F.array(*[c for _, c in features()])))
     return found.withColumn("x", x).withColumn("score", F.round(forest_score(forest, F.col("x")), 9)).drop("x")
 
 

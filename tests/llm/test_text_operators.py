@@ -134,6 +134,38 @@ def test_short_lettered_and_marked_secrets_are_found(spark, forest):
     assert got == {(i, t.index(v), len(v)) for i, (t, v) in enumerate(cases.items())}
 
 
+def test_names_are_no_part_of_a_value(spark, forest):
+    texts = {"api_key=abcdEFGH1234abcdEFGH5678": "abcdEFGH1234abcdEFGH5678", "AWS_SECRET_ACCESS_KEY=wJalrXUtnFEMI/K7MDENG/bPxRfiCYzzzzzzzzKEY": "wJalrXUtnFEMI/K7MDENG/bPxRfiCYzzzzzzzzKEY",
+             'password="S3cr3t!pass#word$99xyz"': "S3cr3t!pass#word$99xyz", "token = c2VjcmV0LXRva2VuLXZhbHVl0A==": "c2VjcmV0LXRva2VuLXZhbHVl0A=="}
+    frame = spark.createDataFrame([row(i, t) for i, t in enumerate(texts)], SCHEMA)
+    got = {r["doc_id"]: (r["start"], r["value"]) for r in secrets.candidates(frame).collect()}
+    assert got == {i: (t.index(v), v) for i, (t, v) in enumerate(texts.items())}
+
+
+def test_recall_and_precision_on_shapes_that_the_generator_does_not_make(spark, forest):
+    """Secrets in layouts of their own: environment files, commands, headers, JSON, comments."""
+    r = random.Random(21)
+    pick = lambda chars, n: "".join(r.choice(chars) for _ in range(n))
+    base, hexes = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789", "0123456789abcdef"
+    yes = [
+        lambda: f"export GITHUB_TOKEN=ghp_{pick(base, 36)}", lambda: f"curl -H 'X-Api-Key: {pick(hexes, 48)}' https://x.example/v1",
+        lambda: f'{{"clientSecret": "{pick(base, 40)}", "id": 4}}', lambda: f"# old auth token -> token := {pick(base, 32)}",
+        lambda: f"redis://default:{pick(base, 20)}@cache.local:6379", lambda: f"aws_access_key_id = AKIA{pick('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 16)}",
+        lambda: f"db.password='{pick(base, 9)}#{pick(base, 3)}'", lambda: f"Authorization: Bearer {pick(base, 20)}.{pick(base, 30)}",
+    ]
+    no = [
+        lambda: f"commit {pick(hexes, 40)} by someone", lambda: f"see docs/reference/section{r.randint(1, 99)}/page{r.randint(1, 99)}",
+        lambda: f"sha256:{pick(hexes, 64)}", lambda: f"order number {pick('0123456789', 18)}", lambda: 'password = os.environ["DB_PASSWORD"]',
+        lambda: f"checksum = {pick(hexes, 32)}", lambda: f"uuid: {pick(hexes, 8)}-{pick(hexes, 4)}-{pick(hexes, 4)}-{pick(hexes, 4)}-{pick(hexes, 12)}",
+    ]
+    rows = [(i, r.choice(yes if i % 2 else no)(), "src/main.py") for i in range(600)]
+    found = {x["doc_id"] for x in secrets.secrets(spark.createDataFrame(rows, "doc_id long, text string, path string"), forest, "path").collect()}
+    recall = sum(i % 2 for i in found) / 300
+    precision = sum(i % 2 for i in found) / max(1, len(found))
+    print("recall", recall, "precision", precision)
+    assert recall >= 0.9 and precision >= 0.9
+
+
 # ---- html ---------------------------------------------------------------------------------------
 
 
