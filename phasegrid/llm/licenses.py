@@ -10,8 +10,10 @@ The table of known texts is a parameter. The default, ``KNOWN``, has the complet
 fewer (a digest row is under 200 bytes); a larger one is joined by a shuffle on the digest, where
 AQE splits a frequent one. Equal lines of a document are merged before the join.
 
-Null texts count as empty and match nothing, as do texts that are empty once canonical. An empty
-table gives an empty result. Extra columns are ignored; repeated ids are told apart by their text.
+Null texts count as empty and match nothing, as do texts that are empty once canonical. A text of any
+length is read whole. Of several licences with one canonical text the least id is given. Repeated ids
+are told apart by their text; rows equal in both give one row. An empty table gives an empty result.
+Extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -170,17 +172,15 @@ def license_scan(docs: DataFrame, known: DataFrame, max_broadcast: int = 100_000
     if digests.count() <= max_broadcast:
         digests = F.broadcast(digests)
     base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), canonical(text_or_empty()).alias("c"))
-    whole = one_line(F.col("c"))
-    lines = F.filter(F.split("c", "\n"), lambda x: x != "")
-    units = base.select("doc_id", F.sha2(whole, 256).alias("whole"), F.explode_outer(F.array_distinct(lines)).alias("line"))
-    # A document of one line is its own only line: it is looked up once and counts as both.
-    units = units.select("doc_id", "whole", F.sha2("line", 256).alias("digest"))
-    by_line = units.join(digests, "digest").select("doc_id", "whole", F.col("license_id").alias("notice"), F.lit(None).cast("string").alias("license_id"))
-    wholes = base.select("doc_id", F.sha2(whole, 256).alias("whole"))
-    by_whole = wholes.join(digests.withColumnRenamed("digest", "whole"), "whole")
-    found = by_line.unionByName(by_whole.select("doc_id", "whole", F.lit(None).cast("string").alias("notice"), "license_id"))
-    found = found.groupBy("doc_id", "whole").agg(
-        F.max("license_id").alias("license_id"), F.sort_array(F.collect_set("notice")).alias("notices")
+    lines = F.array_distinct(F.filter(F.split("c", "\n"), lambda x: x != ""))
+    base = base.select("doc_id", one_line(F.col("c")).alias("whole"), lines.alias("lines"))
+    # One reading of each text: the document and its lines are units of one table.
+    digest = F.transform(F.concat(F.array("whole"), "lines"), lambda text: F.sha2(text, 256))
+    units = base.select("doc_id", F.sha2("whole", 256).alias("whole"), F.posexplode(digest).alias("place", "digest"))
+    known_unit = units.join(digests, "digest")
+    found = known_unit.groupBy("doc_id", "whole").agg(
+        F.max(F.when(F.col("place") == 0, F.col("license_id"))).alias("license_id"),
+        F.sort_array(F.collect_set(F.when(F.col("place") > 0, F.col("license_id")))).alias("notices"),
     )
     return found.select(
         "doc_id", "license_id", F.array_join("notices", ",").alias("notices"), F.size("notices").cast("long").alias("n_notices"),

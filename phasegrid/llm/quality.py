@@ -6,10 +6,11 @@ that is shrunk towards the pooled covariance and towards a multiple of the ident
 the difference of the two Mahalanobis log densities, taken with Cholesky factors that are computed
 once, and mapped to 0..1 by a logistic calibration on the training rows.
 
-The model is fitted on at most ``max_rows`` labelled rows, chosen by the hash of their id; it is a
-few hundred numbers and travels with the task. Labels, language, source and id are never inputs of a
+The model is fitted on at most ``max_rows`` labelled rows, chosen by the hash of their id; of several
+labels of an id the largest counts, of several texts the one with the least statistics. The model is
+a few hundred numbers and travels with the task. Labels, language, source and id are never inputs of a
 score. Null texts count as empty; empty texts get a score like any other, from statistics that are
-all defined at length 0. If a class has no training row, every score is the share of the other. An
+all defined at length 0; a text of any length is read whole, and equal texts get equal scores. If a class has no training row, every score is the share of the other. An
 empty table gives an empty result. Extra columns are ignored.
 """
 
@@ -192,9 +193,12 @@ def train(docs: DataFrame, labels: DataFrame, max_rows: int = 20_000) -> Model:
     """Fit on ``labels(doc_id, quality)``, at most ``max_rows`` of those that aren't held out."""
     usable = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("int").alias("label"))
     usable = usable.where(F.col("label").isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
-    chosen = usable.orderBy(F.xxhash64("doc_id"), "doc_id", "label").limit(max_rows)
+    usable = usable.groupBy("doc_id").agg(F.max("label").alias("label"))
+    chosen = usable.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_rows)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text")).join(F.broadcast(chosen), "doc_id")
-    got = _with_statistics(rows.select("doc_id", "label", "text")).limit(4 * max_rows).toArrow()
+    # Of repeated ids one row is learnt from, the same in each run: at most ``max_rows`` reach the driver.
+    once = _with_statistics(rows.select("doc_id", "label", "text")).groupBy("doc_id").agg(F.min(F.struct("label", "x")).alias("r"))
+    got = once.select("doc_id", "r.label", "r.x").toArrow()
     order = np.argsort(got.column("doc_id").to_numpy(), kind="stable")
     x = np.array(got.column("x").to_pylist(), dtype=np.float64).reshape(-1, len(STATISTICS))
     return fit(x[order], got.column("label").to_numpy()[order])

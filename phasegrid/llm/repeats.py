@@ -17,7 +17,7 @@ at equal offsets. So repeats can be found anchor by anchor:
 
 Offsets are bytes of the UTF-8 text. Null texts count as empty and matches never cross documents.
 Rows are told apart by their id and text, so repeated rows are copies of one another and each is
-removed like any copy; rows with null ids take part. Texts shorter than ``length`` bytes keep all
+removed like any copy; rows with null ids take part. A text of any length is read whole. Texts shorter than ``length`` bytes keep all
 their bytes. An empty table gives an empty result. Extra columns are ignored.
 """
 
@@ -36,6 +36,8 @@ from phasegrid.llm import tokens
 from phasegrid.llm.shared import cut, regrouped, text_or_empty
 
 GRAM = 32
+#: A place is packed with the bytes needed on either side, in ten bits each.
+MAX_LENGTH = 1023
 
 
 def anchors(data: np.ndarray, offsets: np.ndarray, length: int, gram: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -271,6 +273,8 @@ def _scan(contexts: DataFrame, length: int) -> DataFrame:
 
 def repeated_spans(docs: DataFrame, length: int = 200, gram: int = GRAM, max_group: int = 50_000) -> tuple[DataFrame, DataFrame]:
     """(keyed documents, (k1, k2, start, end) of all repeats); spans of a document may overlap."""
+    if not gram < length <= MAX_LENGTH:
+        raise ValueError(f"length must be over {gram} and at most {MAX_LENGTH}")
     keyed = _keys(docs)
     listed = list_anchors(keyed, length, gram)
     seen = cut(listed.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h", (F.col("n") > max_group).alias("hot")))
