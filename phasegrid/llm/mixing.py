@@ -8,14 +8,15 @@ their source; their running token count gives m, and the inverted integral gives
 
 A source whose target exceeds its size is repeated: whole epochs first, then part of one. Documents
 are taken whole, so the part of an epoch ends within one document of the target; the gap at its end
-is filled with later, smaller documents of the same bucket.
+is filled with later, smaller documents of the same bucket, in at most ``FILL_ROUNDS`` passes over it.
 
 Running counts are two-level: sums per (source, hash bucket) are aggregated first, their running sum
 gives each bucket's start, and only rows of one bucket meet in one window. A source with a third of
 all rows is thus dealt over many tasks; ``bucket_rows`` bounds the mean bucket.
 
 Null texts have size 0, null is a source of its own and comes last. Reruns agree: the order depends
-on the rows' values only. An empty table gives an empty result. Extra columns are ignored.
+on the rows' values only, and rows that tie in all of them are alike. A text of any length is counted
+whole. Repeated rows are documents of their own. One row per source reaches the driver. An empty table gives an empty result. Extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -31,6 +32,8 @@ from phasegrid.llm.shared import WORD, cut, text_or_empty
 FILL_ROUNDS = 4
 Knots = Sequence[tuple[float, float]]
 FLAT: Knots = ((0.0, 1.0), (1.0, 1.0))
+#: For weights that fall: heavy sources come earlier, their schedules fall over time, the light ones rise.
+CURRICULUM: Sequence[Knots] = (((0.0, 1.5), (1.0, 0.5)), FLAT, ((0.0, 0.5), (1.0, 1.5)))
 
 
 def integral(knots: Knots) -> float:
@@ -158,9 +161,17 @@ def mix(
     )
 
 
+def with_positions(mixed: DataFrame) -> DataFrame:
+    """Add ``positions``: that of each copy, in order; at most ``limit`` of them."""
+
+    def of(copy: Column) -> Column:
+        m = F.least(F.lit(1.0), F.col("demand") + copy * F.col("epoch_demand"))
+        return F.least(F.lit(1.0), inverse(m, F.col("parts")))
+
+    return mixed.withColumn("positions", F.when(F.col("copies") > 0, F.transform(F.sequence(F.lit(0), F.col("copies") - 1), of)))
+
+
 def training_order(mixed: DataFrame) -> DataFrame:
     """A row for each copy that is trained on, range-sorted by position."""
-    copies = mixed.where("copies > 0").withColumn("copy", F.explode(F.sequence(F.lit(0), F.col("copies") - 1)))
-    m = F.least(F.lit(1.0), F.col("demand") + F.col("copy") * F.col("epoch_demand"))
-    placed = copies.withColumn("position", F.least(F.lit(1.0), inverse(m, F.col("parts"))))
-    return placed.select("doc_id", "source", "size", "copy", "position").orderBy("position", "doc_id", "copy")
+    copies = with_positions(mixed).select("doc_id", "source", "size", F.posexplode("positions").alias("copy", "position"))
+    return copies.orderBy("position", "doc_id", "copy")

@@ -48,9 +48,7 @@ def op6_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Heavier sources come earlier: their schedules fall over time, the light ones rise."""
-    falling, rising = ((0.0, 1.5), (1.0, 0.5)), ((0.0, 0.5), (1.0, 1.5))
-    mixed = mixing.mix(table(spark, sf_dir, "documents"), schedules=(falling, mixing.FLAT, rising))
+    mixed = mixing.mix(table(spark, sf_dir, "documents"), schedules=mixing.CURRICULUM)
     out = mixed.select("doc_id", "size", "source_size", "target", "taken", "position", "h")
     return out.orderBy(F.col("position").asc_nulls_last(), "h").drop("h")
 

@@ -12,7 +12,7 @@ shuffled. What travels with the task is bounded: items are taken in chunks of ``
 and each chunk is one pass over the documents; a longer item is a chunk of its own.
 
 Items of fewer than ``k`` words can't be told from chance and are left out. Null texts count as
-empty. Empty tables give empty results, or documents that all stay. Repeated rows and items are each
+empty; documents and items of any length are read whole. Empty tables give empty results, or documents that all stay. Repeated rows and items are each
 judged by themselves. Extra columns are passed through.
 """
 
@@ -29,6 +29,10 @@ from phasegrid.llm import tokens
 from phasegrid.llm.shared import WORD, cut, fresh, schema_of, text_or_empty
 
 
+#: Pairs of places with equal hashes that are listed at once.
+PAIRS = 1 << 21
+
+
 def _rolling(ids: np.ndarray, width: int) -> np.ndarray:
     """Karp-Rabin hashes of all runs of ``width`` ids."""
     sums = np.zeros(len(ids) + 1, dtype=np.uint64)
@@ -41,6 +45,30 @@ def _all_free(free: np.ndarray, width: int) -> np.ndarray:
     return sums[width:] - sums[:-width] == width
 
 
+def _matches(low: np.ndarray, high: np.ndarray, p: np.ndarray, order: np.ndarray, width: int) -> np.ndarray:
+    """Rows (length, place in doc, place in item) of the maximal matches of ``width`` or more, from the
+    places ``p`` of equal hashes order[low:high]. Consecutive places on a diagonal are one match, so a
+    word that both texts repeat costs a row per diagonal, and pairs are listed ``PAIRS`` at a time."""
+    counts = high - low
+    runs = np.zeros((0, 3), dtype=np.int64)  # diagonal, first place, last place
+    ends = np.cumsum(counts)
+    at = 0
+    while at < len(p):
+        to = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + PAIRS, side="right")))
+        n = counts[at:to]
+        inner = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+        t, place = order[np.repeat(low[at:to], n) + inner], np.repeat(p[at:to], n)
+        place, t = place.astype(np.int64), t.astype(np.int64)
+        new = np.concatenate((runs, np.stack([place - t, place, place], axis=1)))
+        new = new[np.lexsort((new[:, 1], new[:, 0]))]
+        first = np.concatenate(([True], (new[1:, 0] != new[:-1, 0]) | (new[1:, 1] != new[:-1, 2] + 1))) if len(new) else np.zeros(0, bool)
+        begin = np.flatnonzero(first)
+        last = np.concatenate((begin[1:] - 1, [len(new) - 1])) if len(new) else begin
+        runs = np.stack([new[begin, 0], new[begin, 1], new[last, 2]], axis=1)
+        at = to
+    return np.stack([runs[:, 2] - runs[:, 1] + width, runs[:, 1], runs[:, 1] - runs[:, 0]], axis=1)
+
+
 def tile(doc: np.ndarray, item: np.ndarray, k: int) -> list[tuple[int, int, int]]:
     """Tiles (place in doc, place in item, length >= k), longest first."""
     free_d, free_t = np.ones(len(doc), dtype=bool), np.ones(len(item), dtype=bool)
@@ -48,32 +76,19 @@ def tile(doc: np.ndarray, item: np.ndarray, k: int) -> list[tuple[int, int, int]
     width = min(len(item), len(doc), 4 * k)
     if width < k:
         return out
-
-    def extend(p: int, t: int) -> int:
-        most = min(len(doc) - p, len(item) - t)
-        good = free_d[p : p + most] & free_t[t : t + most] & (doc[p : p + most] == item[t : t + most])
-        return most if good.all() else int(np.argmin(good))
-
     while True:
         of_doc, of_item = _rolling(doc, width), _rolling(item, width)
         ok_d, ok_t = np.flatnonzero(_all_free(free_d, width)), np.flatnonzero(_all_free(free_t, width))
         order = ok_t[np.argsort(of_item[ok_t], kind="stable")]
         keys = of_item[order]
         low, high = np.searchsorted(keys, of_doc[ok_d], "left"), np.searchsorted(keys, of_doc[ok_d], "right")
-        found = []
-        for p, lo, hi in zip(ok_d[high > low], low[high > low], high[high > low], strict=True):
-            for t in order[lo:hi]:
-                # A match that starts one word earlier covers this one.
-                if not (p and t and free_d[p - 1] and free_t[t - 1] and doc[p - 1] == item[t - 1]):
-                    length = extend(p, t)
-                    if length >= width:
-                        found.append((length, int(p), int(t)))
-        longest = max((f[0] for f in found), default=0)
+        found = _matches(low[high > low], high[high > low], ok_d[high > low], order, width)
+        longest = int(found[:, 0].max()) if len(found) else 0
         if longest > 2 * width:
             width = longest
             continue
         by_length: dict[int, list[tuple[int, int]]] = {}
-        for length, p, t in found:
+        for length, p, t in found[np.lexsort((found[:, 2], found[:, 1]))].tolist():
             by_length.setdefault(length, []).append((p, t))
         for length in range(longest, width - 1, -1):
             for p, t in by_length.pop(length, ()):

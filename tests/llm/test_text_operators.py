@@ -278,6 +278,37 @@ def test_mix_takes_near_targets(spark):
     assert all(abs(taken[s] - target[s]) <= 60 for s in order)
 
 
+def _plain_mix(rows, weights, limit=3):
+    """The mix by one running sum per source, document by document: {row number: copies}."""
+    out, by = {}, collections.defaultdict(list)
+    for n, (size, source, h, i) in enumerate(rows):
+        by[source].append((h, i if i is not None else -(1 << 63), size, n))
+    names = sorted(by, key=lambda s: (s is None, (s or "").encode()))
+    goal = mixing.targets([sum(x[2] for x in by[s]) for s in names], [weights[k % 3] for k in range(len(names))], limit)
+    for name, target in zip(names, goal, strict=True):
+        whole = sum(x[2] for x in by[name])
+        epochs = min(limit, int(target // whole)) if whole else 0
+        rest, at = (max(0.0, target - epochs * whole) if epochs < limit else 0.0), 0
+        for _, _, size, n in sorted(by[name]):
+            out[n] = (epochs + (size and at + size <= rest)) if size else 0
+            at += size
+    return out
+
+
+def test_mix_matches_a_plain_running_sum(spark):
+    """Copies equal those of the plain sum but for the bucket at whose documents the share ends."""
+    r = random.Random(6)
+    rows = [(i, "w " * r.randint(0, 40), ["a", "b", "c", None][i % 4 if i % 3 else 0]) for i in range(4000)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = {x["doc_id"]: x for x in mixing.mix(frame, bucket_rows=100).collect()}
+    plain = _plain_mix([(len(t.split()), s, got[i]["h"], i) for i, t, s in rows], (5.0, 2.0, 1.0))
+    differ = [i for i, _, _ in rows if got[i]["copies"] != plain[i]]
+    assert len(differ) <= 4 * 12 and all(got[i]["size"] == len(t.split()) for i, t, _ in rows)
+    for name in ("a", "b", "c", None):
+        own = [x for x in got.values() if x["source"] == name]
+        assert abs(sum(x["taken"] for x in own) - own[0]["target"]) <= 40
+
+
 def test_curriculum_positions_follow_the_schedule(spark):
     rows = [(i, "w " * 10, "early" if i % 2 else "late") for i in range(2000)]
     frame = spark.createDataFrame(rows, "doc_id long, text string, source string")
@@ -371,6 +402,24 @@ def test_tiles_cover_like_the_plain_definition():
             assert sum(n for *_, n in tiles) == _greedy_tiles(doc.tolist(), item.tolist(), 5)
 
 
+def test_a_word_that_both_texts_repeat(monkeypatch):
+    """A match is one row per diagonal, however many pairs of places there are, in any chunks."""
+    doc, item = np.full(20_000, 7, dtype=np.uint64), np.full(400, 7, dtype=np.uint64)
+    assert tiling.tile(doc, item, 5)[0][2] == 400
+    r = np.random.default_rng(4)
+    doc, item = r.integers(0, 3, 300).astype(np.uint64), r.integers(0, 3, 90).astype(np.uint64)
+    whole = tiling.tile(doc, item, 5)
+    monkeypatch.setattr(tiling, "PAIRS", 7)
+    assert tiling.tile(doc, item, 5) == whole
+
+
+def test_repeated_benchmark_items_are_each_judged(spark):
+    item = " ".join(f"item{i}" for i in range(20))
+    bench = spark.createDataFrame([(1, item), (1, item), (2, item)], "item_id long, text string")
+    docs = spark.createDataFrame([(5, f"so {item} it is"), (6, "clean words only, nothing else")], "doc_id long, text string")
+    assert sorted((r["doc_id"], r["item_id"]) for r in tiling.contaminated_pairs(docs, bench).collect()) == [(5, 1), (5, 1), (5, 2)]
+
+
 def test_decontamination_catches_reordered_passages(spark):
     item = " ".join(f"item{i}" for i in range(40))
     words = item.split()
