@@ -9,6 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from phasegrid.llm import exact_dedup, jaccard_join, mixing, quality, tiling
 from phasegrid.llm.shared import shared_path, table
@@ -37,9 +38,11 @@ def leak_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """What the mix takes of each document, and the document's first training position."""
-    mixed = mixing.mix(docs)
-    return mixed.select("doc_id", "source", "size", "source_size", "target", "copies", "taken", "position")
+    """What the mix takes of each document and the training position of each of its copies, in the
+    order of the first; documents that aren't taken come last."""
+    mixed = mixing.with_positions(mixing.mix(docs, schedules=mixing.CURRICULUM))
+    out = mixed.select("doc_id", "source", "size", "source_size", "target", "copies", "taken", "position", "positions", "h")
+    return out.orderBy(F.col("position").asc_nulls_last(), "h").drop("h")
 
 
 STAGES: list[tuple[str, Stage]] = [
@@ -64,5 +67,5 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     raise ValueError("STAGES is empty")
 
 
-#: A trained model and a forest of signatures have no SQL; tests/llm compares with brute force.
+#: A trained model and a forest of signatures have no SQL; tests/llm/test_pipeline.py has a plain version.
 ORACLE_SQL = None
