@@ -60,6 +60,12 @@ def test_every_layout_becomes_turns(spark):
         ({"system": "s", "prompt": "q", "response": "a"}, "system_prompt", [("system", "s"), *pair]),
         ({"prompt": 7, "response": None}, "prompt", [("user", "7"), ("assistant", "")]),
         ({"unknown": {"deep": [1, 2]}}, None, None),
+        ({"prompt": "hi", "response": {"text": "yo"}}, None, None),
+        ({"prompt": ["hi"], "response": "yo"}, None, None),
+        ({"prompt": "hi", "response": "yo", "x-": 1}, None, None),
+        ({"prompt": "hi", "response: STRING, y": "yo"}, None, None),
+        ({"messages": [{"role": {"x": 1}, "content": "q"}]}, None, None),
+        ({"messages": []}, None, None),
     ]
     frame = spark.createDataFrame([(i, json.dumps(c[0])) for i, c in enumerate(cases)] + [(99, "not json"), (98, None)], "id int, record string")
     out = {r["id"]: r for r in chat.canonical_turns(frame).collect()}
@@ -69,6 +75,26 @@ def test_every_layout_becomes_turns(spark):
     assert out[99]["turns"] is None and out[98]["turns"] is None
 
 
+def test_field_paths_are_nested_and_alike_for_json_and_types(spark):
+    record = {"a": {"b": [{"c": 1, "d-e": "x"}], "b c": 2}, "f": [[1]], "g": "h"}
+    frame = spark.createDataFrame([(json.dumps(record),)], "record string")
+    paths = frame.select(chat.path_list(F.parse_json("record")).alias("p")).first()["p"]
+    assert paths == sorted(["a", "a.`b c`", "a.b", "a.b[]", "a.b[].`d-e`", "a.b[].c", "f", "f[]", "f[][]", "g"])
+    kind = "struct<prompt: string, response: string, turns: array<struct<role: string, text: string>>>"
+    typed = spark.createDataFrame([((None, None, [("user", "x")]),), (("q", "a", None),)], f"record {kind}")
+    found = chat.typed_turns(typed).collect()
+    plain = chat.canonical_turns(typed.select(F.to_json("record").alias("record"))).collect()
+    assert [r["layout"] for r in found] == ["turns", "prompt"]
+    assert [(r["layout_fp"], r["turns"]) for r in found] == [(r["layout_fp"], r["turns"]) for r in plain]
+
+
+def test_chat_ignores_extra_columns_and_keeps_repeated_rows(spark):
+    rows = [(1, 0, "user", "q", "x", 1), (1, 0, "user", "q", "x", 1), (1, 1, "assistant", "a", "y", 2)]
+    frame = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string, formatted string, record int")
+    out = chat.format_turns(chat.turns_of_rows(frame)).select(chat.read_turns(F.col("formatted")).alias("t")).first()["t"]
+    assert [(t["role"], t["text"]) for t in out] == [("user", "q"), ("user", "q"), ("assistant", "a")]
+
+
 def test_chat_of_nothing(spark):
     frame = spark.createDataFrame([], "conv_id long, turn long, role string, text string")
     assert chat.format_turns(chat.canonical_turns(chat.conversation_records(frame))).count() == 0
