@@ -21,8 +21,9 @@ fewer (8 bytes each, and the hosts); of a larger one, each page gets by shuffles
 then on host and digest of the page, only the templates that it holds.
 
 Character references are decoded, white space inside a block becomes one space, blocks are joined by
-one line feed. Null html counts as empty, and an empty text is an empty string. Pages with a null or
-odd url share one host. Repeated rows are pages of their own. An empty table gives an empty result.
+one line feed. Null html counts as empty, and an empty text is an empty string. A page of any length
+is read whole. Pages with a null or odd url share one host. Repeated rows are pages of their own, but
+tell one story. An empty table gives an empty result.
 Extra columns are ignored.
 """
 
@@ -292,14 +293,18 @@ class Page:
         return xxhash.xxh3_64_intdigest("\n".join(longest).encode("utf-8", "surrogatepass")) - (1 << 63)
 
     def text(self, template: set[int]) -> str:
+        """The main text without the ``template`` subtrees; ``recurring`` is how many of them, not one
+        within another, the page holds."""
         n = len(self.tag)
         half = self.size[0] / 2
         gone, inside = [False] * n, [False] * n
+        self.recurring = 0
         for i in range(1, n):
             up, tag = self.parent[i], self.tag[i]
             inside[i] = inside[up] or tag in ("article", "main")
             listed = self.size[i] < half and self.hash[i] in template and (tag in _COUNTED or (not inside[i] and tag in _COUNTED_OUTSIDE))
-            gone[i] = gone[up] or self.named[i] or listed
+            self.recurring += listed and not gone[up]
+            gone[i] = gone[up] or listed or self.named[i]
         for root in ("article", "main", "#page"):
             roots = [i for i in range(n) if self.tag[i] == root and not gone[i]]
             if not roots and root == "article":
@@ -363,7 +368,8 @@ def template_hashes(pages: DataFrame, min_pages: int, min_share: float) -> DataF
 
 
 def main_text(pages: DataFrame, min_pages: int = 5, min_share: float = 0.3, max_broadcast: int = 100_000) -> DataFrame:
-    """One row per page of ``pages(page_id, url, html)``: page_id, url, text, n_chars."""
+    """One row per page of ``pages(page_id, url, html)``: page_id, url, text, n_chars and n_template, the
+    number of template subtrees that were deleted from it."""
     base = pages.select(
         F.col("page_id"), F.col("url"), host_of(F.col("url")).alias("host"), F.coalesce(F.col("html").cast("string"), F.lit("")).alias("html")
     )
@@ -383,11 +389,16 @@ def main_text(pages: DataFrame, min_pages: int = 5, min_share: float = 0.3, max_
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = []
+            texts, counts = [], []
             for host, html, template in zip(batch.column(2).to_pylist(), batch.column(3), batch.column(4), strict=True):
                 own = known.value.get(host, set()) if known else set(template.as_py() or ())
-                texts.append(Page(html.as_py()).text(own).encode("utf-8", "replace").decode())
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string())], names=["page_id", "url", "text"])
-
-    schema = f"page_id {base.schema['page_id'].dataType.simpleString()}, url {base.schema['url'].dataType.simpleString()}, text string"
-    return joined.mapInArrow(run, schema).withColumn("n_chars", F.char_length("text").cast("long"))
+                page = Page(html.as_py())
+                texts.append(page.text(own).encode("utf-8", "replace").decode())
+                counts.append(page.recurring)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(1), pa.array(texts, pa.string()), pa.array(counts, pa.int64())], names=["page_id", "url", "text", "n_template"]
+            )
+
+    schema = f"page_id {base.schema['page_id'].dataType.simpleString()}, url {base.schema['url'].dataType.simpleString()}, text string, n_template long"
+    out = joined.mapInArrow(run, schema)
+    return out.select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"), "n_template")

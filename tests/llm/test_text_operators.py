@@ -272,6 +272,35 @@ def test_blocks_on_few_of_many_pages_are_template_but_copies_stay(spark):
             assert got[i].startswith("\n".join(f"copied part {k} of one page without an article" for k in range(6)))
 
 
+def test_template_counts_match_brute_force(spark, sf):
+    """Each subtree of each page counted by plain dictionaries, on the driver's pages."""
+    sf = sf.replace("0.001", "0.1")
+    pages = spark.read.parquet(f"{sf}/pages.parquet").collect()
+    stories, on, hosts, always = collections.defaultdict(set), collections.Counter(), collections.Counter(), {}
+    for r in pages:
+        page, host = html_text.Page(r["html"] or ""), r["url"].split("/")[2].lower()
+        hosts[host] += 1
+        for h, sure in page.candidates().items():
+            stories[host, h].add(page.story())
+            on[host, h] += 1
+            always[host, h] = always.get((host, h), True) and sure
+    expected = {k for k, n in on.items() if n >= 5 and ((always[k] and len(stories[k]) >= 5) or n >= 0.3 * hosts[k[0]])}
+    frame = spark.createDataFrame([(r["url"].split("/")[2].lower(), r["html"] or "") for r in pages], "host string, html string")
+    assert {tuple(r) for r in html_text.template_hashes(frame, 5, 0.3).collect()} == expected and expected
+    got = html_text.main_text(spark.read.parquet(f"{sf}/pages.parquet")).collect()
+    changed = sum(r["n_template"] > 0 for r in got)
+    print("pages that lost template subtrees:", changed, "of", len(got))
+    held = {r["page_id"]: sum(h in html_text.Page(r["html"] or "").candidates() for host, h in expected if host == r["url"].split("/")[2].lower()) for r in pages}
+    assert all((r["n_template"] > 0) == (held[r["page_id"]] > 0) for r in got) and changed
+
+
+def test_repeated_and_very_long_pages(spark):
+    long = "<article>" + "".join(f"<p>part {i} of a long page</p>" for i in range(60_000)) + "</article>"
+    frame = spark.createDataFrame([(1, "http://a.b/", long), (1, "http://a.b/", long), (2, "http://a.b/", "<p>x" * 7)], "page_id long, url string, html string")
+    got = html_text.main_text(frame).collect()
+    assert sorted(r["text"].count("\n") for r in got) == [6, 59_999, 59_999]
+
+
 # ---- mixing -------------------------------------------------------------------------------------
 
 
