@@ -31,9 +31,12 @@ class Orbit:
     v: np.ndarray
 
     def at(self, times: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Positions and velocities by Hermite interpolation through the four vectors around."""
+        """Positions and velocities by Hermite interpolation through four vectors: the one nearest in
+        time, one before it and two after it."""
         times = np.asarray(times, dtype=np.float64)
-        first = np.clip(np.searchsorted(self.t, times, side="right") - 2, 0, len(self.t) - 4)
+        after = np.clip(np.searchsorted(self.t, times), 1, len(self.t) - 1)
+        nearest = after - (times - self.t[after - 1] <= self.t[after] - times)
+        first = np.clip(nearest - 1, 0, len(self.t) - 4)
         pick = first[:, None] + np.arange(4)
         t, x, v = self.t[pick], self.x[pick], self.v[pick]
         d = times[:, None] - t  # (n, 4)
@@ -200,7 +203,7 @@ class Burst:
 
 def geocode(points: DataFrame, orbit: Orbit, burst: Burst, guard: int = 5) -> DataFrame:
     """Adds re, im of a burst at (lat, lon, height): deramp, zero-Doppler, bilinear, reramp, and the
-    range phase removed; 0 outside of the valid window."""
+    range phase removed; 0 outside of the valid window and in its first and last ``guard`` lines."""
 
     def poly(c: tuple[float, float, float, float], slant: np.ndarray) -> np.ndarray:
         x = 2 * slant / LIGHT - c[0]
@@ -227,7 +230,7 @@ def geocode(points: DataFrame, orbit: Orbit, burst: Burst, guard: int = 5) -> Da
         slant = np.linalg.norm(look, axis=1)
         line, sample = (time - burst.start) / burst.line_time, (slant - burst.near) / burst.range_step
         top, bottom, left, right = burst.valid
-        inside = (line >= top + min(guard, 0)) & (line < bottom) & (sample >= left) & (sample < right)
+        inside = (line >= top + guard) & (line < bottom - guard) & (sample > left) & (sample < right - 1)
         i, j = (np.clip(np.floor(x).astype(int), 0, n - 2) for x, n in ((line, flat.shape[0]), (sample, flat.shape[1])))
         a, b = line - i, sample - j
         value = (1 - a) * (1 - b) * flat[i, j] + (1 - a) * b * flat[i, j + 1] + a * (1 - b) * flat[i + 1, j] + a * b * flat[i + 1, j + 1]

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -11,19 +9,46 @@ from phasegrid.functions import cplx
 from phasegrid.operators.joins import small
 
 
-def spiral(low: float, high: float) -> list[tuple[int, int]]:
-    """Offsets (dr, dc) with low < distance < high, rings outwards, each ring by angle."""
-    reach = int(high) + 1
-    found = [(dr, dc) for dr in range(-reach, reach + 1) for dc in range(-reach, reach + 1) if low * low < dr * dr + dc * dc < high * high]
-
-    def place(offset: tuple[int, int]) -> tuple[int, int, float]:
-        dr, dc = offset
-        return round(math.sqrt(dr * dr + dc * dc)), dr * dr + dc * dc, math.atan2(dr, dc)
-
-    return sorted(found, key=place)
-
-
-def offsets(spark: SparkSession, low: float, high: float) -> DataFrame:
+def circle(radius: int) -> list[tuple[int, int]]:
+    """The octant x >= y >= 1 of the midpoint circle, upwards."""
+    x, error, out = radius, 1 - radius, []
+    for y in range(1, radius + 1):
+        if error > 0:
+            x -= 1
+            error -= 2 * x
+        error += 2 * y + 1
+        if x < y:
+            break
+        out.append((x, y))
+    return out
+
+
+def spiral(low: int, high: int) -> list[tuple[int, int]]:
+    """Offsets (dr, dc) of the rings low + 1 .. high − 1, outwards. A ring is a midpoint circle with the
+    cells in its rows that lie between it and the rings before it, which circles alone would miss. It
+    begins with its axis points; each cell of its octant is followed by its mirror images."""
+    seen, out = {(0, 0)}, []
+    for radius in range(1, high):
+        ring = [(radius, 0)]
+        seen |= {(radius, 0), (0, radius)}
+        for x, y in circle(radius):
+            first = x
+            while first > 0 and (first - 1, y) not in seen:
+                first -= 1
+            for cell in ((i, y) for i in range(first, x + 1)):
+                seen |= {cell, cell[::-1]}
+                ring.append(cell)
+        if radius > low:
+            for x, y in ring:
+                if y == 0:
+                    out += [(x, 0), (-x, 0), (0, x), (0, -x)]
+                    continue
+                for u, v in [(x, y)] if x == y else [(x, y), (y, x)]:
+                    out += [(u, v), (-u, -v), (u, -v), (-u, v)]
+    return out
+
+
+def offsets(spark: SparkSession, low: int, high: int) -> DataFrame:
     return spark.createDataFrame([(i, dr, dc) for i, (dr, dc) in enumerate(spiral(low, high))], "ord int, dr int, dc int")
 
 

@@ -1,7 +1,7 @@
 """Phase unwrapping: gradients, residues and costs as windows; a spanning-tree unwrapper per tile.
 
-The relational parts work on long pixels. The tree is a heap algorithm over one tile, a group of
-bounded size that the caller chooses by its tile keys.
+The relational parts work on long pixels. The tree is a heap algorithm over one tile; ``tiled_unwrap``
+cuts frames of any size into tiles of bounded size and levels them.
 """
 
 from __future__ import annotations
@@ -12,7 +12,7 @@ from collections.abc import Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from phasegrid.functions import cplx
@@ -57,12 +57,17 @@ def integrate(phases: DataFrame, keys: Sequence[str] = (), phase: str = "phase")
     return made.crossJoin(F.broadcast(origin)).select("r", "c", (F.col("origin") + 2 * PI * F.col("cycles")).alias("unwrapped"))
 
 
+def cost_variance(coherence: Column | np.ndarray, scale: float = 1.0, sigma: float = 0.05, power: float = 0.5):
+    """The variance of a difference in sub-cycles, from its coherence; for columns and arrays."""
+    return ((1 - coherence) ** power / 6.0 + sigma) * (float(CYCLE_STEPS) ** 2) / scale
+
+
 def smooth_costs(grads: DataFrame, mean: str, diff: str, coherence: str, scale: float = 1.0, sigma: float = 0.05, power: float = 0.5) -> DataFrame:
     """Adds (offset, variance) of the quadratic arc cost in sub-cycles: the offset from the local mean
     gradient, half of it where the coherence is 0, and the variance from the coherence."""
     n = float(CYCLE_STEPS)
     used = F.when(F.col(coherence) > 0, F.col(mean)).otherwise(0.5 * F.col(mean))
-    variance = (F.pow(1 - F.col(coherence), F.lit(power)) / 6.0 + sigma) * (n * n) / scale
+    variance = cost_variance(F.col(coherence), scale, sigma, power)
     return grads.withColumns({"offset": F.rint(n * (F.col(diff) - used)).cast("int"), "variance": F.ceil(variance).cast("int")})
 
 
@@ -81,8 +86,8 @@ def unwrap_array(wrapped: np.ndarray, weight_r: np.ndarray | None = None, weight
     fold = lambda x: x - np.floor(x + 0.5)
     dc, dr = fold(np.diff(cycles, axis=1)), fold(np.diff(cycles, axis=0))
     charge = np.rint(dc[:-1] + dr[:, 1:] - dc[1:] - dr[:, :-1]).astype(int)
-    weight_c = np.ones(dc.shape) if weight_c is None else np.clip(weight_c, 1, MAX_WEIGHT)
-    weight_r = np.ones(dr.shape) if weight_r is None else np.clip(weight_r, 1, MAX_WEIGHT)
+    weight_c = np.ones(dc.shape) if weight_c is None else np.clip(weight_c, 0, MAX_WEIGHT)
+    weight_r = np.ones(dr.shape) if weight_r is None else np.clip(weight_r, 0, MAX_WEIGHT)
     ground = (rows - 1) * (cols - 1)
 
     def arcs(node: int) -> list[tuple[int, float, str, int, int, int]]:
@@ -201,49 +206,107 @@ def components(join_c: np.ndarray, join_r: np.ndarray, min_share: float = 0.01,
     return renamed[label]
 
 
-def unwrap(phases: DataFrame, keys: Sequence[str], phase: str = "phase") -> DataFrame:
-    """(keys, r, c, unwrapped): one tile per key, cells absent from it count as phase 0 and aren't
-    returned."""
+def arc_weights(coherence: np.ndarray, known: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Weights of vertical and horizontal differences: the inverse cost variance of the lesser coherence
+    of the two cells, ``MAX_WEIGHT`` at coherence 1. Differences with an absent cell cost nothing."""
+
+    def one(axis: int) -> np.ndarray:
+        n = coherence.shape[axis]
+        pair = lambda x: (np.take(x, range(n - 1), axis=axis), np.take(x, range(1, n), axis=axis))
+        worst = np.clip(np.minimum(*pair(coherence)), 0.0, 1.0)
+        weight = np.maximum(1, np.rint(MAX_WEIGHT * cost_variance(1.0) / cost_variance(worst)))
+        return np.where(np.logical_and(*pair(known)), weight, 0)
+
+    return one(0), one(1)
+
+
+def unwrap(phases: DataFrame, keys: Sequence[str], phase: str = "phase", coherence: str | None = None) -> DataFrame:
+    """(keys, r, c, unwrapped): one tile per key. Differences are weighted by ``coherence``, or equally;
+    crossing cells that are absent from a tile costs nothing, and they aren't returned."""
 
     def one(table: pa.Table) -> pa.Table:
         r, c = table.column("r").to_numpy(), table.column("c").to_numpy()
         top, left = r.min(), c.min()
         tile = np.zeros((r.max() - top + 1, c.max() - left + 1))
+        known, quality = np.zeros(tile.shape, dtype=bool), np.ones(tile.shape)
         tile[r - top, c - left] = table.column(phase).to_numpy()
-        out, _ = unwrap_array(tile)
+        known[r - top, c - left] = True
+        if coherence:
+            quality[r - top, c - left] = table.column(coherence).to_numpy()
+        plain = coherence is None and known.all()
+        out, _ = unwrap_array(tile, *(() if plain else arc_weights(quality, known)))
         return pa.table({k: table.column(k) for k in keys} | {"r": r, "c": c, "unwrapped": out[r - top, c - left]})
 
-    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in phases.schema.fields if f.name in [*keys, "r", "c"])
-    ordered = phases.select(*[f.name for f in phases.schema.fields if f.name in [*keys, "r", "c"]], phase)
+    own = [f for f in phases.schema.fields if f.name in [*keys, "r", "c"]]
+    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in own)
+    ordered = phases.select(*[f.name for f in own], phase, *([coherence] if coherence else []))
     return ordered.groupBy(*keys).applyInArrow(one, f"{kinds}, unwrapped double")
 
 
-def seam_offsets(tiles: DataFrame, tile: str, phase: str = "unwrapped") -> DataFrame:
-    """(tile a, tile b, cycles): the rounded median of the cycles between tiles on shared pixels."""
-    a = tiles.select("r", "c", F.col(tile).alias("a"), F.col(phase).alias("pa"))
-    b = tiles.select("r", "c", F.col(tile).alias("b"), F.col(phase).alias("pb"))
-    both = a.join(b, ["r", "c"]).where("a < b")
-    return both.groupBy("a", "b").agg(F.rint(F.median((F.col("pb") - F.col("pa")) / (2 * PI))).cast("int").alias("cycles"), F.count("*").alias("n"))
+def tile_count(size: int, tile: int = 1024) -> int:
+    return max(1, size // tile)
+
+
+def tiled_unwrap(
+    phases: DataFrame, keys: Sequence[str], shape: tuple[int, int], tiles: tuple[int, int] | None = None, overlap: tuple[int, int] = (200, 200),
+    phase: str = "phase", coherence: str | None = None,
+) -> DataFrame:
+    """(keys, r, c, unwrapped) of frames of any size: overlapping tiles, one for each 1024 rows and
+    columns, are unwrapped on their own and levelled by the cycles between them where they overlap. A
+    cell is copied to the tiles that hold it, two or four at a seam."""
+    tiles = tiles or (tile_count(shape[0]), tile_count(shape[1]))
+
+    def held(axis: str, i: int) -> Column:
+        step, reach = -(-shape[i] // tiles[i]), overlap[i] // 2
+        own = F.floor(F.col(axis) / step).cast("int")
+        near = F.filter(F.array(own - 1, own, own + 1), lambda t: (t >= 0) & (t < tiles[i]) & (F.col(axis) >= t * step - reach) & (F.col(axis) < (t + 1) * step + reach))
+        return F.explode(near)
+
+    rows = phases.withColumn("__ti", held("r", 0)).withColumn("__tj", held("c", 1))
+    rows = rows.withColumn("tile", (F.col("__ti") * tiles[1] + F.col("__tj")).cast("int")).drop("__ti", "__tj")
+    return level_tiles(unwrap(rows, [*keys, "tile"], phase, coherence), "tile", keys=keys)
+
+
+def seam_offsets(tiles: DataFrame, tile: str, phase: str = "unwrapped", keys: Sequence[str] = ()) -> DataFrame:
+    """(keys, tile a, tile b, cycles): the rounded median of the cycles between tiles on shared pixels."""
+    a = tiles.select(*keys, "r", "c", F.col(tile).alias("a"), F.col(phase).alias("pa"))
+    b = tiles.select(*keys, "r", "c", F.col(tile).alias("b"), F.col(phase).alias("pb"))
+    both = a.join(b, [*keys, "r", "c"]).where("a < b")
+    return both.groupBy(*keys, "a", "b").agg(F.rint(F.median((F.col("pb") - F.col("pa")) / (2 * PI))).cast("int").alias("cycles"), F.count("*").alias("n"))
 
 
-def level_tiles(tiles: DataFrame, tile: str, phase: str = "unwrapped") -> DataFrame:
-    """(r, c, phase): overlapping tiles brought to the level of the least tile of their group. The
-    tile graph has one row per pair of neighbouring tiles and is solved on the driver; pixels then
-    take the least tile that has them."""
-    edges = seam_offsets(tiles, tile, phase).collect()
+def tile_levels(a: Sequence, b: Sequence, cycles: Sequence[int], weight: Sequence[int]) -> dict:
+    """The cycles to add to each tile of one frame: along a tree of the seams with the most pixels, from
+    the least tile of each connected group."""
     near: dict = {}
-    for e in edges:
-        near.setdefault(e["a"], []).append((e["b"], -e["cycles"]))
-        near.setdefault(e["b"], []).append((e["a"], e["cycles"]))
+    for x, y, d, n in zip(a, b, cycles, weight, strict=True):
+        near.setdefault(x, []).append((n, y, -d))
+        near.setdefault(y, []).append((n, x, d))
     level: dict = {}
     for root in sorted(near):
-        todo = [] if root in level else [(root, 0)]
+        todo = [] if root in level else [(0, root, 0)]
         while todo:
-            t, offset = todo.pop()
+            _, t, offset = heapq.heappop(todo)
             if t not in level:
                 level[t] = offset
-                todo += [(o, offset + d) for o, d in near[t]]
-    kind = dict(tiles.dtypes)[tile]
-    table = tiles.sparkSession.createDataFrame([(t, int(o)) for t, o in level.items()], f"`{tile}` {kind}, cycles int")
-    moved = tiles.join(table, tile, "left").withColumn(phase, F.col(phase) + 2 * PI * F.coalesce("cycles", F.lit(0)))
-    return moved.groupBy("r", "c").agg(F.min_by(phase, tile).alias(phase))
+                for n, other, d in near[t]:
+                    heapq.heappush(todo, (-n, other, offset + d))
+    return level
+
+
+def level_tiles(tiles: DataFrame, tile: str, phase: str = "unwrapped", keys: Sequence[str] = ()) -> DataFrame:
+    """(keys, r, c, phase): overlapping tiles brought to the level of the least tile of their group. The
+    tile graph of a frame has one row per pair of neighbouring tiles and is solved in one task; pixels
+    then take the least tile that has them."""
+    kinds = dict(tiles.dtypes)
+
+    def solve(table: pa.Table) -> pa.Table:
+        levels = tile_levels(*[table.column(n).to_pylist() for n in ("a", "b", "cycles", "n")])
+        same = {k: pa.array([table.column(k)[0].as_py()] * len(levels), table.schema.field(k).type) for k in keys}
+        return pa.table(same | {tile: pa.array(list(levels), table.schema.field("a").type), "cycles": pa.array(list(levels.values()), pa.int32())})
+
+    schema = ", ".join([f"`{k}` {kinds[k]}" for k in [*keys, tile]] + ["cycles int"])
+    edges = seam_offsets(tiles, tile, phase, keys)
+    levels = (edges.groupBy(*keys) if keys else edges.groupBy(F.lit(0).alias("__frame"))).applyInArrow(solve, schema)
+    moved = tiles.join(levels, [*keys, tile], "left").withColumn(phase, F.col(phase) + 2 * PI * F.coalesce("cycles", F.lit(0)))
+    return moved.groupBy(*keys, "r", "c").agg(F.min_by(phase, tile).alias(phase))

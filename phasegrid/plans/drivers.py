@@ -56,21 +56,27 @@ def phase_correction(ifgs: DataFrame, delays: DataFrame, wavelength: float, rows
     return interferograms.goldstein(corrected.select(*PAIR, *PX, "re", "im"), rows, cols, options.window, options.alpha, PAIR)
 
 
-def batch_unwrap(ifgs: DataFrame, done: DataFrame | None = None) -> DataFrame:
-    """(date1, date2, r, c, u): one tile per interferogram, cells without data masked to 0."""
+def batch_unwrap(ifgs: DataFrame, done: DataFrame | None = None, shape: tuple[int, int] | None = None, coherence: DataFrame | None = None) -> DataFrame:
+    """(date1, date2, r, c, u): tiles of each interferogram weighted by ``coherence(date1, date2, r, c,
+    coh)``, levelled to one another; without a ``shape`` one tile. Cells without data are masked to 0."""
     todo = catalog.todo(ifgs, done, PAIR) if done is not None else ifgs
     phase = todo.select(*PAIR, *PX, cplx.angle(cplx.pair()).alias("phase"))
-    out = unwrapping.unwrap(phase, PAIR).withColumnRenamed("unwrapped", "u")
+    if coherence is not None:
+        phase = phase.join(coherence.select(*PAIR, *PX, F.coalesce("coh", F.lit(0.0)).alias("coh")), [*PAIR, *PX])
+    weight = "coh" if coherence is not None else None
+    out = unwrapping.tiled_unwrap(phase, PAIR, shape, coherence=weight) if shape else unwrapping.unwrap(phase, PAIR, coherence=weight)
+    out = out.withColumnRenamed("unwrapped", "u")
     return raster.zero_mask(out, todo.select(*PAIR, *PX, "re", "im"), "u", [*PAIR, *PX])
 
 
 def time_series(stack: DataFrame, shape: tuple[int, int], options: TimeSeries, mask: DataFrame | None = None, wavelength: float = timeseries.WAVELENGTH) -> DataFrame:
     """Velocity (and for the series methods displacement and cumulative) per pixel.
 
-    The reference phase is subtracted first; masked pixels are left out. Dates and pairs are graph
+    The reference phase is subtracted first; masked pixels aren't solved and get a NaN velocity. Dates and pairs are graph
     tables; the solver methods collect them, and only them, to build their design matrices."""
     if mask is not None:
-        stack = stack.join(mask.where("valid").select(*PX), PX)
+        solved = time_series(stack.join(mask.where("valid").select(*PX), PX), shape, options, None, wavelength)
+        return mask.select(*PX).distinct().join(solved, PX, "left").withColumn("velocity", F.coalesce("velocity", F.lit(float("nan"))))
     dates = network.date_index(stack.select(F.col("date1").alias("date")).union(stack.select(F.col("date2").alias("date"))))
     days = F.datediff("date2", "date1")
     pairs = network.network(stack.select(*PAIR).distinct().withColumn("days", days), dates)

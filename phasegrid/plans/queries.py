@@ -439,31 +439,19 @@ def bbox_intersect(spark: SparkSession, sf_dir: str) -> DataFrame:
     return s.select("k", box.alias("b")).where("b is not null").select("k", "b.*")
 
 
-def _functions_in_sql(spark: SparkSession, px: DataFrame) -> DataFrame:
+@query(f"""WITH {b.PX}, q AS (SELECT r, c, v, v * 20 AS x FROM px)
+SELECT r, c, round(x - 2 * pi() * ceil((x - pi()) / (2 * pi())), 6) + 0e0 AS wrapped, round(v - floor(v + 0.5::DOUBLE), 6) + 0e0 AS cycles,
+ round(greatest(0, v - 0.1::DOUBLE) - greatest(0, -v - 0.1::DOUBLE), 6) + 0e0 AS soft, trunc((v - 0.5::DOUBLE) / -0.01::DOUBLE)::INTEGER AS row_ FROM q""")
+def functions_in_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A query in SQL text over the registered functions."""
     sql_functions.register(spark)
     return spark.sql(
         """SELECT r, c, round(pg_wrap(v * 20), 6) + 0D AS wrapped, round(pg_wrap_cycles(v), 6) + 0D AS cycles,
         round(pg_soft_threshold(v, 0.1D), 6) + 0D AS soft, pg_row(v, 0.5D, -0.01D) AS row_ FROM {px}""",
-        px=px,
+        px=b.embedding_pixels(spark, sf_dir),
     )
 
 
-@query(f"""WITH {b.PX}, q AS (SELECT r, c, v, v * 20 AS x FROM px WHERE c < 8)
-SELECT r, c, round(x - 2 * pi() * ceil((x - pi()) / (2 * pi())), 6) + 0e0 AS wrapped, round(v - floor(v + 0.5::DOUBLE), 6) + 0e0 AS cycles,
- round(greatest(0, v - 0.1::DOUBLE) - greatest(0, -v - 0.1::DOUBLE), 6) + 0e0 AS soft, trunc((v - 0.5::DOUBLE) / -0.01::DOUBLE)::INTEGER AS row_ FROM q""")
-def functions_in_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A query in SQL text over the registered functions."""
-    return _functions_in_sql(spark, b.embedding_pixels(spark, sf_dir).where("c < 8"))
-
-
-@query(f"""WITH {b.PX}, q AS (SELECT r, c, v, v * 20 AS x FROM px)
-SELECT r, c, round(x - 2 * pi() * ceil((x - pi()) / (2 * pi())), 6) + 0e0 AS wrapped, round(v - floor(v + 0.5::DOUBLE), 6) + 0e0 AS cycles,
- round(greatest(0, v - 0.1::DOUBLE) - greatest(0, -v - 0.1::DOUBLE), 6) + 0e0 AS soft, trunc((v - 0.5::DOUBLE) / -0.01::DOUBLE)::INTEGER AS row_ FROM q""")
-def functions_in_sql_all(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``functions_in_sql`` over all columns of the raster."""
-    return _functions_in_sql(spark, b.embedding_pixels(spark, sf_dir))
-
-
 # ---- joins and catalogues -----------------------------------------------------------------------
 
 
@@ -479,19 +467,10 @@ def orbit_interval_match(spark: SparkSession, sf_dir: str) -> DataFrame:
     return joins.first_match(joined, ["event_id"], ["file"], ["file"])
 
 
-@query("""WITH b AS (SELECT p_partkey AS k, (p_partkey % 500)::BIGINT AS top, (p_partkey % 500)::BIGINT + p_size AS bottom, (p_partkey % 3)::INTEGER AS iw FROM part),
- d AS (SELECT x.iw, x.k AS l_id, y.k AS r_id, abs(x.top - y.top) + abs(x.bottom - y.bottom) AS distance FROM b x JOIN b y ON y.iw = x.iw WHERE x.k <= 300 AND y.k > 300),
- n AS (SELECT *, row_number() OVER (PARTITION BY iw, l_id ORDER BY distance, r_id) AS i FROM d) SELECT iw, l_id, r_id, distance FROM n WHERE i = 1""")
-def burst_match(spark: SparkSession, sf_dir: str) -> DataFrame:
-    k = F.col("p_partkey")
-    boxes = table(spark, sf_dir, "part").select(k.alias("k"), (k % 500).alias("top"), ((k % 500) + F.col("p_size")).alias("bottom"), (k % 3).cast("int").alias("iw"))
-    return joins.nearest_boxes(boxes.where("k <= 300"), boxes.where("k > 300"), ["iw"], "k", "k")
-
-
 @query("""WITH b AS (SELECT p_partkey AS k, (p_partkey % 500)::BIGINT AS top, (p_partkey % 500)::BIGINT + p_size AS bottom, (p_partkey % 3)::INTEGER AS iw FROM part),
  d AS (SELECT x.iw, x.k AS l_id, min((abs(x.top - y.top) + abs(x.bottom - y.bottom), y.k)) AS m FROM b x JOIN b y ON y.iw = x.iw WHERE y.k <> x.k GROUP BY ALL)
 SELECT iw, l_id, m[2] AS r_id, m[1] AS distance FROM d""")
-def burst_match_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+def burst_match(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every box and the nearest other box of its subswath."""
     k = F.col("p_partkey")
     boxes = table(spark, sf_dir, "part").select(k.alias("k"), (k % 500).alias("top"), ((k % 500) + F.col("p_size")).alias("bottom"), (k % 3).cast("int").alias("iw"))
@@ -612,11 +591,22 @@ def scene_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ---- similarity and unwrapping ------------------------------------------------------------------
 
-_OFFSETS = similarity.spiral(0, 2.5)
-_OFFSET_SQL = ", ".join(f"({i}, {dr}, {dc})" for i, (dr, dc) in enumerate(_OFFSETS))
+#: The octant cells of the rings 1 to 5, worked out by hand.
+OCTANT = ((1, 0), (1, 1), (2, 0), (2, 1), (3, 0), (3, 1), (2, 2), (4, 0), (4, 1), (3, 2), (4, 2), (3, 3), (5, 0), (5, 1), (5, 2), (4, 3))
+
+
+def spiral_sql(first: int, last: int) -> str:
+    """o(ord, dr, dc) from the octant cells first .. last − 1: the axis points, or the mirror images."""
+    cells = ", ".join(f"({i}, {x}, {y})" for i, (x, y) in enumerate(OCTANT[first:last]))
+    return f"""oct(i, x, y) AS (VALUES {cells}), img(j, swap, sx, sy) AS (VALUES (0, 0, 1, 1), (1, 0, -1, -1), (2, 0, 1, -1), (3, 0, -1, 1), (4, 1, 1, 1), (5, 1, -1, -1), (6, 1, 1, -1), (7, 1, -1, 1)),
+ every AS (SELECT i, j, CASE WHEN y = 0 THEN CASE j WHEN 0 THEN x WHEN 1 THEN -x ELSE 0 END WHEN swap = 1 THEN sx * y ELSE sx * x END AS dr,
+   CASE WHEN y = 0 THEN CASE j WHEN 2 THEN x WHEN 3 THEN -x ELSE 0 END WHEN swap = 1 THEN sy * x ELSE sy * y END AS dc FROM oct, img WHERE j < 4 OR (y > 0 AND x <> y)),
+ o AS (SELECT (row_number() OVER (ORDER BY i, j) - 1)::INTEGER AS ord, dr, dc FROM every)"""
+
+
 SIM_SQL = f"""WITH {b.Z}, u AS (SELECT r AS ifg, (c // 4)::INTEGER AS r, (c % 4)::INTEGER AS c, CASE WHEN sqrt(re * re + im * im) > 1e-8 THEN re / sqrt(re * re + im * im) ELSE 0 END AS re,
   CASE WHEN sqrt(re * re + im * im) > 1e-8 THEN im / sqrt(re * re + im * im) ELSE 0 END AS im FROM z), g AS (SELECT DISTINCT r, c, CASE WHEN (r + c) % 2 = 0 THEN 1 ELSE 0 END AS ps FROM u),
- o(ord, dr, dc) AS (VALUES {_OFFSET_SQL}),
+ {spiral_sql(0, 4)},
  n AS (SELECT g.r, g.c, ord, h.r AS nr, h.c AS nc, row_number() OVER (PARTITION BY g.r, g.c ORDER BY ord) AS k FROM g, o JOIN g h ON h.ps = 1 AND h.r = g.r + dr AND h.c = g.c + dc),
  s AS (SELECT n.r, n.c, n.ord, sum(x.re * y.re + x.im * y.im) / count(*) AS sim FROM n JOIN u x ON x.r = n.r AND x.c = n.c JOIN u y ON y.r = n.nr AND y.c = n.nc AND y.ifg = x.ifg WHERE k <= 10 GROUP BY ALL)"""
 
@@ -631,7 +621,7 @@ def _cube(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
 
 def _pairs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     cube, grid = _cube(spark, sf_dir)
-    return similarity.pair_similarity(cube, grid.where("ps = 1"), similarity.offsets(spark, 0, 2.5), 8, 4, 10), grid
+    return similarity.pair_similarity(cube, grid.where("ps = 1"), similarity.offsets(spark, 0, 3), 8, 4, 10), grid
 
 
 @query(f"{SIM_SQL} SELECT g.r, g.c, round(coalesce(list_sort(list(sim))[len(list(sim)) // 2 + 1], 0), 6) + 0e0 AS sim FROM g LEFT JOIN s ON s.r = g.r AND s.c = g.c GROUP BY ALL")
@@ -786,10 +776,10 @@ def stitch_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
     return frame.join(counts, ["r", "c"]).select("r", "c", F.col("re").cast("int").alias("source"), "n")
 
 
-@query(f"""WITH {b.PX}, q AS (SELECT p_partkey AS k, (p_partkey * 7919 % 10000) / 10000.0::DOUBLE * 480 AS y, (p_partkey * 104729 % 10000) / 10000.0::DOUBLE * 62 AS x FROM part),
- f AS (SELECT k, floor(y)::BIGINT AS r, floor(x)::INTEGER AS c, y - floor(y) AS a, x - floor(x) AS b FROM q)
-SELECT k, round(p.v * (1 - a) * (1 - b) + s.v * (1 - a) * b + t.v * a * (1 - b) + u.v * a * b, 6) + 0e0 AS v FROM f JOIN px p ON p.r = f.r AND p.c = f.c JOIN px s ON s.r = f.r AND s.c = f.c + 1
- JOIN px t ON t.r = f.r + 1 AND t.c = f.c JOIN px u ON u.r = f.r + 1 AND u.c = f.c + 1""")
+@query("""WITH q AS (SELECT p_partkey AS k, (p_partkey * 7919 % 10000) / 10000.0::DOUBLE * 480 AS y, (p_partkey * 104729 % 10000) / 10000.0::DOUBLE * 62 AS x FROM part),
+ f AS (SELECT k, floor(y)::BIGINT AS r, floor(x)::INTEGER AS c, y - floor(y) AS a, x - floor(x) AS b FROM q), e AS (SELECT vec_id::BIGINT AS r, embedding AS v FROM embeddings)
+SELECT k, round(p.v[c + 1]::DOUBLE * (1 - a) * (1 - b) + p.v[c + 2]::DOUBLE * (1 - a) * b + t.v[c + 1]::DOUBLE * a * (1 - b) + t.v[c + 2]::DOUBLE * a * b, 6) + 0e0 AS v
+FROM f JOIN e p ON p.r = f.r JOIN e t ON t.r = f.r + 1""")
 def bilinear(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = F.col("p_partkey")
     points = table(spark, sf_dir, "part").select(k.alias("k"), ((k * 7919 % 10000) / 10000.0 * 480).alias("y"), ((k * 104729 % 10000) / 10000.0 * 62).alias("x"))
@@ -866,7 +856,19 @@ def unwrap_mst(spark: SparkSession, sf_dir: str) -> DataFrame:
     return unwrapping.unwrap(phases, ["img"])
 
 
-@query("SELECT * FROM (VALUES " + ", ".join(f"({i}, {dr}, {dc})" for i, (dr, dc) in enumerate(similarity.spiral(1, 6))) + ") t(ord, dr, dc)")
+@query(f"WITH {b.PX} SELECT r // 50 AS img, r, c, round(0.7::DOUBLE * (r % 50) - 0.9::DOUBLE * c + 0.004::DOUBLE * (r % 50) * c, 6) + 0e0 AS unwrapped FROM px")
+def unwrap_tiled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A smooth field, wrapped: overlapping tiles give it back, each image on its own level."""
+    px = b.embedding_pixels(spark, sf_dir)
+    row = F.col("r") % 50
+    field = 0.7 * row - 0.9 * F.col("c") + 0.004 * row * F.col("c")
+    phases = px.select(F.expr("r div 50").alias("img"), "r", "c", cplx.wrap(field).alias("phase"), (0.5 + 0.5 * F.abs("v") / (1 + F.abs("v"))).alias("coh"))
+    local = phases.withColumn("r", (F.col("r") % 50).cast("int"))
+    out = unwrapping.tiled_unwrap(local, ["img"], (50, 64), (2, 3), (10, 8), coherence="coh")
+    return out.select("img", (F.col("img") * 50 + F.col("r")).alias("r"), "c", r6(F.col("unwrapped")).alias("unwrapped"))
+
+
+@query(f"WITH {spiral_sql(2, 16)} SELECT ord, dr, dc FROM o")
 def spiral_offsets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return similarity.offsets(spark, 1, 6)
 
