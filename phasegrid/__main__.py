@@ -65,7 +65,7 @@ def main(argv: list[str] | None = None) -> int:
         made.write.mode("overwrite").parquet(c.io.corrected)
     elif a.command == "unwrap":
         source = spark.read.parquet(c.io.corrected) if c.io.corrected else ifgs()
-        drivers.batch_unwrap(source).write.mode("overwrite").parquet(c.io.unwrapped)
+        drivers.batch_unwrap(source, shape=(out_rows, out_cols)).write.mode("overwrite").parquet(c.io.unwrapped)
     else:
         mask = spark.read.parquet(a.mask) if a.mask else None
         made = drivers.time_series(spark.read.parquet(c.io.unwrapped), (out_rows, out_cols), c.timeseries, mask, a.wavelength)

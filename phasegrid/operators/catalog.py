@@ -121,3 +121,10 @@ def split_ranges(count, start: int, end: int, cap: int = 2000) -> Iterator[tuple
     middle = (start + end) // 2
     yield from split_ranges(count, start, middle, cap)
     yield from split_ranges(count, middle, end, cap)
+
+
+def with_files(scenes: DataFrame, name: str, files: DataFrame, path: str) -> DataFrame:
+    """Scenes and the least path of the files that bear their name; null where none does."""
+    stem = F.regexp_extract(path, r"([^/]*?)(\.[^./]*)?$", 1)
+    found = files.groupBy(stem.alias(name)).agg(F.min(path).alias(path))
+    return scenes.join(found, name, "left")

@@ -137,15 +137,16 @@ def goldstein(ifg: DataFrame, rows: int, cols: int, window: int = 32, alpha: flo
     triangular weights. A patch is one group of window² pixels; the sums are a shuffle by pixel."""
     step = max(1, window // 4)
 
-    def starts(n: int) -> list[int]:
-        count = max(1, math.ceil(n / step) - 3)
-        return sorted({max(0, min(i * step, n - window)) for i in range(count)})
-
-    row_starts, col_starts = starts(rows), starts(cols)
-    listed = lambda xs: F.array(*[F.lit(x) for x in xs])
-    hits = lambda xs, axis: F.filter(listed(xs), lambda s: (s <= F.col(axis)) & (F.col(axis) < s + window))
-    spread = ifg.select(*keys, "r", "c", "re", "im", F.explode(hits(row_starts, "r")).alias("pr"))
-    spread = spread.select("*", F.explode(hits(col_starts, "c")).alias("pc"))
+    def hits(n: int, axis: str) -> Column:
+        """The starts of the patches that hold a cell, by arithmetic: at most window / step + 1."""
+        x, last, inner = F.col(axis).cast("int"), max(1, math.ceil(n / step) - 3) - 1, max(0, n - window)
+        first = F.greatest(F.lit(0), F.floor((x - window) / step).cast("int") + 1)
+        near = F.sequence(F.least(first, F.lit(last)), F.greatest(F.least(first, F.lit(last)), F.least(F.floor(x / step).cast("int"), F.lit(last))))
+        every = F.concat(F.transform(near, lambda i: F.least(i * step, F.lit(inner))), F.array(F.lit(min(last * step, inner))))
+        return F.array_distinct(F.filter(every, lambda s: (s <= x) & (x < s + window)))
+
+    spread = ifg.select(*keys, "r", "c", "re", "im", F.explode(hits(rows, "r")).alias("pr"))
+    spread = spread.select("*", F.explode(hits(cols, "c")).alias("pc"))
     ramp = np.minimum(np.arange(window) + 0.5, window - np.arange(window) - 0.5)
     triangle = np.outer(ramp, ramp) / ramp.max() ** 2
     g = np.exp(-0.5 * (np.arange(-3, 4) / 1.5) ** 2)

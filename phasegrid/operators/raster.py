@@ -6,6 +6,7 @@ combines block averages on the map side. Zero is "no data" but takes part in ave
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -206,3 +207,25 @@ def detrend_plane(stack: DataFrame, value: str, keys: Sequence[str]) -> DataFram
     planes = sums.select(*keys, slope_r.alias("__a"), slope_c.alias("__b"))
     flat = F.col(value) - F.col("__v0") - F.col("__a") * F.col("__x") - F.col("__b") * F.col("__y")
     return moved.join(planes, list(keys)).select(*stack.columns, flat.alias("__flat")).withColumn(value, F.col("__flat")).drop("__flat")
+
+
+def write_store(stack: DataFrame, path: str, image: str, attributes: dict[str, object]) -> None:
+    """A stack as one folder per image, rows in order, zstd; its attributes in a JSON file beside it."""
+    ordered = stack.repartition(image).sortWithinPartitions(image, "r", "c")
+    ordered.write.partitionBy(image).option("compression", "zstd").mode("overwrite").parquet(f"{path}/data")
+    spark = stack.sparkSession
+    spark.createDataFrame([(json.dumps(attributes),)], "value string").coalesce(1).write.mode("overwrite").text(f"{path}/attributes")
+
+
+def read_store(spark: SparkSession, path: str) -> tuple[DataFrame, dict[str, object]]:
+    """(rows, attributes) of a store; a filter on the image prunes its folders."""
+    return spark.read.parquet(f"{path}/data"), json.loads(spark.read.text(f"{path}/attributes").first()["value"])
+
+
+def crop_filled(df: DataFrame, top: int, bottom: int, left: int, right: int, value: str, fill: float = 0.0) -> DataFrame:
+    """(r, c, value) of a box, counted from its corner; cells that the raster doesn't have are ``fill``."""
+    width = right - left
+    flat = df.sparkSession.range((bottom - top) * width)
+    cells = flat.select(F.expr(f"cast(id div {width} as int)").alias("r"), (F.col("id") % width).cast("int").alias("c"))
+    inside = in_box(df, top, bottom, left, right).select((F.col("r") - top).cast("int").alias("r"), (F.col("c") - left).cast("int").alias("c"), value)
+    return cells.join(inside, ["r", "c"], "left").withColumn(value, F.coalesce(value, F.lit(fill)))

@@ -12,7 +12,7 @@ from phasegrid.functions import cplx, geo, names
 from phasegrid.functions import sql as sql_functions
 from phasegrid.operators import catalog, interferograms, joins, orbit, raster, similarity, timeseries, unwrapping
 from phasegrid.plans import bindings as b
-from phasegrid.plans import network
+from phasegrid.plans import network, source_queries
 from phasegrid.plans.bindings import r6, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -23,11 +23,11 @@ PX = ["px"]
 LOOKS = (10, 4)
 
 
-def query(sql: str | None = None) -> Callable[[Query], Query]:
+def query(sql: str | None = None, name: str | None = None) -> Callable[[Query], Query]:
     def add(f: Query) -> Query:
-        QUERIES[f.__name__] = f
+        QUERIES[name or f.__name__] = f
         if sql:
-            ORACLE[f.__name__] = sql
+            ORACLE[name or f.__name__] = sql
         return f
 
     return add
@@ -887,3 +887,6 @@ def stitch_subswath(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.size("p").alias("height"), F.lit(32).alias("width"), part(0).alias("re"), part(1).alias("im"),
     )
     return interferograms.stitch_subswath(tiles, ["iw"])
+
+
+source_queries.add(query)

@@ -25,10 +25,20 @@ def local_session(cores: int = 8, partitions: int = 8, memory: str = "8g") -> Sp
     return builder.getOrCreate()
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """A reliable checkpoint in the folder of ``spark.checkpoint.dir``; a temporary one is set only
-    where that is unset."""
-    context = df.sparkSession.sparkContext
+def shared_folder(spark: SparkSession) -> str:
+    """``spark.checkpoint.dir``; only a session on one machine may do without and gets a temporary one."""
+    context = spark.sparkContext
+    path = context.getConf().get("spark.checkpoint.dir") or context.getCheckpointDir()
+    if not path:
+        if not context.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all machines share")
+        path = tempfile.mkdtemp(prefix="phasegrid-")
     if not context.getCheckpointDir():
-        context.setCheckpointDir(context.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="phasegrid-"))
+        context.setCheckpointDir(path)
+    return path
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """A reliable checkpoint in the shared folder."""
+    shared_folder(df.sparkSession)
     return df.checkpoint()
