@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from phasegrid.session import shared_folder
+
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 #: White space as the contracts define it: space and \t \n \v \f \r.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -18,15 +19,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: ``spark.checkpoint.dir``. Only where it is unset
-    (local tests) a temporary folder is made and set."""
-    context = spark.sparkContext
-    path = context.getConf().get("spark.checkpoint.dir") or context.getCheckpointDir()
-    if not path:
-        path = tempfile.mkdtemp(prefix="phasegrid-")
-    if not context.getCheckpointDir():
-        context.setCheckpointDir(path)
-    return path
+    """The folder that driver and executors share: ``spark.checkpoint.dir``. Only where it is unset and
+    the session is local (tests) a temporary folder is made and set."""
+    return shared_folder(spark)
 
 
 def cut(df: DataFrame) -> DataFrame:
