@@ -1,10 +1,15 @@
-"""The stages against brute force, and the queries' columns."""
+"""The stages against a plain version, and the queries' columns."""
+
+import re
+import string
 
 import corpus_pipeline
 import __spark_entry__ as entry
-from phasegrid.llm import queries
+from phasegrid.llm import mixing, quality, queries
 
 from .helpers import empty, nasty
+from .test_dedup import FOLD
+from .test_text_operators import _greedy_tiles
 
 COLUMNS = {
     "op2_suffix_dedup": ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"],
@@ -45,6 +50,60 @@ def test_run_covers_all_stages(spark, sf):
     assert rows and abs(sum(r["taken"] for r in rows) / sum(r["size"] for r in rows) - 1) < 0.05
 
 
+def _jaccard(a, b):
+    return len(a & b) / len(a | b) if a or b else 0.0
+
+
+def _plain_run(docs, scores, bench):
+    """The first four stages over lists: the rows that stay, by id."""
+    rows = [(i, t or "") for i, t in docs if scores[i] >= 0.7]
+    last = {}
+    for i, t in sorted(rows):
+        last[t.translate(FOLD)] = i
+    rows = [(i, t) for i, t in sorted(rows) if last[t.translate(FOLD)] == i]
+    shingles = []
+    for _, t in rows:
+        w = re.findall(r"[^ \t\n\x0b\f\r]+", t.lower())
+        shingles.append({tuple(w[k : k + 5]) for k in range(max(1, len(w) - 4))} if w else set())
+    first = list(range(len(rows)))
+    for a in range(len(rows)):
+        for b in range(a):
+            if _jaccard(shingles[a], shingles[b]) >= 0.8 - 1e-12 and first[a] != first[b]:
+                old, new = max(first[a], first[b]), min(first[a], first[b])
+                first = [new if x == old else x for x in first]
+    rows = [r for k, r in enumerate(rows) if first[k] == k]
+    split = lambda t: [w for w in re.split(rf"[\x20\x09-\x0D{re.escape(string.punctuation)}]+", t.lower()) if w]
+    grams = lambda w: {tuple(w[k : k + 5]) for k in range(len(w) - 4)}
+    items = [(w, grams(w)) for w in (split(t or "") for t in bench) if len(w) >= 5]
+    out = []
+    for i, t in rows:
+        words = split(t)
+        own = grams(words)
+        if not any(own & g and _greedy_tiles(words, w, 5) >= 0.5 * len(w) for w, g in items):
+            out.append((i, t))
+    return out
+
+
+def test_run_matches_a_plain_version(spark, sf):
+    """The pipeline's rows against the stages over lists, with the classifier's own scores."""
+    docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text")
+    scored, name = quality.score(docs, quality.train(docs, spark.read.parquet(f"{sf}/labels.parquet")))
+    scores = {r["doc_id"]: r[name] for r in scored.select("doc_id", name).collect()}
+    plain = _plain_run([tuple(r) for r in docs.collect()], scores, [r["text"] for r in spark.read.parquet(f"{sf}/benchmark.parquet").collect()])
+    got = corpus_pipeline.run(spark, sf).collect()
+    assert sorted(r["doc_id"] for r in got) == [i for i, _ in plain]
+    words = {i: len(re.findall(r"[^ \t\n\x0b\f\r]+", t)) for i, t in plain}
+    assert all(r["size"] == words[r["doc_id"]] for r in got)
+    sources = sorted({r["source"] for r in got}, key=lambda s: (s is None, (s or "").encode()))
+    sizes = [sum(r["size"] for r in got if r["source"] == s) for s in sources]
+    for s, goal in zip(sources, mixing.targets(sizes, [(5.0, 2.0, 1.0)[k % 3] for k in range(len(sources))]), strict=True):
+        own = [r for r in got if r["source"] == s]
+        assert abs(own[0]["target"] - goal) < 1e-6 and abs(sum(r["taken"] for r in own) - goal) <= max(r["size"] for r in own)
+        assert all(r["taken"] == r["copies"] * r["size"] <= 3 * r["size"] and len(r["positions"] or ()) == r["copies"] for r in own)
+    placed = [r["position"] for r in got if r["position"] is not None]
+    assert placed == sorted(placed) and got[len(placed) - 1]["position"] is not None
+
+
 def test_stages_on_awkward_rows(spark, sf):
     for docs in (nasty(spark), empty(spark)):
         for _, stage in corpus_pipeline.STAGES[:-1]:
