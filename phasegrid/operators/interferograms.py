@@ -7,7 +7,7 @@ from collections.abc import Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from phasegrid.functions import cplx
@@ -94,38 +94,73 @@ def stitch_frame(subswaths: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     return raster.mosaic(subswaths, "iw", ["re", "im"], F.col("re") != 0, last_wins=True, keys=[*keys, "r", "c"])
 
 
+def carried(parts: Sequence[tuple[object, int, int, np.ndarray]]) -> tuple[np.ndarray, int, int]:
+    """(mosaic, top, left) of (acquisition, top, left, values) in order. The offset is measured where
+    the acquisition changes, against the mosaic so far, and carried until the next change."""
+    top, left = min(t for _, t, _, _ in parts), min(le for _, _, le, _ in parts)
+    bottom, right = max(t + v.shape[0] for _, t, _, v in parts), max(le + v.shape[1] for _, _, le, v in parts)
+    out = np.zeros((bottom - top, right - left), dtype=np.complex128)
+    offset, before = 0.0, None
+    for acquisition, y, x, new in parts:
+        view = out[y - top : y - top + new.shape[0], x - left : x - left + new.shape[1]]
+        overlap = (view.real != 0) & (new != 0)
+        if before is not None and acquisition != before and overlap.any():
+            turn = np.conj(view[overlap]) * new[overlap]
+            mean = np.angle(turn.mean())
+            offset = mean + np.median(np.angle(turn * np.exp(-1j * mean)))
+        before = acquisition
+        empty = (view.real == 0) & (new.real != 0)
+        view[empty] = (new * np.exp(-1j * offset))[empty]
+    return out, top, left
+
+
+def _stitched(rows: DataFrame, keys: Sequence[str], parts) -> DataFrame:
+    """Fold each subswath: ``parts(table)`` lists its bursts in order."""
+
+    def fold(table: pa.Table) -> pa.Table:
+        out, top, left = carried(parts(table))
+        r, c = np.nonzero(out)
+        own = {k: pa.array([table.column(k)[0].as_py()] * len(r), table.schema.field(k).type) for k in keys}
+        return pa.table(own | {"r": (r + top).astype(np.int64), "c": (c + left).astype(np.int32), "re": out[r, c].real, "im": out[r, c].imag})
+
+    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields if f.name in keys)
+    return rows.groupBy(*keys).applyInArrow(fold, f"{kinds}, r long, c int, re double, im double")
+
+
 def stitch_subswath(tiles: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Stitch the bursts of one subswath with the phase offset carried forward.
 
     ``tiles`` has a row per burst: keys, ord, acquisition (the image pair's id), top, left, height,
     width, re and im as arrays. The offset of a burst is measured against the mosaic of those before
     it, which are already corrected, so the bursts of one subswath (nine or ten) are folded in order
-    by one task; subswaths are independent. The offset is measured where the acquisition changes and
-    carried until the next change. Returns (keys, r, c, re, im) of cells with data."""
+    by one task; subswaths are independent. Returns (keys, r, c, re, im) of cells with data."""
 
-    def fold(table: pa.Table) -> pa.Table:
+    def parts(table: pa.Table) -> list[tuple[object, int, int, np.ndarray]]:
         rows = sorted(table.to_pylist(), key=lambda x: x["ord"])
-        top, left = min(x["top"] for x in rows), min(x["left"] for x in rows)
-        bottom, right = max(x["top"] + x["height"] for x in rows), max(x["left"] + x["width"] for x in rows)
-        out = np.zeros((bottom - top, right - left), dtype=np.complex128)
-        offset, before = 0.0, None
-        for x in rows:
-            new = (np.asarray(x["re"]) + 1j * np.asarray(x["im"])).reshape(x["height"], x["width"])
-            view = out[x["top"] - top : x["top"] - top + x["height"], x["left"] - left : x["left"] - left + x["width"]]
-            overlap = (view.real != 0) & (new != 0)
-            if before is not None and x["acquisition"] != before and overlap.any():
-                turn = np.conj(view[overlap]) * new[overlap]
-                mean = np.angle(turn.mean())
-                offset = mean + np.median(np.angle(turn * np.exp(-1j * mean)))
-            before = x["acquisition"]
-            empty = (view.real == 0) & (new.real != 0)
-            view[empty] = (new * np.exp(-1j * offset))[empty]
-        r, c = np.nonzero(out)
-        first = {k: pa.array([rows[0][k]] * len(r), table.schema.field(k).type) for k in keys}
-        return pa.table(first | {"r": (r + top).astype(np.int64), "c": (c + left).astype(np.int32), "re": out[r, c].real, "im": out[r, c].imag})
-
-    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in tiles.schema.fields if f.name in keys)
-    return tiles.groupBy(*keys).applyInArrow(fold, f"{kinds}, r long, c int, re double, im double")
+        return [(x["acquisition"], x["top"], x["left"], (np.asarray(x["re"]) + 1j * np.asarray(x["im"])).reshape(x["height"], x["width"])) for x in rows]
+
+    return _stitched(tiles, keys, parts)
+
+
+def stitch_subswath_pixels(pixels: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """As ``stitch_subswath`` from (keys, ord, acquisition, r, c, re, im), a row per pixel; ``ord``
+    tells the bursts apart."""
+    numbered = pixels.withColumn("__n", F.dense_rank().over(Window.partitionBy(*keys).orderBy("ord")))
+    names = [*keys, "__n", "acquisition", "r", "c", "re", "im"]
+
+    def parts(table: pa.Table) -> list[tuple[object, int, int, np.ndarray]]:
+        n, r, c = (table.column(x).to_numpy() for x in ("__n", "r", "c"))
+        z = table.column("re").to_numpy() + 1j * table.column("im").to_numpy()
+        order = np.argsort(n, kind="stable")
+        out = []
+        for at in np.split(order, np.flatnonzero(np.diff(n[order])) + 1):
+            top, left = int(r[at].min()), int(c[at].min())
+            values = np.zeros((int(r[at].max()) - top + 1, int(c[at].max()) - left + 1), dtype=np.complex128)
+            values[r[at] - top, c[at] - left] = z[at]
+            out.append((table.column("acquisition")[int(at[0])].as_py(), top, left, values))
+        return out
+
+    return _stitched(numbered.select(*names), keys, parts)
 
 
 def goldstein(ifg: DataFrame, rows: int, cols: int, window: int = 32, alpha: float = 0.5, keys: Sequence[str] = ()) -> DataFrame:

@@ -7,6 +7,7 @@ Steps skip pairs that a manifest already lists, so a rerun does what is missing.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import asdict
 
 from pyspark.sql import DataFrame
@@ -14,8 +15,8 @@ from pyspark.sql import functions as F
 
 from phasegrid.config import Config, Filter, TimeSeries
 from phasegrid.functions import cplx
-from phasegrid.operators import catalog, interferograms, raster, timeseries, unwrapping
-from phasegrid.operators.joins import pairs_within, small
+from phasegrid.operators import catalog, interferograms, raster, similarity, timeseries, unwrapping
+from phasegrid.operators.joins import nearest_boxes, pairs_within, small
 from phasegrid.plans import network
 
 PAIR = ["date1", "date2"]
@@ -27,15 +28,60 @@ def slc_pairs(images: DataFrame, days: tuple[int, int]) -> DataFrame:
 
 
 def interfere(images: DataFrame, pairs: DataFrame, rows: int, cols: int, looks: tuple[int, int], done: DataFrame | None = None) -> DataFrame:
-    """Multilooked interferograms of all pairs that aren't done. Each image is shuffled once per side
-    by pixel; the pair table only multiplies rows by the pairs a date is in."""
+    """Multilooked interferograms of all pairs that aren't done. Full-resolution pixels are shuffled
+    once, by look block; a pixel's dates meet there, and the pairs of a block are summed in place."""
     wanted = catalog.todo(pairs, done, PAIR) if done is not None else pairs
-    wanted = small(wanted.select(*PAIR))
-    first = images.withColumnRenamed("date", "date1").join(wanted, "date1")
-    second = images.withColumnRenamed("date", "date2").join(wanted, "date2")
-    ifg = interferograms.form(first, second, [*PAIR, "r", "c"])
-    out = interferograms.looked(ifg, rows, cols, looks, keys=PAIR)
-    return out.select(*PAIR, F.col("br").alias("r"), F.col("bc").alias("c"), "re", "im")
+    cells = raster.blocks(images, rows, cols, looks).repartition("br", "bc")
+    series = cells.groupBy("br", "bc", "r", "c").agg(F.collect_list(F.struct("date", "re", "im")).alias("z"))
+    both = series.select("br", "bc", "z", F.explode("z").alias("a")).select("br", "bc", "a", F.explode("z").alias("b"))
+    both = both.select("br", "bc", F.col("a.date").alias("date1"), F.col("b.date").alias("date2"), "a", "b")
+    re, im = cplx.mul_conj((F.col("a.re"), F.col("a.im")), (F.col("b.re"), F.col("b.im")))
+    size = float(looks[0] * looks[1])
+    looked = both.join(small(wanted.select(*PAIR)), PAIR).groupBy(*PAIR, "br", "bc").agg((F.sum(re) / size).alias("re"), (F.sum(im) / size).alias("im"))
+    return looked.select(*PAIR, F.col("br").alias("r"), F.col("bc").alias("c"), "re", "im")
+
+
+def interfere_bursts(
+    bursts: DataFrame, pixels: DataFrame, pairs: DataFrame, rows: int, cols: int, looks: tuple[int, int], done: DataFrame | None = None, keys: Sequence[str] = ()
+) -> DataFrame:
+    """Multilooked interferograms from geocoded bursts: match, form, stitch subswaths, stitch the frame.
+
+    ``bursts`` has (keys, date, iw, burst, acquisition, top, bottom), a row per burst, and ``pixels``
+    (keys, date, iw, burst, r, c, re, im); ``keys`` name the frame. Each burst of the first date is
+    paired with the nearest of the second in its subswath. The phase offset of a subswath is carried
+    where the acquisition of either date changes; the highest subswath with data wins."""
+    wanted = small((catalog.todo(pairs, done, PAIR) if done is not None else pairs).select(*PAIR))
+    frame = [*PAIR, *keys]
+    first = bursts.withColumnRenamed("date", "date1").join(wanted, "date1")
+    second = bursts.withColumnRenamed("date", "date2").join(wanted, "date2")
+    matched = nearest_boxes(first, second, [*frame, "iw"], "burst", "burst")
+    acquired = lambda side, name: side.select(*frame, "iw", F.col("burst").alias(f"{name}_id"), F.col("acquisition").alias(f"{name}_acq"), F.col("top").alias(f"{name}_top"))
+    matched = matched.join(acquired(first, "l"), [*frame, "iw", "l_id"]).join(acquired(second, "r"), [*frame, "iw", "r_id"])
+    matched = matched.withColumn("acquisition", F.concat_ws("|", "l_acq", "r_acq"))
+    one = pixels.withColumnsRenamed({"date": "date1", "burst": "l_id"}).join(matched, ["date1", *keys, "iw", "l_id"])
+    two = pixels.withColumnsRenamed({"date": "date2", "burst": "r_id"}).join(matched.select(*frame, "iw", "l_id", "r_id"), ["date2", *keys, "iw", "r_id"])
+    ids = [*frame, "iw", "l_id"]
+    ifg = interferograms.form(one, two, [*ids, "r", "c"])
+    ifg = ifg.join(matched.select(*ids, F.struct("l_top", "l_id").alias("ord"), "acquisition"), ids)
+    swaths = interferograms.stitch_subswath_pixels(ifg, [*frame, "iw"])
+    whole = interferograms.stitch_frame(swaths, frame)
+    out = interferograms.looked(whole, rows, cols, looks, keys=frame)
+    return out.select(*frame, F.col("br").alias("r"), F.col("bc").alias("c"), "re", "im")
+
+
+def scatterers(stack: DataFrame, candidates: DataFrame, rows: int, cols: int, neighbours: int, radii: tuple[int, int], least_median: float, least_max: float) -> DataFrame:
+    """(r, c, median, ps, max, selected) of ``candidates(r, c, ps)`` over ``stack(ifg, r, c, re, im)``.
+
+    The median similarity with the candidates decides which pixels are scatterers (candidates below
+    the threshold are none); the largest similarity with these then admits others. No pixel has a
+    limit but ``neighbours``, the number of nearest scatterers it is compared with."""
+    spirals = similarity.offsets(stack.sparkSession, *radii)
+    pairs = similarity.pair_similarity(stack, candidates.where("ps = 1"), spirals, rows, cols, neighbours)
+    median = similarity.median_similarity(pairs, candidates).withColumnRenamed("sim", "median")
+    middle = candidates.join(median, PX).select(*PX, "median", similarity.updated(F.col("ps"), F.col("median"), least_median, True).alias("ps"))
+    again = similarity.pair_similarity(stack, middle.where("ps = 1"), spirals, rows, cols, neighbours)
+    best = similarity.max_similarity(again, middle).withColumnRenamed("sim", "max")
+    return middle.join(best, PX).withColumn("selected", similarity.updated(F.col("ps"), F.col("max"), least_max, False))
 
 
 def coherence(images: DataFrame, ifgs: DataFrame, rows: int, cols: int, looks: tuple[int, int], above_one: str = "null") -> DataFrame:

@@ -12,7 +12,7 @@ from phasegrid.functions import cplx, geo, names
 from phasegrid.functions import sql as sql_functions
 from phasegrid.operators import catalog, interferograms, joins, orbit, raster, similarity, timeseries, unwrapping
 from phasegrid.plans import bindings as b
-from phasegrid.plans import network, source_queries
+from phasegrid.plans import drivers, network, source_queries
 from phasegrid.plans.bindings import r6, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -645,6 +645,22 @@ def ps_update(spark: SparkSession, sf_dir: str) -> DataFrame:
     return both.select("r", "c", change(True).alias("replaced"), change(False).alias("raised"))
 
 
+#: The pixels that pass the first threshold, and their similarity with one another.
+CHAIN_SQL = f"""{SIM_SQL}, m AS (SELECT g.r, g.c, coalesce(list_sort(list(sim))[len(list(sim)) // 2 + 1], 0) AS median FROM g LEFT JOIN s ON s.r = g.r AND s.c = g.c GROUP BY ALL),
+ w AS (SELECT r, c, median, CASE WHEN round(median, 6) >= 0.02 THEN 1 ELSE 0 END AS ps FROM m),
+ n2 AS (SELECT g.r, g.c, ord, h.r AS nr, h.c AS nc, row_number() OVER (PARTITION BY g.r, g.c ORDER BY ord) AS k FROM w g, o JOIN w h ON h.ps = 1 AND h.r = g.r + dr AND h.c = g.c + dc),
+ s2 AS (SELECT n.r, n.c, n.ord, sum(x.re * y.re + x.im * y.im) / count(*) AS sim FROM n2 n JOIN u x ON x.r = n.r AND x.c = n.c JOIN u y ON y.r = n.nr AND y.c = n.nc AND y.ifg = x.ifg WHERE k <= 10 GROUP BY ALL),
+ t AS (SELECT w.r, w.c, median, ps, CASE WHEN ps = 1 THEN 1.0::DOUBLE ELSE coalesce(max(sim), 0) END AS best FROM w LEFT JOIN s2 ON s2.r = w.r AND s2.c = w.c GROUP BY w.r, w.c, median, ps)"""
+
+
+@query(f"{CHAIN_SQL} SELECT r, c, round(median, 6) + 0e0 AS median, ps, round(best, 6) + 0e0 AS max, CASE WHEN round(best, 6) >= 0.04 THEN 1 ELSE ps END AS selected FROM t")
+def scatterer_selection(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Median similarity, threshold, largest similarity with what is left."""
+    cube, grid = _cube(spark, sf_dir)
+    out = drivers.scatterers(cube, grid, 8, 4, 10, (0, 3), 0.02, 0.04)
+    return out.withColumns({"median": r6(F.col("median")), "max": r6(F.col("max"))})
+
+
 PHASE_SQL = b.PX + ", ph AS (SELECT r // 50 AS img, r, c, 6 * pi() * v - 2 * pi() * ceil((6 * pi() * v - pi()) / (2 * pi())) AS phase FROM px)"
 GRAD_SQL = PHASE_SQL + """, g0 AS (SELECT img, r, c, phase, (lead(phase) OVER (PARTITION BY img, r ORDER BY c) - phase) / (2 * pi()) AS x, (lead(phase) OVER (PARTITION BY img, c ORDER BY r) - phase) / (2 * pi()) AS y FROM ph),
  g AS (SELECT img, r, c, phase, x - floor(x + 0.5::DOUBLE) AS dc, y - floor(y + 0.5::DOUBLE) AS dr FROM g0)"""
@@ -889,4 +905,31 @@ def stitch_subswath(spark: SparkSession, sf_dir: str) -> DataFrame:
     return interferograms.stitch_subswath(tiles, ["iw"])
 
 
+#: The phase between two dates, twelve days apart or more, on a grid of 32 columns.
+FIELD = "0.002 * d * (r % 300) + 0.003 * d * c"
+
+
+@query(f"""WITH p AS (SELECT vec_id::BIGINT AS r, unnest(range(32))::INTEGER AS c, 1 + (vec_id % 7) / 10.0::DOUBLE AS amp FROM embeddings),
+ q AS (SELECT d1, d2, r // 300 AS frame, (r % 300) // 10 AS r, c // 4 AS c, amp * amp * cos({FIELD}) AS re, amp * amp * sin({FIELD}) AS im
+  FROM p, (SELECT i AS d1, j AS d2, (j - i)::DOUBLE AS d FROM range(3) a(i), range(3) b(j) WHERE i < j))
+SELECT d1::INTEGER AS date1, d2::INTEGER AS date2, frame, r, c::INTEGER AS c, round(sum(re) / 40, 6) + 0e0 AS re, round(sum(im) / 40, 6) + 0e0 AS im FROM q GROUP BY ALL""")
+def interfere_bursts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Frames of 300 rows in bursts of 40 rows every 30 and two subswaths that overlap by 4 columns. The
+    phase jumps with each acquisition of three bursts; the stitched frame has no jumps."""
+    ids = F.col("vec_id")
+    rows = table(spark, sf_dir, "embeddings").select(F.expr("vec_id div 300").alias("frame"), (ids % 300).cast("int").alias("r"), (1 + (ids % 7) / 10.0).alias("amp"))
+    rows = rows.select("*", F.explode(F.sequence(F.lit(0), F.lit(31))).alias("c"), F.explode(F.sequence(F.lit(0), F.lit(2))).alias("date"))
+    hits = F.filter(F.array(F.expr("r div 30"), F.expr("r div 30 - 1")), lambda i: (i >= 0) & (i * 30 + 40 > F.col("r")))
+    swaths = F.filter(F.array(F.lit(1), F.lit(2)), lambda i: F.when(i == 1, F.col("c") < 18).otherwise(F.col("c") >= 14))
+    pixels = rows.withColumn("burst", F.explode(hits)).withColumn("iw", F.explode(swaths)).withColumn("burst", F.col("burst").cast("int"))
+    jump = F.expr("burst div 3") * F.col("date") * 0.7
+    phase = F.col("date") * (0.002 * F.col("r") + 0.003 * F.col("c")) + jump
+    pixels = pixels.select("frame", "date", "iw", "burst", "r", "c", (F.col("amp") * F.cos(phase)).alias("re"), (F.col("amp") * F.sin(phase)).alias("im"))
+    bursts = pixels.groupBy("frame", "date", "iw", "burst").agg(F.min("r").alias("top"), F.max("r").alias("bottom"))
+    bursts = bursts.withColumn("acquisition", F.expr("cast(burst div 3 as string)"))
+    pairs = spark.createDataFrame([(0, 1), (0, 2), (1, 2)], "date1 int, date2 int")
+    out = drivers.interfere_bursts(bursts, pixels, pairs, 300, 32, (10, 4), keys=["frame"])
+    return out.select("date1", "date2", "frame", F.col("r").cast("long").alias("r"), "c", r6(F.col("re")).alias("re"), r6(F.col("im")).alias("im"))
+
+
 source_queries.add(query)
