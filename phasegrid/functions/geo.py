@@ -57,6 +57,37 @@ def heading(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Column:
     return F.degrees(F.atan2(F.sin(d) * F.cos(b), F.cos(a) * F.sin(b) - F.sin(a) * F.cos(b) * F.cos(d)))
 
 
+def heading_ellipsoid(lat1: Column, lon1: Column, lat2: Column, lon2: Column, rounds: int = 12) -> Column:
+    """Azimuth at the first point of the geodesic to the second, in degrees in (−180, 180]; null for
+    equal points. The longitude difference on the auxiliary sphere is found by Vincenty's fixed-point
+    rounds, which don't converge for points that are nearly antipodal."""
+    flat = 1 - math.sqrt(1 - E2)
+    reduced = lambda lat: F.atan((1 - flat) * F.tan(F.radians(lat)))
+    u1, u2 = reduced(lat1), reduced(lat2)
+    s1, c1, s2, c2 = F.sin(u1), F.cos(u1), F.sin(u2), F.cos(u2)
+    turn = F.radians(lon2 - lon1)
+    apart = F.atan2(F.sin(turn), F.cos(turn))
+    start = F.struct(apart.alias("lon"), apart.alias("apart"), s1.alias("s1"), c1.alias("c1"), s2.alias("s2"), c2.alias("c2"))
+
+    def sides(x: Column) -> tuple[Column, Column]:
+        return x["c2"] * F.sin(x["lon"]), x["c1"] * x["s2"] - x["s1"] * x["c2"] * F.cos(x["lon"])
+
+    def better(x: Column, _: Column) -> Column:
+        east, north = sides(x)
+        sin = F.sqrt(east * east + north * north)
+        cos = x["s1"] * x["s2"] + x["c1"] * x["c2"] * F.cos(x["lon"])
+        tilt = F.when(sin > 0, x["c1"] * east / sin).otherwise(0.0)
+        rest = 1 - tilt * tilt
+        middle = F.when(rest > 1e-12, cos - 2 * x["s1"] * x["s2"] / rest).otherwise(0.0)
+        share = flat / 16 * rest * (4 + flat * (4 - 3 * rest))
+        arc = F.atan2(sin, cos) + share * sin * (middle + share * cos * (2 * middle * middle - 1))
+        return x.withField("lon", x["apart"] + (1 - share) * flat * tilt * arc)
+
+    solved = F.aggregate(F.sequence(F.lit(1), F.lit(rounds)), start, better, lambda x: F.struct(*sides(x)))
+    at = solved.getField("col1"), solved.getField("col2")
+    return F.when((at[0] != 0) | (at[1] != 0), F.degrees(F.atan2(*at)))
+
+
 def cross(a: Vector, b: Vector) -> Vector:
     return a[1] * b[2] - a[2] * b[1], a[2] * b[0] - a[0] * b[2], a[0] * b[1] - a[1] * b[0]
 
@@ -145,6 +176,11 @@ class Grid:
     def inside(self, row: Column, col: Column) -> Column:
         return (row >= 0) & (row < self.rows) & (col >= 0) & (col < self.cols)
 
+    def box(self, west: Column, south: Column, east: Column, north: Column) -> Column:
+        """The half-open box (top, bottom, left, right) of the cells of an area, clamped to the grid."""
+        down, across = lambda x: F.greatest(F.lit(0), F.least(x, F.lit(self.rows))), lambda x: F.greatest(F.lit(0), F.least(x, F.lit(self.cols)))
+        return F.struct(down(self.row(north)).alias("top"), down(self.row(south) + 1).alias("bottom"), across(self.col(west)).alias("left"), across(self.col(east) + 1).alias("right"))
+
     def lat(self, row: Column) -> Column:
         return row * self.dlat + self.lat_max
 

@@ -7,6 +7,7 @@ from collections.abc import Iterator, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from phasegrid.functions.geo import Grid
 from phasegrid.session import cut
 
 
@@ -75,6 +76,31 @@ def footprint(polygons: DataFrame, keys: Sequence[str], rings: str) -> DataFrame
     )
 
 
+def clipped_boxes(polygons: DataFrame, ring: str, grid: Grid) -> DataFrame:
+    """Polygons with the box (top, bottom, left, right) of the cells of the part of their ``ring``
+    (array of (lon, lat) arrays) that lies on the grid; null where none does. The ring is cut at one
+    side of the grid after the other, all in array functions."""
+    east, south = grid.lon_min + grid.cols * grid.dlon, grid.lat_max + grid.rows * grid.dlat
+    out = polygons.withColumn("__p", F.col(ring))
+
+    def side(axis: int, bound: float, sign: int):
+        def step(before: Column, now: Column) -> Column:
+            far, near = sign * (before[axis] - bound), sign * (now[axis] - bound)
+            other = before[1 - axis] + F.try_divide(far, far - near) * (now[1 - axis] - before[1 - axis])
+            crossing = F.array(F.lit(bound), other) if axis == 0 else F.array(other, F.lit(bound))
+            none = F.slice(F.array(now), 1, 0)
+            return F.concat(F.when((far >= 0) != (near >= 0), F.array(crossing)).otherwise(none), F.when(near >= 0, F.array(now)).otherwise(none))
+
+        return step
+
+    for axis, bound, sign in ((0, grid.lon_min, 1), (0, east, -1), (1, south, 1), (1, grid.lat_max, -1)):
+        turned = F.concat(F.slice("__p", -1, 1), F.slice("__p", F.lit(1), F.greatest(F.size("__p") - 1, F.lit(0))))
+        out = out.withColumn("__q", turned).withColumn("__p", F.flatten(F.zip_with("__q", "__p", side(axis, bound, sign)))).drop("__q")
+    lon, lat = F.transform("__p", lambda p: F.get(p, F.lit(0))), F.transform("__p", lambda p: F.get(p, F.lit(1)))
+    box = grid.box(F.array_min(lon), F.array_min(lat), F.array_max(lon), F.array_max(lat))
+    return out.withColumn("__b", F.when(F.size("__p") > 0, box)).select(*polygons.columns, *[F.col(f"__b.{n}").alias(n) for n in ("top", "bottom", "left", "right")])
+
+
 def json_field(json: Column, *paths: str) -> Column:
     """The first of several paths that is present."""
     return F.coalesce(*[F.get_json_object(json, p) for p in paths])

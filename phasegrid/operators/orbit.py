@@ -20,6 +20,7 @@ from phasegrid.operators.joins import pairs_within
 
 LIGHT = 299792458.0
 ROUNDS, TOLERANCE = 51, 5e-9
+SIDES = ("west", "south", "east", "north")
 
 
 @dataclass(frozen=True)
@@ -201,10 +202,10 @@ class Burst:
     valid: tuple[int, int, int, int]  # first and last valid line and sample
 
 
-def geocode(points: DataFrame, orbit: Orbit, burst: Burst, guard: int = 5) -> DataFrame:
-    """Adds re, im of a burst at (lat, lon, height): deramp, zero-Doppler, bilinear, reramp, and the
-    range phase removed; 0 outside of the valid window and in its first and last ``guard`` lines."""
-
+def geocoder(orbit: Orbit, burst: Burst, guard: int = 5):
+    """A function of arrays (lat, lon, height) that gives re, im: deramp, zero-Doppler, bilinear,
+    reramp, and the range phase removed; 0 outside of the valid window and in its first and last
+    ``guard`` lines."""
     def poly(c: tuple[float, float, float, float], slant: np.ndarray) -> np.ndarray:
         x = 2 * slant / LIGHT - c[0]
         return c[1] + c[2] * x + c[3] * x * x
@@ -238,7 +239,60 @@ def geocode(points: DataFrame, orbit: Orbit, burst: Burst, guard: int = 5) -> Da
         value = np.where(inside, value, 0)
         return [value.real, value.imag]
 
-    return _batched(points, orbit, make, "re double, im double")
+    return make
+
+
+def geocode(points: DataFrame, orbit: Orbit, burst: Burst, guard: int = 5) -> DataFrame:
+    """Adds re, im of one burst at (lat, lon, height); see ``geocoder``."""
+    return _batched(points, orbit, geocoder(orbit, burst, guard), "re double, im double")
+
+
+#: What a table of bursts has for each burst; ``vectors`` are rows of (t, x, y, z, vx, vy, vz).
+BURST = (
+    "samples int, start double, line_time double, near double, range_step double, wavelength double, ka array<double>, dc array<double>, "
+    "steering double, valid array<int>, vectors array<array<double>>, re array<double>, im array<double>"
+)
+
+
+def geocode_bursts(points: DataFrame, bursts: DataFrame, keys: Sequence[str], guard: int = 5) -> DataFrame:
+    """Adds re, im to ``points(keys, lat, lon, height, ...)`` from ``bursts(keys, ...)``, a row per burst
+    with the columns of ``BURST``. Points and burst of a key meet in one task, which holds that burst
+    alone; points whose key has no burst are dropped."""
+    names = points.columns
+
+    def run(at: pa.Table, of: pa.Table) -> pa.Table:
+        kind = pa.schema([*at.schema, ("re", pa.float64()), ("im", pa.float64())])
+        if not at.num_rows or not of.num_rows:
+            return kind.empty_table()
+        x = of.slice(0, 1).to_pylist()[0]
+        data = (np.asarray(x["re"]) + 1j * np.asarray(x["im"])).reshape(-1, x["samples"])
+        burst = Burst(data, x["start"], x["line_time"], x["near"], x["range_step"], x["wavelength"], tuple(x["ka"]), tuple(x["dc"]), x["steering"], tuple(x["valid"]))
+        made = geocoder(Orbit.from_rows(x["vectors"]), burst, guard)
+        re, im = made(*(at.column(n).to_numpy().astype(np.float64) for n in ("lat", "lon", "height")))
+        return pa.Table.from_arrays([*[at.column(n) for n in names], pa.array(re), pa.array(im)], schema=kind)
+
+    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in points.schema.fields)
+    grouped = points.groupBy(*keys).cogroup(bursts.groupBy(*keys))
+    return grouped.applyInArrow(run, f"{kinds}, re double, im double")
+
+
+def burst_areas(bursts: DataFrame, keys: Sequence[str], heights: tuple[float, float]) -> DataFrame:
+    """(keys, west, south, east, north) that each burst may cover between two heights."""
+    lines = F.expr("size(re) div samples")
+    few = bursts.select(*keys, "start", "line_time", "near", "range_step", "samples", lines.cast("int").alias("lines"), "vectors")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = []
+            for x in batch.to_pylist():
+                times = (x["start"], x["start"] + x["line_time"] * (x["lines"] - 1))
+                ranges = (x["near"], x["near"] + x["range_step"] * (x["samples"] - 1))
+                found.append(burst_bounds(Orbit.from_rows(x["vectors"]), times, ranges, heights))
+            own = [batch.column(k) for k in keys]
+            yield pa.RecordBatch.from_arrays([*own, *[pa.array([f[n] for f in found], pa.float64()) for n in SIDES]], names=[*keys, *SIDES])
+
+    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in few.schema.fields if f.name in keys)
+    return few.mapInArrow(run, f"{kinds}, " + ", ".join(f"{n} double" for n in SIDES))
 
 
 def pair_table(scenes: DataFrame, baselines: DataFrame, days: tuple[int, int], metres: tuple[float, float]) -> DataFrame:

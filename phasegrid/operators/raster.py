@@ -181,11 +181,15 @@ def evenly_spaced(df: DataFrame, order: str, k: int) -> DataFrame:
     return numbered.join(F.broadcast(places.select(step.alias("__i")).distinct()), "__i", "left_semi").drop("__i")
 
 
-def bilinear(points: DataFrame, df: DataFrame, key: str, row: str, col: str, values: Sequence[str]) -> DataFrame:
+def bilinear(points: DataFrame, df: DataFrame, key: str, row: str, col: str, values: Sequence[str], shape: tuple[int, int] | None = None) -> DataFrame:
     """(key, values) of ``df(r, c, ...)`` at fractional places. A point is sent to its four cells with
-    their weights and summed after one equi join; cells that are absent count as 0."""
-    r0, c0 = F.floor(row), F.floor(col)
-    a, b = F.col(row) - r0, F.col(col) - c0
+    their weights and summed after one equi join; cells that are absent count as 0. With a ``shape``,
+    places outside take the nearest place of the raster."""
+    y, x = F.col(row), F.col(col)
+    if shape:
+        y, x = (F.greatest(F.lit(0.0), F.least(v, F.lit(float(n - 1)))) for v, n in zip((y, x), shape, strict=True))
+    r0, c0 = F.floor(y), F.floor(x)
+    a, b = y - r0, x - c0
     corner = lambda dr, dc, w: F.struct((r0 + dr).cast("long").alias("r"), (c0 + dc).cast("int").alias("c"), w.alias("w"))
     four = F.array(corner(0, 0, (1 - a) * (1 - b)), corner(0, 1, (1 - a) * b), corner(1, 0, a * (1 - b)), corner(1, 1, a * b))
     spread = points.select(key, F.explode(four).alias("q")).select(key, "q.*")

@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 
 from phasegrid.config import Config, Filter, TimeSeries
 from phasegrid.functions import cplx
-from phasegrid.operators import catalog, interferograms, raster, similarity, timeseries, unwrapping
+from phasegrid.functions.geo import Grid
+from phasegrid.operators import catalog, interferograms, orbit, raster, similarity, timeseries, unwrapping
 from phasegrid.operators.joins import nearest_boxes, pairs_within, small
 from phasegrid.plans import network
 
@@ -27,6 +28,34 @@ def slc_pairs(images: DataFrame, days: tuple[int, int]) -> DataFrame:
     return pairs_within(images.select("date").distinct(), "date", *days)
 
 
+def geocode_scenes(
+    terrain: DataFrame, bursts: DataFrame, grid: Grid, done: DataFrame | None = None, heights: tuple[float, float] = (0.0, 10_000.0), guard: int = 5, tile: int = 256
+) -> DataFrame:
+    """(date, iw, burst, r, c, re, im) of all bursts whose date isn't done, on the cells of
+    ``terrain(r, c, height)`` that they may cover and have data for.
+
+    ``bursts`` has (date, iw, burst) and the columns of ``orbit.BURST``. Cells and burst areas meet by
+    tiles of ``tile``² cells, so no join is by range."""
+    todo = catalog.todo(bursts, done, ["date"]) if done is not None else bursts
+    ids = ["date", "iw", "burst"]
+    areas = orbit.burst_areas(todo, ids, heights)
+    boxes = areas.select(*ids, grid.box(*[F.col(n) for n in orbit.SIDES]).alias("b")).select(*ids, "b.*").where("top < bottom and left < right")
+    spread = lambda low, high: F.explode(F.sequence(F.expr(f"{low} div {tile}"), F.expr(f"({high} - 1) div {tile}")))
+    boxes = boxes.withColumn("tr", spread("top", "bottom")).withColumn("tc", spread("left", "right"))
+    cells = terrain.select("r", "c", "height", F.expr(f"cast(r as bigint) div {tile}").alias("tr"), F.expr(f"cast(c as bigint) div {tile}").alias("tc"))
+    met = cells.join(boxes, ["tr", "tc"]).where("r >= top and r < bottom and c >= left and c < right")
+    points = met.select(*ids, "r", "c", "height", grid.lat(F.col("r")).alias("lat"), grid.lon(F.col("c")).alias("lon"))
+    out = orbit.geocode_bursts(points, todo, ids, guard)
+    return out.where("re != 0 or im != 0").select(*ids, "r", "c", "re", "im")
+
+
+def frames(pixels: DataFrame) -> DataFrame:
+    """(date, r, c, re, im) of ``geocode_scenes``: in a subswath the first burst with data wins, over
+    subswaths the highest."""
+    swaths = interferograms.stitch_raw(pixels, ["date", "iw"], "burst")
+    return interferograms.stitch_frame(swaths, ["date"])
+
+
 def interfere(images: DataFrame, pairs: DataFrame, rows: int, cols: int, looks: tuple[int, int], done: DataFrame | None = None) -> DataFrame:
     """Multilooked interferograms of all pairs that aren't done. Full-resolution pixels are shuffled
     once, by look block; a pixel's dates meet there, and the pairs of a block are summed in place."""

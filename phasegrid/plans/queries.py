@@ -429,6 +429,45 @@ def geodesic_heading(spark: SparkSession, sf_dir: str) -> DataFrame:
     return a.join(z, "k").select("k", r6(geo.heading(F.col("lat"), F.col("lon"), F.col("lat2"), F.col("lon2"))).alias("heading"))
 
 
+def _vincenty_sql(rounds: int) -> str:
+    """Each round of the longitude difference as one more table."""
+    flat = f"{1 - math.sqrt(1 - geo.E2)!r}::DOUBLE"
+    east, north = "c2 * sin(lon)", "(c1 * s2 - s1 * c2 * cos(lon))"
+    out = f"""v AS (SELECT a.k, atan((1 - {flat}) * tan(radians(a.lat))) AS u, atan((1 - {flat}) * tan(radians(b.lat))) AS w, radians(b.lon - a.lon) AS d FROM p a JOIN p b ON b.k = a.k + 1),
+ v0 AS (SELECT k, sin(u) AS s1, cos(u) AS c1, sin(w) AS s2, cos(w) AS c2, atan2(sin(d), cos(d)) AS apart, atan2(sin(d), cos(d)) AS lon FROM v)"""
+    for i in range(rounds):
+        out += f""", x{i} AS (SELECT *, sqrt(pow({east}, 2) + pow({north}, 2)) AS si, s1 * s2 + c1 * c2 * cos(lon) AS co FROM v{i}),
+ y{i} AS (SELECT *, CASE WHEN si > 0 THEN c1 * {east} / si ELSE 0 END AS tilt FROM x{i}), z{i} AS (SELECT *, 1 - tilt * tilt AS rest FROM y{i}),
+ m{i} AS (SELECT *, CASE WHEN rest > 1e-12 THEN co - 2 * s1 * s2 / rest ELSE 0 END AS mid, {flat} / 16 * rest * (4 + {flat} * (4 - 3 * rest)) AS sh FROM z{i}),
+ v{i + 1} AS (SELECT k, s1, c1, s2, c2, apart, apart + (1 - sh) * {flat} * tilt * (atan2(si, co) + sh * si * (mid + sh * co * (2 * mid * mid - 1))) AS lon FROM m{i})"""
+    return f"{out} SELECT k, round(degrees(atan2({east}, {north})), 6) + 0e0 AS heading FROM v{rounds}"
+
+
+@query(f"WITH {LLH_SQL}, {_vincenty_sql(6)}")
+def geodesic_heading_ellipsoid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    a = _places(spark, sf_dir)
+    z = a.select((F.col("k") - 1).alias("k"), F.col("lat").alias("lat2"), F.col("lon").alias("lon2"))
+    return a.join(z, "k").select("k", r6(geo.heading_ellipsoid(F.col("lat"), F.col("lon"), F.col("lat2"), F.col("lon2"), 6)).alias("heading"))
+
+
+@query("""WITH q AS (SELECT s_suppkey AS k, (s_suppkey % 50) + 0.37::DOUBLE AS x, (s_suppkey % 30) + 0.41::DOUBLE AS y, (s_suppkey % 4) + 3.156::DOUBLE AS a, (s_suppkey % 3) + 2.253::DOUBLE AS b FROM supplier),
+ pts AS (SELECT k, x - a AS lon, y AS lat FROM q UNION ALL SELECT k, x + a, y FROM q UNION ALL SELECT k, x, y - b FROM q UNION ALL SELECT k, x, y + b FROM q
+  UNION ALL SELECT k, w, y + s * b * (1 - abs(w - x) / a) FROM q, (VALUES (20.0::DOUBLE), (40.0::DOUBLE)) u(w), (VALUES (1), (-1)) t(s) WHERE abs(w - x) <= a
+  UNION ALL SELECT k, x + s * a * (1 - abs(n - y) / b), n FROM q, (VALUES (10.0::DOUBLE), (20.0::DOUBLE)) u(n), (VALUES (1), (-1)) t(s) WHERE abs(n - y) <= b
+  UNION ALL SELECT k, w, n FROM q, (VALUES (20.0::DOUBLE), (40.0::DOUBLE)) u(w), (VALUES (10.0::DOUBLE), (20.0::DOUBLE)) t(n) WHERE abs(w - x) / a + abs(n - y) / b <= 1),
+ e AS (SELECT k, min(lon) AS west, max(lon) AS east, min(lat) AS south, max(lat) AS north FROM pts WHERE lon BETWEEN 20 AND 40 AND lat BETWEEN 10 AND 20 GROUP BY k)
+SELECT k, trunc(round((north - 20) / -0.1, 6))::INTEGER AS top, least(100, trunc(round((south - 20) / -0.1, 6))::INTEGER + 1) AS bottom,
+ trunc(round((west - 20) / 0.1, 6))::INTEGER AS "left", least(200, trunc(round((east - 20) / 0.1, 6))::INTEGER + 1) AS "right" FROM e""")
+def clipped_boxes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows and columns of the part of each diamond that lies on the grid."""
+    k = F.col("s_suppkey")
+    s = table(spark, sf_dir, "supplier").select(k.alias("k"), ((k % 50) + 0.37).alias("x"), ((k % 30) + 0.41).alias("y"), ((k % 4) + 3.156).alias("a"), ((k % 3) + 2.253).alias("b"))
+    x, y, a, z = (F.col(n) for n in ("x", "y", "a", "b"))
+    ring = F.array(F.array(x - a, y), F.array(x, y - z), F.array(x + a, y), F.array(x, y + z))
+    out = catalog.clipped_boxes(s.select("k", ring.alias("ring")), "ring", geo.Grid(100, 200, 20.0, 20.0, 0.1, -0.1))
+    return out.drop("ring").where("top is not null")
+
+
 @query("""WITH x AS (SELECT s_suppkey AS k, (s_suppkey % 50) * 1.0::DOUBLE AS w, (s_suppkey % 30) * 1.0::DOUBLE AS s FROM supplier),
  q AS (SELECT k, greatest(w, 20) AS west, greatest(s, 10) AS south, least(w + 5, 40) AS east, least(s + 5, 20) AS north FROM x)
 SELECT k, west, south, east, north FROM q WHERE west < east AND south < north""")
@@ -802,6 +841,18 @@ def bilinear(spark: SparkSession, sf_dir: str) -> DataFrame:
     return raster.bilinear(points, b.embedding_pixels(spark, sf_dir), "k", "y", "x", ["v"]).withColumn("v", r6(F.col("v")))
 
 
+@query("""WITH n AS (SELECT max(vec_id) AS n FROM embeddings), q AS (SELECT p_partkey AS k, n, least(greatest((p_partkey * 7919 % 10000) / 10000.0::DOUBLE * (n + 20) - 10, 0), n) AS y,
+  least(greatest((p_partkey * 104729 % 10000) / 10000.0::DOUBLE * 80 - 8, 0), 63) AS x FROM part, n), f AS (SELECT k, n, floor(y)::BIGINT AS r, floor(x)::INTEGER AS c, y - floor(y) AS a, x - floor(x) AS b FROM q),
+ e AS (SELECT vec_id::BIGINT AS r, embedding AS v FROM embeddings)
+SELECT k, round((p.v[c + 1]::DOUBLE * (1 - b) + p.v[least(c + 2, 64)]::DOUBLE * b) * (1 - a) + (t.v[c + 1]::DOUBLE * (1 - b) + t.v[least(c + 2, 64)]::DOUBLE * b) * a, 6) + 0e0 AS v
+FROM f JOIN e p ON p.r = f.r JOIN e t ON t.r = least(f.r + 1, n)""")
+def bilinear_clamped(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Places around the raster as well, which take its edge."""
+    k, n = F.col("p_partkey"), b.rows_of(spark, sf_dir)
+    points = table(spark, sf_dir, "part").select(k.alias("k"), ((k * 7919 % 10000) / 10000.0 * (n + 19) - 10).alias("y"), ((k * 104729 % 10000) / 10000.0 * 80 - 8).alias("x"))
+    return raster.bilinear(points, b.embedding_pixels(spark, sf_dir), "k", "y", "x", ["v"], (n, 64)).withColumn("v", r6(F.col("v")))
+
+
 # ---- operators without SQL ----------------------------------------------------------------------
 
 
@@ -866,6 +917,26 @@ def line_of_sight(spark: SparkSession, sf_dir: str) -> DataFrame:
     return orbit.line_of_sight(_ground(spark, sf_dir), circular_orbit())
 
 
+@query()
+def geocoded_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three dates of two bursts over the same ground, geocoded on a grid and mosaicked."""
+    vectors = [[float(t), *map(float, x), *map(float, v)] for t, x, v in zip(*(getattr(circular_orbit(), n) for n in "txv"), strict=True)]
+    z = b.embedding_complex(spark, sf_dir).where("r < 120")
+    rows = z.withColumn("burst", F.expr("cast(r div 60 as int)")).groupBy("burst").agg(F.array_sort(F.collect_list(F.struct("r", "c", "re", "im"))).alias("z"))
+    rows = rows.withColumn("date", F.explode(F.sequence(F.lit(0), F.lit(2)))).withColumn("start", 80.0 + F.col("burst") * 0.1 + F.col("date") * 1e-4)
+    fixed = {"iw": 1, "samples": 32, "line_time": 0.002, "near": 850_000.0, "range_step": 10.0, "wavelength": 0.0555, "steering": 1.6}
+    rows = rows.withColumns({n: F.lit(v) for n, v in fixed.items()})
+    rows = rows.withColumns({
+        "ka": F.array(*map(F.lit, (0.0, -2300.0, 0.0, 0.0))), "dc": F.array(*map(F.lit, (0.0, 0.0, 0.0, 0.0))),
+        "valid": F.array(F.lit(0), F.expr("size(z) div 32 - 1").cast("int"), F.lit(0), F.lit(31)),
+        "vectors": F.lit(vectors), "re": F.col("z.re"), "im": F.col("z.im"),
+    })
+    corner = orbit.range_to_llh(circular_orbit(), 80.1, 850_160.0, 0.0)
+    grid = geo.Grid(120, 60, float(corner[1]) - 0.003, float(corner[0]) + 0.006, 0.0001, -0.0001)
+    terrain = grid.cells(spark).select(F.col("row").alias("r"), F.col("col").alias("c"), F.lit(0.0).alias("height"))
+    return drivers.frames(drivers.geocode_scenes(terrain, rows.drop("z"), grid, heights=(-100.0, 100.0)))
+
+
 @query()
 def unwrap_mst(spark: SparkSession, sf_dir: str) -> DataFrame:
     phases = b.embedding_pixels(spark, sf_dir).select(F.expr("r div 50").alias("img"), "r", "c", cplx.wrap(F.col("v") * (2 * math.pi)).alias("phase"))

@@ -78,3 +78,49 @@ def test_command_line(spark, images, tmp_path):
     scenes.write.parquet(str(tmp_path / "catalogue"))
     assert cli.main(["subconfig", path, "--scenes", str(tmp_path / "catalogue")]) == 0
     assert config.load(str(tmp_path / "path5.yml")).io.output.endswith("path5/timeseries")
+
+
+def test_scenes_are_geocoded_burst_by_burst(spark, sf):
+    """Every frame cell has the value that its burst gives alone; done dates are left out."""
+    from phasegrid.functions import geo
+    from phasegrid.operators import orbit
+    from phasegrid.plans.queries import circular_orbit
+
+    o = circular_orbit()
+    vectors = [[float(t), *map(float, x), *map(float, v)] for t, x, v in zip(o.t, o.x, o.v, strict=True)]
+    rng = np.random.default_rng(5)
+    data = {k: rng.normal(size=(40, 30)) + 1j * rng.normal(size=(40, 30)) for k in (0, 1)}
+    made = {k: orbit.Burst(data[k], 80.0 + 0.05 * k, 0.002, 850_000.0, 10.0, 0.0555, (0.0, -2300.0, 0.0, 0.0), (0.0, 0.0, 0.0, 0.0), 1.6, (0, 39, 0, 29)) for k in data}
+    rows = [
+        (date, 1, k, 30, x.start, x.line_time, x.near, x.range_step, x.wavelength, list(x.ka), list(x.dc), x.steering, list(x.valid), vectors, x.data.real.ravel().tolist(), x.data.imag.ravel().tolist())
+        for date in (1, 2) for k, x in made.items()
+    ]
+    bursts = spark.createDataFrame(rows, "date int, iw int, burst int, " + orbit.BURST)
+    lat, lon, _ = orbit.range_to_llh(o, 80.05, 850_150.0, 0.0)
+    grid = geo.Grid(90, 50, float(lon) - 0.0025, float(lat) + 0.0045, 0.0001, -0.0001)
+    terrain = grid.cells(spark).select(F.col("row").alias("r"), F.col("col").alias("c"), F.lit(0.0).alias("height"))
+    pixels = drivers.geocode_scenes(terrain, bursts, grid, done=spark.createDataFrame([(2,)], "date int"), heights=(-50.0, 50.0), tile=16)
+    got = {(x["date"], x["burst"], x["r"], x["c"]): complex(x["re"], x["im"]) for x in pixels.collect()}
+    assert {k[0] for k in got} == {1} and len({k[1] for k in got}) == 2
+    cells = grid.cells(spark).toPandas()
+    for k, x in made.items():
+        re, im = orbit.geocoder(o, x)(cells["lat"].to_numpy(), cells["lon"].to_numpy(), np.zeros(len(cells)))
+        want = {(1, k, r, c): complex(a, b) for r, c, a, b in zip(cells["row"], cells["col"], re, im, strict=True) if a or b}
+        mine = {q: v for q, v in got.items() if q[1] == k}
+        assert want.keys() == mine.keys() and len(want) > 50
+        assert all(abs(want[q] - mine[q]) < 1e-6 for q in want)
+    frame = {(x["r"], x["c"]): complex(x["re"], x["im"]) for x in drivers.frames(pixels).collect()}
+    assert frame == {(r, c): got.get((1, 0, r, c), got.get((1, 1, r, c))) for _, _, r, c in got}
+
+
+def test_ellipsoidal_heading_follows_the_geodesic(spark):
+    """Known azimuths: along meridian and equator, a published test line, and the sphere nearby."""
+    from phasegrid.functions import geo
+
+    # The line is Vincenty's example (b) on the international ellipsoid, so only near on this one.
+    rows = [(0.0, 0.0, 10.0, 0.0), (0.0, 0.0, 0.0, 20.0), (10.0, 5.0, 10.0, 5.0), (10.0, 179.5, 10.1, -179.5), (37.331931575, 0.0, 26.128566516, 41.476529802)]
+    frame = spark.createDataFrame(rows, "a double, b double, c double, d double")
+    out = [x[0] for x in frame.select(geo.heading_ellipsoid(*[F.col(n) for n in "abcd"])).collect()]
+    assert out[0] == pytest.approx(0.0) and out[1] == pytest.approx(90.0) and out[2] is None
+    assert 80 < out[3] < 90
+    assert out[4] == pytest.approx(95.466, abs=0.01)
