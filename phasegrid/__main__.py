@@ -12,7 +12,7 @@ import yaml
 from phasegrid import config
 from phasegrid.plans import drivers
 
-COMMANDS = ("init", "subconfig", "integrity", "slcpairs", "interfere", "coherence", "phasecorr", "unwrap", "timeseries")
+COMMANDS = ("init", "subconfig", "integrity", "slcpairs", "interfere", "coherence", "phasecorr", "scatterers", "unwrap", "timeseries")
 
 
 def main(argv: list[str] | None = None) -> int:
@@ -24,6 +24,11 @@ def main(argv: list[str] | None = None) -> int:
     parser.add_argument("--scenes", help="catalogue table, for subconfig")
     parser.add_argument("--delays", help="delay table, for phasecorr")
     parser.add_argument("--mask", help="validity mask, for timeseries")
+    parser.add_argument("--candidates", help="table (r, c, ps) of scatterer candidates, for scatterers")
+    parser.add_argument("--output", help="table that scatterers writes")
+    parser.add_argument("--neighbours", type=int, default=20, help="nearest scatterers a pixel is compared with")
+    parser.add_argument("--radii", type=int, nargs=2, default=(0, 20), help="radii that they lie between")
+    parser.add_argument("--thresholds", type=float, nargs=2, default=(0.3, 0.5), help="least median and maximum similarity")
     parser.add_argument("--wavelength", type=float, default=0.055465763)
     a = parser.parse_args(argv)
     if a.command == "init":
@@ -32,6 +37,7 @@ def main(argv: list[str] | None = None) -> int:
         config.save(config.Config(), a.config)
         return 0
     from pyspark.sql import SparkSession
+    from pyspark.sql import functions as F
 
     from phasegrid.session import SETTINGS
 
@@ -63,6 +69,10 @@ def main(argv: list[str] | None = None) -> int:
     elif a.command == "phasecorr":
         made = drivers.phase_correction(ifgs(), spark.read.parquet(a.delays), a.wavelength, out_rows, out_cols, c.filter)
         made.write.mode("overwrite").parquet(c.io.corrected)
+    elif a.command == "scatterers":
+        stack = ifgs().withColumn("ifg", F.struct("date1", "date2")).drop("date1", "date2")
+        made = drivers.scatterers(stack, spark.read.parquet(a.candidates), out_rows, out_cols, a.neighbours, tuple(a.radii), *a.thresholds)
+        made.write.mode("overwrite").parquet(a.output)
     elif a.command == "unwrap":
         source = spark.read.parquet(c.io.corrected) if c.io.corrected else ifgs()
         drivers.batch_unwrap(source, shape=(out_rows, out_cols)).write.mode("overwrite").parquet(c.io.unwrapped)

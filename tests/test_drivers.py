@@ -74,6 +74,11 @@ def test_command_line(spark, images, tmp_path):
     for command in ("integrity", "slcpairs", "interfere", "coherence", "unwrap", "timeseries"):
         assert cli.main([command, path, *size]) == 0
     assert spark.read.parquet(str(tmp_path / "timeseries")).count() == 48
+    spark.range(48).selectExpr("int(id div 6) AS r", "int(id % 6) AS c", "1 AS ps").write.parquet(str(tmp_path / "candidates"))
+    chosen = ["--candidates", str(tmp_path / "candidates"), "--output", str(tmp_path / "chosen"), "--radii", "0", "3"]
+    assert cli.main(["scatterers", path, *size, *chosen]) == 0
+    chosen = spark.read.parquet(str(tmp_path / "chosen")).collect()
+    assert len(chosen) == 48 and all(x["selected"] == 1 and x["median"] > 0.9 for x in chosen)
     scenes = spark.createDataFrame([(5, 1, "ASCENDING", "a"), (5, 2, "ASCENDING", "b"), (7, 1, "DESCENDING", "c")], "path int, frame int, direction string, scene string")
     scenes.write.parquet(str(tmp_path / "catalogue"))
     assert cli.main(["subconfig", path, "--scenes", str(tmp_path / "catalogue")]) == 0
@@ -124,3 +129,16 @@ def test_ellipsoidal_heading_follows_the_geodesic(spark):
     assert out[0] == pytest.approx(0.0) and out[1] == pytest.approx(90.0) and out[2] is None
     assert 80 < out[3] < 90
     assert out[4] == pytest.approx(95.466, abs=0.01)
+
+
+def test_stretch_is_exact(spark):
+    """Skewed, tied, few and no values against NumPy."""
+    from phasegrid.operators import raster
+
+    rng = np.random.default_rng(3)
+    for values in (rng.normal(size=60_000) ** 3, rng.integers(0, 4, 5_000).astype(float), np.array([7.0]), np.array([1.0, 2.0])):
+        frame = spark.createDataFrame([(float(v),) for v in (*values, math.nan)], "v double").repartition(6)
+        for low, high in ((0.02, 0.98), (0.0, 1.0)):
+            got = raster.stretch(frame, "v", low, high).first()
+            assert list(got) == pytest.approx(list(np.quantile(values, [low, high])), abs=1e-9)
+    assert list(raster.stretch(frame.where("v > 9"), "v", 0.1, 0.9).first()) == [None, None]
