@@ -232,9 +232,10 @@ def geocoder(orbit: Orbit, burst: Burst, guard: int = 5):
         line, sample = (time - burst.start) / burst.line_time, (slant - burst.near) / burst.range_step
         top, bottom, left, right = burst.valid
         inside = (line >= top + guard) & (line < bottom - guard) & (sample > left) & (sample < right - 1)
-        i, j = (np.clip(np.floor(x).astype(int), 0, n - 2) for x, n in ((line, flat.shape[0]), (sample, flat.shape[1])))
+        i, j = (np.clip(np.floor(x).astype(int), 0, max(0, n - 2)) for x, n in ((line, flat.shape[0]), (sample, flat.shape[1])))
+        below, beside = np.minimum(i + 1, flat.shape[0] - 1), np.minimum(j + 1, flat.shape[1] - 1)
         a, b = line - i, sample - j
-        value = (1 - a) * (1 - b) * flat[i, j] + (1 - a) * b * flat[i, j + 1] + a * (1 - b) * flat[i + 1, j] + a * b * flat[i + 1, j + 1]
+        value = (1 - a) * (1 - b) * flat[i, j] + (1 - a) * b * flat[i, beside] + a * (1 - b) * flat[below, j] + a * b * flat[below, beside]
         value = value * np.exp(-1j * ramp(line, slant)) * np.exp(1j * 4 * math.pi / burst.wavelength * slant)
         value = np.where(inside, value, 0)
         return [value.real, value.imag]

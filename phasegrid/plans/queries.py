@@ -919,11 +919,11 @@ def line_of_sight(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def geocoded_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Three dates of two bursts over the same ground, geocoded on a grid and mosaicked."""
+    """Every 120 rows are a date of two bursts over the same ground, geocoded on a grid and mosaicked."""
     vectors = [[float(t), *map(float, x), *map(float, v)] for t, x, v in zip(*(getattr(circular_orbit(), n) for n in "txv"), strict=True)]
-    z = b.embedding_complex(spark, sf_dir).where("r < 120")
-    rows = z.withColumn("burst", F.expr("cast(r div 60 as int)")).groupBy("burst").agg(F.array_sort(F.collect_list(F.struct("r", "c", "re", "im"))).alias("z"))
-    rows = rows.withColumn("date", F.explode(F.sequence(F.lit(0), F.lit(2)))).withColumn("start", 80.0 + F.col("burst") * 0.1 + F.col("date") * 1e-4)
+    z = b.embedding_complex(spark, sf_dir).select(F.expr("r div 120").alias("date"), F.expr("cast(r % 120 div 60 as int)").alias("burst"), "r", "c", "re", "im")
+    rows = z.groupBy("date", "burst").agg(F.array_sort(F.collect_list(F.struct("r", "c", "re", "im"))).alias("z"))
+    rows = rows.withColumn("start", 80.0 + F.col("burst") * 0.1)
     fixed = {"iw": 1, "samples": 32, "line_time": 0.002, "near": 850_000.0, "range_step": 10.0, "wavelength": 0.0555, "steering": 1.6}
     rows = rows.withColumns({n: F.lit(v) for n, v in fixed.items()})
     rows = rows.withColumns({
