@@ -8,8 +8,9 @@ strips' rows following one another), ``nrow`` and ``ncol`` (headerless), ``skip`
 per partition, 2048). A path is a file, a folder (with ``suffix``) or a glob pattern, on storage
 that all executors mount.
 
-A file is read in partitions of whole rows, each seeking to its byte range; comparisons of ``r`` with
-literals are pushed into the row range when ``spark.sql.python.filterPushdown.enabled`` is set.
+A file is read in partitions of whole rows, each seeking to its byte range; ``PushingSource`` takes
+comparisons of ``r`` with literals into the row range. Spark refuses it where
+``spark.sql.python.filterPushdown.enabled`` is false, so ``sources.register`` chooses between the two.
 Partitions yield Arrow batches. Complex data gives re, im; two-band layouts give v, v2.
 
 Writing takes (r, c, value columns) and the same options; each task writes the part file of its
@@ -141,25 +142,18 @@ class RasterSource(DataSource):
         return RasterWriter(dict(self.options), [f.name for f in schema.fields])
 
 
+class PushingSource(RasterSource):
+    """For sessions with filter pushdown."""
+
+    def reader(self, schema) -> DataSourceReader:
+        return PushingReader(dict(self.options))
+
+
 class RasterReader(DataSourceReader):
     def __init__(self, options: dict[str, str]) -> None:
         self.o = {k.lower(): v for k, v in options.items()}
         self.low, self.high = -(1 << 62), 1 << 62
 
-    def pushFilters(self, filters: list[Filter]) -> Iterator[Filter]:
-        for f in filters:
-            if getattr(f, "attribute", None) == ("r",) and isinstance(f, (EqualTo, GreaterThan, GreaterThanOrEqual, LessThan, LessThanOrEqual)):
-                if isinstance(f, (EqualTo, GreaterThanOrEqual)):
-                    self.low = max(self.low, f.value)
-                if isinstance(f, GreaterThan):
-                    self.low = max(self.low, f.value + 1)
-                if isinstance(f, (EqualTo, LessThanOrEqual)):
-                    self.high = min(self.high, f.value + 1)
-                if isinstance(f, LessThan):
-                    self.high = min(self.high, f.value)
-            else:
-                yield f
-
     def _boxes(self, path: str) -> list[tuple[Box, int]]:
         header = self.o.get("header", "false")
         if header == "strips":
@@ -229,6 +223,22 @@ class RasterReader(DataSourceReader):
                 yield pa.RecordBatch.from_arrays([path, pa.array(r), pa.array(c), *[pa.array(np.ascontiguousarray(v)) for v in values]], names=["path", "r", "c", *names])
 
 
+class PushingReader(RasterReader):
+    def pushFilters(self, filters: list[Filter]) -> Iterator[Filter]:
+        for f in filters:
+            if getattr(f, "attribute", None) == ("r",) and isinstance(f, (EqualTo, GreaterThan, GreaterThanOrEqual, LessThan, LessThanOrEqual)):
+                if isinstance(f, (EqualTo, GreaterThanOrEqual)):
+                    self.low = max(self.low, f.value)
+                if isinstance(f, GreaterThan):
+                    self.low = max(self.low, f.value + 1)
+                if isinstance(f, (EqualTo, LessThanOrEqual)):
+                    self.high = min(self.high, f.value + 1)
+                if isinstance(f, LessThan):
+                    self.high = min(self.high, f.value)
+            else:
+                yield f
+
+
 @dataclass
 class Written(WriterCommitMessage):
     files: list[str]
