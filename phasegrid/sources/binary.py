@@ -15,7 +15,8 @@ Partitions yield Arrow batches. Complex data gives re, im; two-band layouts give
 
 Writing takes (r, c, value columns) and the same options; each task writes the part file of its
 rows, with the row range in its name, and ``join_parts`` puts them together. With ``header`` each part
-is a valid cropped raster itself.
+is a valid cropped raster itself, and a task writes one for each run of rows without a gap, so rows
+that weren't given aren't read back as zeros.
 """
 
 from __future__ import annotations
@@ -29,6 +30,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql.datasource import (
     DataSource,
+    DataSourceArrowWriter,
     DataSourceReader,
     DataSourceWriter,
     EqualTo,
@@ -244,41 +246,54 @@ class Written(WriterCommitMessage):
     files: list[str]
 
 
-class RasterWriter(DataSourceWriter):
+class RasterWriter(DataSourceArrowWriter):
     def __init__(self, options: dict[str, str], columns: list[str]) -> None:
         self.o, self.columns = {k.lower(): v for k, v in options.items()}, columns
 
-    def write(self, rows: Iterator) -> Written:
+    def write(self, iterator: Iterator[pa.RecordBatch]) -> Written:
+        names = [n for n in self.columns if n not in ("path", "r", "c")]
+        batches = [[x.column(n).to_numpy(zero_copy_only=False) for n in ("r", "c", *names)] for x in iterator if x.num_rows]
+        if not batches:
+            return Written([])
+        r, c, *values = (np.concatenate(column) for column in zip(*batches, strict=True))
+        del batches
+        rows = np.unique(r.astype(np.int64))
+        runs = np.split(rows, np.flatnonzero(np.diff(rows) > 1) + 1) if self.o.get("header", "false") == "true" else [rows]
+        os.makedirs(self.o["path"], exist_ok=True)
+        if len(runs) == 1:
+            return Written([self._part(r, c, values)])
+        order = np.argsort(r, kind="stable")
+        r, c, values = r[order], c[order], [v[order] for v in values]
+        ends = np.searchsorted(r, [x[-1] for x in runs], side="right")
+        cuts = [slice(at, end) for at, end in zip([0, *ends[:-1]], ends, strict=True)]
+        return Written([self._part(r[x], c[x], [v[x] for v in values]) for x in cuts])
+
+    def _part(self, r: np.ndarray, c: np.ndarray, values: list[np.ndarray]) -> str:
+        """The part file of the pixels' rows, under its name before ``commit``."""
         from pyspark import TaskContext
 
         dtype, layout = self.o.get("dtype", "c8"), self.o.get("layout", "plain")
         kind, nrow, ncol = DTYPES[dtype], int(self.o["nrow"]), int(self.o["ncol"])
-        names = [n for n in self.columns if n not in ("path", "r", "c")]
-        data = [(x["r"], x["c"], *[x[n] for n in names]) for x in rows]
-        if not data:
-            return Written([])
-        table = np.array(data, dtype=np.float64)
-        r, c = table[:, 0].astype(int), table[:, 1].astype(int)
+        r, c = r.astype(np.int64), c.astype(np.int64)
         top, bottom = r.min(), r.max() + 1
-        bands = np.zeros((len(names), bottom - top, ncol))
-        for i in range(len(names)):
-            bands[i, r - top, c] = table[:, 2 + i]
+        bands = np.zeros((len(values), bottom - top, ncol))
+        for i, v in enumerate(values):
+            bands[i, r - top, c] = v
         if dtype == "c8" and layout == "plain":
             out = (bands[0] + 1j * bands[1]).astype(kind)
         elif layout == "altline":
             out = bands.transpose(1, 0, 2).astype(kind)
-        elif len(names) == 2:
+        elif len(values) == 2:
             out = bands.transpose(1, 2, 0).astype(kind)
         else:
             out = bands[0].astype(kind)
-        os.makedirs(self.o["path"], exist_ok=True)
         attempt = TaskContext.get().taskAttemptId() if TaskContext.get() else 0
         path = os.path.join(self.o["path"], f".rows_{top:09d}_{bottom:09d}.{attempt}")
         with open(path, "wb") as f:
             if self.o.get("header", "false") == "true":
                 f.write(Box(nrow, ncol, 0, int(top), ncol, int(bottom)).header())
             f.write(np.ascontiguousarray(out).tobytes())
-        return Written([path])
+        return path
 
     def commit(self, messages: Sequence[Written | None]) -> None:
         """Only files of successful tasks get their final name."""

@@ -1,5 +1,6 @@
 """The raster queries in sessions that don't have the settings of ``local_session``."""
 
+import duckdb
 import pytest
 
 from phasegrid.plans import queries as plans
@@ -33,3 +34,22 @@ def test_default_session(spark, sf, duck, pushdown, name):  # noqa: F811
     pushdown()
     got, want = got_and_wanted(spark, sf, duck, name)
     assert got == want and spark.conf.get(PUSHDOWN) == "true"
+
+
+@pytest.fixture(scope="module")
+def gaps(spark, sf, tmp_path_factory):
+    """A folder with some rows of the table, and DuckDB on it."""
+    folder = tmp_path_factory.mktemp("gaps")
+    con = duckdb.connect()
+    some = f"SELECT CASE vec_id WHEN 200 THEN 50000 ELSE vec_id END AS vec_id, embedding, label FROM '{sf}/embeddings.parquet' WHERE vec_id IN (0, 1, 2, 11, 12, 40, 101, 102, 200)"
+    con.sql(f"COPY ({some}) TO '{folder}/embeddings.parquet' (FORMAT parquet)")
+    con.sql(f"CREATE VIEW embeddings AS FROM '{folder}/embeddings.parquet'")
+    return str(folder), con
+
+
+@pytest.mark.parametrize("name", ["raster_roundtrip"])
+def test_gaps_without_pushdown(spark, gaps, pushdown, name):
+    """Rows that the table doesn't have aren't in the results, and pushdown stays off."""
+    pushdown("false")
+    got, want = got_and_wanted(spark, *gaps, name)
+    assert want and got == want and spark.conf.get(PUSHDOWN) == "false"
