@@ -28,7 +28,7 @@ def got_and_wanted(spark, folder, duck, name):  # noqa: F811
     return got, sorted(tuple(map(plain, r)) for r in duck.sql(f"SELECT {columns} FROM ({plans.ORACLE[name]})").fetchall())
 
 
-@pytest.mark.parametrize("name", ["raster_altline", "raster_roundtrip", "raster_altsample", "raster_complex_window", "raster_integers", "raster_pushdown", "raster_short_complex"])
+@pytest.mark.parametrize("name", ["raster_altline", "raster_roundtrip", "raster_altsample", "raster_complex_window", "raster_integers", "raster_pushdown", "raster_short_complex", "raster_headers"])
 def test_default_session(spark, sf, duck, pushdown, name):  # noqa: F811
     """Filter pushdown isn't set, and Spark's own default is false."""
     pushdown()
