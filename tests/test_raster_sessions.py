@@ -47,7 +47,7 @@ def gaps(spark, sf, tmp_path_factory):
     return str(folder), con
 
 
-@pytest.mark.parametrize("name", ["raster_roundtrip", "raster_altsample", "raster_complex_window", "raster_integers", "raster_pushdown", "raster_short_complex", "raster_headers"])
+@pytest.mark.parametrize("name", ["raster_roundtrip", "raster_altsample", "raster_complex_window", "raster_integers", "raster_pushdown", "raster_short_complex", "raster_headers", "raster_altline"])
 def test_gaps_without_pushdown(spark, gaps, pushdown, name):
     """Rows that the table doesn't have aren't in the results, and pushdown stays off."""
     pushdown("false")
