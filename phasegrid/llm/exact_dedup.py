@@ -28,7 +28,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from phasegrid.llm.shared import cut, fold_ascii, shared_path, stay, text_or_empty
+from phasegrid.llm.shared import cut, fold_ascii, listed, shared_path, stay, text_or_empty
 
 MAX_DEPTH, FIRST_BITS = 16, 8
 INDEX = "bucket int, key long, link int, digest string, keep_id long, group_size long"
@@ -79,7 +79,7 @@ def with_bucket(df: DataFrame, directory: Directory) -> DataFrame:
     """Look the bucket up in the directory, a broadcast table of 2**MAX_DEPTH rows at most."""
     if directory.depth == 0:
         return df.withColumn("bucket", F.lit(0))
-    slots = df.sparkSession.createDataFrame(list(enumerate(directory.buckets)), "slot int, bucket int")
+    slots = listed(df.sparkSession, list(enumerate(directory.buckets)), "slot int, bucket int")
     return df.withColumn("slot", slot_of(F.col("key"), directory.depth)).join(F.broadcast(slots), "slot").drop("slot")
 
 

@@ -42,7 +42,7 @@ from pyspark.sql import functions as F
 
 from phasegrid.llm import tokens
 from phasegrid.llm.components import components
-from phasegrid.llm.shared import cut, regrouped, stay, text_or_empty
+from phasegrid.llm.shared import cut, in_arrow, regrouped, stay, text_or_empty
 
 
 def prefix_depth(threshold: float, trees: int, max_depth: int, target_recall: float) -> int:
@@ -94,7 +94,7 @@ def signatures(docs: DataFrame, k: int, trees: int, max_depth: int, depth: int)
                 )
 
     source = docs.select(F.unhex(F.md5("text")).alias("tid"), "doc_id", F.lower("text").alias("text"))
-    return source.mapInArrow(run, "tid binary, doc_id long, n_shingles int, prefixes array<long>, small binary")
+    return in_arrow(source, run, "tid binary, doc_id long, n_shingles int, prefixes array<long>, small binary")
 
 
 class Forest:
@@ -190,7 +190,7 @@ def trie_links(tries: DataFrame, depth: int, deepest: bool, least: float) -> Dat
                 pairs += [(s + i, s + j, x) for i, j, x in link(small[s:e], child[s:e], least)]
             yield _estimated([(tid[i].as_py(), tid[j].as_py(), x) for i, j, x in pairs])
 
-    return tries.mapInArrow(run, "a binary, b binary, s double")
+    return in_arrow(tries, run, "a binary, b binary, s double")
 
 
 def block_links(rows: DataFrame, least: float) -> DataFrame:
@@ -208,7 +208,7 @@ def block_links(rows: DataFrame, least: float) -> DataFrame:
                 pairs += [(tid[s + i].as_py(), tid[s + j].as_py(), x) for i, j, x in link(small[s:e], apart, least)]
             yield _estimated(pairs)
 
-    return rows.mapInArrow(run, "a binary, b binary, s double")
+    return in_arrow(rows, run, "a binary, b binary, s double")
 
 
 def spread_blocks(members: DataFrame, key: str, parts: Column, *columns: str) -> DataFrame:
@@ -336,7 +336,7 @@ def verified(blocks: DataFrame, k: int, threshold: float) -> DataFrame:
                 names=["a", "b", "links", "text_links"],
             )
 
-    return blocks.mapInArrow(run, "a binary, b binary, links long, text_links long")
+    return in_arrow(blocks, run, "a binary, b binary, links long, text_links long")
 
 
 def jaccard_join(

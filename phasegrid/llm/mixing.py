@@ -27,7 +27,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from phasegrid.llm.shared import WORD, cut, text_or_empty
+from phasegrid.llm.shared import WORD, cut, listed, text_or_empty
 
 FILL_ROUNDS = 4
 Knots = Sequence[tuple[float, float]]
@@ -113,12 +113,13 @@ def mix(
     for i, row in enumerate(by_source):
         epochs = min(int(limit), int(goal[i] // row["size"])) if row["size"] else 0
         rest = max(0.0, goal[i] - epochs * row["size"]) if epochs < limit else 0.0
-        plan.append((row["source"], row["source"] is None, row["size"], goal[i], epochs, rest, pieces(schedules[i % len(schedules)])))
+        parts = [dict(zip(("m0", "m1", "t0", "w0", "slope"), p, strict=True)) for p in pieces(schedules[i % len(schedules)])]
+        plan.append((row["source"], row["source"] is None, row["size"], goal[i], epochs, rest, parts))
     kind = (
         "p_source string, p_null boolean, source_size long, target double, epochs int, rest double, "
         "parts array<struct<m0: double, m1: double, t0: double, w0: double, slope: double>>"
     )
-    plan = spark.createDataFrame(plan, kind).withColumn("p_source", F.coalesce("p_source", F.lit("")))
+    plan = listed(spark, plan, kind).withColumn("p_source", F.coalesce("p_source", F.lit("")))
     bits = max(0, math.ceil(math.log2(max(1, sum(r["n"] for r in by_source) / bucket_rows))))
     bucket = F.shiftright(F.col("h"), 64 - bits) if bits else F.lit(0).cast("long")
     keyed = sized.select(

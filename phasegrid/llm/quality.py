@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from phasegrid.llm import tokens
-from phasegrid.llm.shared import fresh, schema_of, text_or_empty
+from phasegrid.llm.shared import fresh, in_arrow, schema_of, text_or_empty
 
 STATISTICS = (
     "log_bytes", "log_words", "word_length", "word_length_sd", "upper", "digit", "symbol", "marks", "line_length",
@@ -186,7 +186,7 @@ def _with_statistics(df: DataFrame) -> DataFrame:
                 lists = pa.ListArray.from_arrays(pa.array(np.arange(len(x) + 1, dtype=np.int32) * x.shape[1]), pa.array(x.ravel()))
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, end - at), batch.column(1).slice(at, end - at), lists], names=["doc_id", "label", "x"])
 
-    return df.mapInArrow(run, "doc_id long, label int, x array<double>")
+    return in_arrow(df, run, "doc_id long, label int, x array<double>")
 
 
 def train(docs: DataFrame, labels: DataFrame, max_rows: int = 20_000) -> Model:
@@ -217,7 +217,7 @@ def score(docs: DataFrame, model: Model) -> tuple[DataFrame, str]:
                 scores = pa.array(model.score(statistics(data, offsets)))
                 yield pa.RecordBatch.from_arrays([*batch.slice(start, end - start).columns, scores], names=[*names, out])
 
-    return docs.mapInArrow(run, schema_of(docs, f"`{out}` double")), out
+    return in_arrow(docs, run, schema_of(docs, f"`{out}` double")), out
 
 
 def quality_filter(docs: DataFrame, labels: DataFrame, least: float = 0.7) -> DataFrame:

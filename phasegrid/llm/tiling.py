@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from phasegrid.llm import tokens
-from phasegrid.llm.shared import WORD, cut, fresh, schema_of, text_or_empty
+from phasegrid.llm.shared import WORD, cut, fresh, in_arrow, schema_of, text_or_empty
 
 
 #: Pairs of places with equal hashes that are listed at once.
@@ -176,7 +176,7 @@ def mark(docs: DataFrame, items: list[tuple[int, str]], k: int, coverage: float)
                 yield pa.RecordBatch.from_arrays([*batch.slice(at, end - at).columns[: len(names)], pa.array(hits, kind)], names=[*names, out])
 
     source = docs.withColumn(lower, F.lower(text_or_empty()))
-    return source.mapInArrow(run, schema_of(docs, f"`{out}` array<struct<item_id: bigint, coverage: double, tiles: int>>")), out
+    return in_arrow(source, run, schema_of(docs, f"`{out}` array<struct<item_id: bigint, coverage: double, tiles: int>>")), out
 
 
 def contaminated_pairs(docs: DataFrame, benchmark: DataFrame, k: int = 5, coverage: float = 0.5, chunk_words: int = 2_000_000) -> DataFrame:

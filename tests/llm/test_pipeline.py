@@ -3,9 +3,12 @@
 import re
 import string
 
+import numpy as np
+import pyarrow as pa
+
 import corpus_pipeline
 import __spark_entry__ as entry
-from phasegrid.llm import mixing, quality, queries
+from phasegrid.llm import exact_dedup, mixing, quality, queries, shared
 
 from .helpers import empty, nasty
 from .test_dedup import FOLD
@@ -109,3 +112,37 @@ def test_stages_on_awkward_rows(spark, sf):
         for _, stage in corpus_pipeline.STAGES[:-1]:
             docs = stage(spark, docs, sf)
         assert corpus_pipeline.mixing_stage(spark, docs, sf).count() == docs.count()
+
+
+def test_no_list_of_the_driver_goes_through_python_workers(spark, monkeypatch):
+    """Those of an RDD are a second set of workers, which stays in each executor's memory."""
+    docs = spark.range(300).selectExpr("id AS doc_id", "repeat('w ', 1 + id % 7) AS text", "IF(id % 3 = 0, NULL, 's' || id % 2) AS source")
+    nothing = empty(spark)
+
+    def refuse(*_, **__):
+        raise AssertionError("an RDD of the driver's rows")
+
+    monkeypatch.setattr(type(spark.sparkContext), "parallelize", refuse)
+    mixed = mixing.with_positions(mixing.mix(docs, schedules=mixing.CURRICULUM)).collect()
+    assert len(mixed) == 300 and abs(sum(r["taken"] for r in mixed) / sum(r["size"] for r in mixed) - 1) < 0.05
+    groups = exact_dedup.exact_groups(docs, bucket_entries=2).collect()
+    assert len(groups) == 300 and {r["keep_id"] for r in groups} == set(range(293, 300))
+    assert mixing.mix(nothing).count() == 0
+
+
+def test_python_gets_small_batches(spark):
+    """30 MB of texts in one partition were one batch of 10,000 rows and a rest."""
+    docs = spark.range(0, 12_000, 1, 1).selectExpr("id AS doc_id", "repeat('word ', 500) || id AS text")
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows]), pa.array([batch.nbytes])], names=["n", "b"])
+
+    spark.conf.unset(shared.BATCH)
+    quality.score(docs, quality.fit(np.zeros((0, len(quality.STATISTICS))), np.zeros(0)))
+    got = docs.mapInArrow(sizes, "n long, b long").collect()
+    spark.conf.set(shared.BATCH, "1g")
+    quality.score(docs, quality.fit(np.zeros((0, len(quality.STATISTICS))), np.zeros(0)))
+    assert spark.conf.get(shared.BATCH) == "1g"
+    spark.conf.unset(shared.BATCH)
+    assert sum(r["n"] for r in got) == 12_000 and max(r["b"] for r in got) < 1.1 * shared.BATCH_BYTES
